@@ -1,0 +1,205 @@
+"""Problem 4: template residue, filler, error pages and notices instead of a summary."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
+
+from quernel.operators.skew import split_join
+
+#: Depth of the prefix tree below the length, share of equal tokens that joins a template.
+TREE_DEPTH, SIMILARITY = 2, 0.5
+
+# What the texts of servers, gateways, programs, sign-ins, fillers and script notices say. Each is
+# matched against a whole sentence or line, lower case, with digits as ``0``.
+MESSAGES = r"""
+^(?:http )?(?:error|status)?:? ?(?:4\d\d|5\d\d|0+)(?: ?[-|:–] ?| )(?:not found|forbidden|unauthori[sz]ed|bad gateway|bad request|internal server error|service (?:temporarily )?unavailable|gateway time-?out|too many requests|this page|page not found|the server|error)
+^(?:http )?(?:error|status)(?: code)?:? 0+\b.{0,80}$
+^0+ (?:not found|forbidden|unauthori[sz]ed|bad gateway|bad request|internal server error|service unavailable|gateway time-?out|too many requests)\b
+^(?:internal server error|bad gateway|gateway time-?out|service (?:temporarily )?unavailable|not found|page not found|forbidden|unauthori[sz]ed|access (?:is )?(?:denied|forbidden)|permission denied|too many requests|request (?:timed out|timeout)|connection (?:refused|reset|timed out))(?:[.!:,]|$| \()
+^oops\b|^(?:sorry[,!]? )?(?:we|you) (?:can ?not|can't|couldn't|could not) (?:find|load|reach|open) (?:that|this|the) (?:page|site|content|server)
+^(?:the|this) (?:page|url|content|resource|site)(?: you(?:'re| are)? (?:requested|looking for))?.{0,30}(?:has moved|no longer exists?|does(?:n't| not) exist|could not be found|couldn't be found|can ?not be (?:found|displayed|reached)|is (?:not|un)available|was not found|is temporarily)
+^(?:upstream|nginx|cloudflare|varnish|apache)\b.*(?:error|timeout|refused|reset|failure|unavailable)|^upstream connect error
+^(?:your )?(?:request|connection|access)(?: to this \w+)? (?:was|has been|is) (?:blocked|denied|refused|rejected)\b(?!.* (?:by|when|if|unless|until) the )
+^(?:api )?rate limit (?:reached|exceeded|hit)\b|^(?:you have )?exceeded (?:your|the) (?:rate limit|quota)|^too many requests\b|^quota exceeded|^retry after 0+ ?s
+^(?:your )?session (?:has )?(?:expired|timed out|ended)\b|^(?:please )?(?:sign|log) ?in (?:again|to (?:see|view|continue|read|access))|^you (?:must|need to|have to) (?:sign|log) ?in\b|^(?:login|authentication|authori[sz]ation) (?:is )?required\b|^(?:invalid|missing|expired) (?:api key|token|credentials?)\b|^token (?:missing|expired|invalid)
+^checking your browser\b|^(?:verifying|verify|prove|confirm) (?:that )?you are (?:a )?human\b|^ddos protection by\b|^just a moment\.*$|^one moment,? please
+^traceback \(most recent call last\)|^(?:\w+\.)*\w+(?:error|exception): |^file ".*", line 0+|^segmentation fault|^fatal error\b|^(?:an )?(?:unexpected|unknown|internal) error (?:has )?occurred|^something went wrong\b|^panic: |^exception in thread
+^\{ ?"?(?:error|errors|code|message|status|detail)"? ?: ?.{0,200}(?:error|expired|missing|denied|unauthori[sz]ed|forbidden|too many|not found|invalid|timeout|unavailable|internal)
+^<!doctype html|^<html\b|^<head\b|^<body\b|<title>.{0,60}(?:error|0+|denied|forbidden|not found|bad gateway|time-?out|unavailable)|^<noscript\b|^</?(?:center|h0|hr)>
+^(?:please )?(?:enable|activate|turn on|switch on|allow) (?:javascript|java script|scripts?|cookies)\b|^(?:you(?:'ll)? (?:must|need|have) (?:to )?)(?:enable|turn on|allow|activate) (?:javascript|scripts?|cookies)\b
+^(?:this|the) (?:site|page|app|application|website|content)\b.{0,20}(?:needs?|requires?|works best with|relies on) (?:javascript|scripts?)\b|^javascript (?:is|must be|has to be|seems to be|appears to be) (?:required|needed|disabled|enabled|turned off|off)\b.{0,60}$|^(?:turn it on|allow them|enable it) (?:in your browser|and (?:press|reload|refresh))|^(?:your browser|scripts?|javascript) (?:has|have|are|is) (?:javascript |scripts? )?(?:disabled|switched off|turned off|blocked)\b|^your browser does(?:n't| not) (?:support|run) (?:javascript|scripts?)
+^bitte (?:aktivieren|schalten|erlauben)\b.*(?:javascript|skript)|javascript (?:ist|muss|wird).{0,30}(?:erforderlich|deaktiviert|aktiviert|benötigt)
+^(?:veuillez )?activ(?:ez|er)\b.*javascript|^veuillez\b.*javascript|javascript (?:est|doit).{0,30}(?:requis|désactivé|activé|nécessaire)
+^(?:por favor,? )?(?:active|activa|habilite|habilita)\b.*javascript|javascript (?:está|debe|es).{0,30}(?:desactivado|activado|necesario|requerido)
+^включите\b.*javascript|^пожалуйста,? включите|javascript (?:отключ|необходим|должен)|^для .{0,40}(?:включите|необходим) javascript
+启用 ?javascript|javascript ?(?:已)?(?:禁用|被禁用)|开启 ?javascript|需要 ?javascript|打开 ?javascript|javascript ?を(?:有効|オン)|javascript ?が(?:必要|無効)
+^ενεργοποιήστε\b.*javascript|^παρακαλώ ενεργοποιήστε|javascript (?:είναι|πρέπει)
+^seite nicht gefunden|^(?:die|diese) seite .{0,40}(?:nicht gefunden|existiert nicht|nicht verfügbar)|^zugriff verweigert|^interner serverfehler|^(?:ihre )?sitzung (?:ist )?abgelaufen|^(?:bitte )?melden sie sich .{0,20}an\b|^fehler 0+
+^page (?:introuvable|non trouvée)|^(?:cette|la) page .{0,30}(?:n'existe|introuvable)|^accès (?:refusé|interdit)|^erreur (?:interne|0+)|^(?:votre )?session (?:a )?expiré|^(?:veuillez )?(?:vous )?(?:re)?connecte[rz]-vous
+^página no encontrada|^(?:la|esta) página .{0,30}(?:no existe|no se encuentra|no encontrada)|^acceso (?:denegado|prohibido)|^error (?:interno|0+)|^(?:su|la|tu) sesión (?:ha )?(?:expir|caduc)|^inici(?:e|a) sesión
+^страница не найдена|^доступ (?:запрещ|закрыт)|^ошибка (?:сервера|0+)|^внутренняя ошибка|^(?:ваша )?сессия (?:истекла|завершена)|^(?:пожалуйста,? )?войдите\b
+您访问的页面不存在|页面(?:不存在|未找到|找不到)|(?:访问|拒绝)(?:被拒绝|访问)|服务器(?:内部)?错误|会话(?:已)?过期|请(?:先|重新)?登录|请稍[后候](?:再试|重试)|ページが見つかりません|アクセスが拒否
+^η σελίδα .{0,20}δεν (?:βρέθηκε|υπάρχει)|^δεν επιτρέπεται η πρόσβαση|^σφάλμα (?:διακομιστή|0+)|^η σύνδεση (?:έληξε|απορρίφθηκε)
+^(?:loading|please wait|processing|redirecting)(?:[.… ]*|,? please wait[.… ]*)$|^(?:bitte warten|veuillez patienter|chargement(?: en cours)?|espere,? por favor|cargando|wird geladen|laden|загрузка|подождите|加载中|请稍候|読み込み中|φόρτωση)\W*$
+\blorem ipsum\b|\bdolor sit v?amet\b|\bd[ao]lor sit \w*amet\b|^(?:xxx+|yyy+|zzz+|foo|bar|asdf|qwerty|blah|bla|test)(?:\W+(?:xxx+|yyy+|zzz+|foo|bar|baz|asdf|qwerty|blah|bla|test))*\W*$|\bconsel tira\b|\badipel novem\b|\bkonsta peribus\b
+^\W*(?:tbd|tba|tbc|todo|fixme|n/a|none|null|undefined|nan|coming soon|to be (?:done|written|added|defined|completed|determined|announced)|work in progress|wip)\W*$|^\W*(?:tbd|tba|todo|fixme|wip)\b ?[-–:] ?.{0,80}$|^\[?(?:todo|tbd|fixme)\b
+^placeholder(?: text| summary| description)?\W*$|^(?:this is )?(?:a |some )?(?:placeholder|filler|dummy|sample|example)(?: text| summary| description| content)?(?:[,.:;].{0,60})?$|^(?:summary|text|description|content|title|insert|your text) (?:goes|comes|to go|will go|text|will be added) ?(?:here|later)?\W*$
+^(?:insert|enter|add|write|put|type|describe|provide|fill in) (?:the |a |an |your |some |this )?(?:\w+ ){0,3}(?:here|below)\W*$|^(?:a |the )?(?:summary|description|text|content|documentation) (?:could not|couldn't|can ?not|was not|wasn't) (?:be )?(?:generated|created|written|produced|loaded|retrieved|found)\W*$|^(?:the |your )?(?:text|summary|description) (?:follows|to follow|will follow|is missing|missing|unavailable|not available|pending)\W*$
+^\W*(?:no|missing) (?:\w+ )?(?:summary|description|output|content|text|documentation|data|response|answer)(?: (?:available|provided|yet|generated|given|found))?\W*$|^\W*(?:\w+ )?(?:summary|description|content|text) (?:unavailable|not available|missing|pending)\W*$|^\W*(?:no output|empty|blank|not available|unavailable|model did not answer|no answer|no response)\W*$
+^(?:text|beschreibung|zusammenfassung|inhalt) (?:folgt|fehlt|kommt noch)\W*$|^(?:hier )?(?:text|beschreibung|zusammenfassung) (?:hier )?(?:einfügen|eintragen|ergänzen)|^platzhalter|^wird (?:noch )?(?:ergänzt|nachgereicht)|^keine (?:zusammenfassung|beschreibung)
+^(?:texte|résumé|description|contenu) (?:à|a) (?:venir|compléter|rédiger|insérer)|^insérer\b|^(?:pas de|aucune?) (?:résumé|description)|^à (?:compléter|venir|rédiger)\W*$|^(?:texte|résumé) (?:de remplacement|manquant)
+^(?:texto|resumen|descripción|contenido) (?:pendiente|por (?:escribir|completar|añadir)|de (?:relleno|ejemplo)|próximamente)|^(?:insertar|inserte|escriba|añadir) (?:aquí|texto|el|la|un|una)\b.{0,40}$|^(?:sin|no hay) (?:resumen|descripción)|^por (?:completar|definir|escribir)\W*$
+^(?:текст|описание|содержание|резюме) (?:будет|позже|отсутствует|появится|следует)|^вставьте\b|^(?:нет|без) описания|^заполнить\b|^здесь будет
+此处填写|填写(?:摘要|说明|描述)|待(?:补充|填写|完善|定|续)|暂无(?:摘要|说明|描述|内容)|占位(?:符|文本)|示例文本|(?:在此|这里)(?:输入|填写|插入)|ここに.{0,12}(?:入力|記入)|準備中|摘要(?:待|将|生成失败)|无法生成
+^το κείμενο (?:ακολουθεί|θα προστεθεί)|^(?:περιγραφή|περίληψη) (?:λείπει|θα ακολουθήσει|εδώ)|^συμπληρώστε\b
+"""
+_MESSAGE = re.compile("|".join(f"(?:{x})" for x in MESSAGES.strip().split("\n")))
+
+# Words of the messages above. They stand for themselves in templates, so no template mixes a
+# message with an ordinary sentence.
+PROTECTED = frozenset(w for w in re.findall(r"[^\W\d_]{3,}", re.sub(r"\(\?[:!<=]+|\\[a-zA-Z]", " ", MESSAGES)))
+
+#: Slots that a template leaves when it isn't filled in. Code between backticks is left out before.
+SLOTS = [
+    r"\{\{.{0,80}?\}\}",
+    r"\{%.{0,80}?%\}",
+    r"\$\{[^{}\n]{0,60}\}",
+    r"#\{[^{}\n]{0,60}\}",
+    r"\{[A-Za-z_][\w.]*(?:![rsaRSA])?(?::[^{}\n]{0,12})?\}",
+    r"%\([A-Za-z_]\w*\)[sdifrSDIFR]",
+    r"(?<![\w%])%[sdSD](?!\w)",
+    r"@@[\w.]+@@",
+    r"(?<![\w`])__[A-Z][A-Z0-9_]*[A-Z0-9]__(?!\w)",
+    r"\[%[^%\n]{1,60}%\]",
+    r"<%.{0,80}?%>",
+    r"<<[^<>\n]{2,80}>>",
+    r"(?<![\w>)\]`])<(?i:[a-z]+(?:[_.][a-z_]+)+|(?:domain|project|summary|name|title|author|date|owner|module|team|value|text|description|placeholder|company|email|your[ _-][\w -]+))>(?![^<]*</)",
+    r"<(?i:insert|enter|add|describe|your|todo|tbd|fill|no output|empty|placeholder|replace)\b[^<>\n]{0,60}>",
+    r"\[(?i:insert|enter|add|describe|your|todo|tbd|fill|placeholder|replace|write|put|explain|list|state|summari[sz]e)\b[^\[\]\n]{0,100}\]",
+    r"\[(?i:name|phone|email|e-mail|date|title|author|address|company|owner|team|summary|description|version|module|project|url|link|number|city|contact)\](?!\()",
+    r"[\[(<](?i:(?:no|missing) (?:\w+ )?(?:summary|description|output|content|text)|(?:\w+ ){0,2}(?:summary|description|content|text|output) (?:unavailable|missing|pending|not available|goes here|here))[\])>]",
+]
+#: The slots as one expression of Java, whose syntax is the same here.
+SLOT_PATTERN = "|".join(f"(?:{s})" for s in SLOTS)
+CODE = r"```[\s\S]*?```|`[^`\n]*`"
+
+TOKENS = re.compile(r"[^\W_]+(?:'[a-z]+)?|[^\w\s]|_+")
+
+
+def is_message(text: str) -> bool:
+    """True if a masked sentence (or a template of such) is a message, filler or notice."""
+    return bool(_MESSAGE.search(text))
+
+
+def sentences(text: Column) -> Column:
+    """The sentences and lines of ``text``, lower case, digits as ``0``, white space as single blanks."""
+    plain = F.lower(F.regexp_replace(F.regexp_replace(text, CODE, "`code`"), r"\d+", "0"))
+    parts = F.split(plain, r"(?<=[.!?])(?U:\s)+|(?<=[。！？])|(?U:\s)*[\r\n]+(?U:\s)*")
+    return F.filter(F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, r"(?U)\s+", " "), r"^ +| +$", "")), lambda s: s != "")
+
+
+def slotted(text: Column) -> Column:
+    """True if ``text`` has an unfilled slot outside code."""
+    return F.regexp_replace(text, CODE, " ").rlike(SLOT_PATTERN)
+
+
+class PrefixTree:
+    """Mines templates: below the number of tokens and the protected words, ``TREE_DEPTH`` first tokens lead to a
+    leaf; there a line joins the most similar template, whose differing tokens become ``<*>``, or founds one."""
+
+    def __init__(self) -> None:
+        self.leaves: dict[tuple, list[list[str]]] = {}
+
+    def add(self, line: str) -> list[str]:
+        tokens = TOKENS.findall(line)
+        guarded = tuple(t for t in tokens if t in PROTECTED)
+        leaf = self.leaves.setdefault((len(tokens), guarded, *tokens[:TREE_DEPTH]), [])
+        best, most = None, -1.0
+        for template in leaf:
+            same = sum(a == b for a, b in zip(template, tokens)) / max(1, len(tokens))
+            if same > most and all(a == b or a not in PROTECTED and b not in PROTECTED for a, b in zip(template, tokens)):
+                best, most = template, same
+        if best is None or most < SIMILARITY:
+            leaf.append(best := list(tokens))
+        else:
+            for i, (a, b) in enumerate(zip(best, tokens)):
+                if a != b:
+                    best[i] = "<*>"
+        return best
+
+
+def mine(lines: DataFrame, column: str) -> DataFrame:
+    """``lines`` (distinct texts in ``column``) with their ``template``.
+
+    Each partition grows a prefix tree over its own lines; equal templates of several partitions are one. Templates
+    keep message words, so a template's verdict doesn't depend on how the rows were partitioned.
+    """
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tree = PrefixTree()
+        held: list[tuple[str, list[str]]] = []
+        for batch in batches:
+            held += [(x, tree.add(x)) for x in batch[column]]
+        for i in range(0, len(held), 5000):
+            rows = held[i : i + 5000]
+            yield pd.DataFrame({column: [x for x, _ in rows], "template": [" ".join(t) for _, t in rows]})
+
+    return lines.select(column).mapInPandas(grow, f"{column} string, template string")
+
+
+@F.pandas_udf(BooleanType())
+def template_is_message(template: pd.Series, example: pd.Series) -> pd.Series:
+    return pd.Series([is_message(e) for e in example], dtype=bool)
+
+
+def detect(records: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """The distinct ``keys`` of records whose ``text`` is, wholly or in part, residue.
+
+    Sentences and lines are mined for templates with a fixed-depth prefix tree, each template is classified once
+    and its verdict goes to all its sentences; unfilled slots are looked for in every record by itself. Null,
+    empty and blank texts aren't cases, repeated rows count once, columns other than ``keys`` and ``text`` are
+    ignored. Null keys are keys like others. The join back is on the sentence, and the most frequent sentences
+    are joined by broadcast, so a message that a third of the records carry fills no task.
+    """
+    rows = records.select(*keys, F.col(text).alias("_text")).where(F.col("_text").rlike(r"(?U)\S"))
+    split = rows.select(*keys, F.explode(F.array_distinct(sentences(F.col("_text")))).alias("_line"))
+    lines = split.select("_line").distinct()
+    mined = mine(lines, "_line")
+    verdicts = mined.groupBy("template").agg(F.min("_line").alias("example")).where(template_is_message("template", "example")).select("template")
+    bad_lines = mined.join(verdicts, "template", "left_semi").select("_line", F.lit(True).alias("_bad"))
+    messages = split_join(split, bad_lines, ["_line"], "inner").select(*keys)
+    slots = rows.where(slotted(F.col("_text"))).select(*keys)
+    return messages.unionByName(slots).distinct()
+
+
+def summaries(functions: DataFrame, files: DataFrame, modules: DataFrame) -> DataFrame:
+    """(source_table, repo_name, record_key, summary) of the three stage-B tables."""
+    parts = [
+        (functions, "stage_b_function_items", F.col("item_id").cast("string"), "business_summary"),
+        (files, "stage_b_file_summaries", F.col("file"), "file_summary"),
+        (modules, "stage_b_module_summaries", F.col("module"), "module_summary"),
+    ]
+    return reduce(DataFrame.unionByName, [t.select(F.lit(n).alias("source_table"), "repo_name", k.alias("record_key"), F.col(c).alias("summary")) for t, n, k, c in parts])
+
+
+KEYS = ["source_table", "repo_name", "record_key"]
+
+
+def found(functions: DataFrame, files: DataFrame, modules: DataFrame) -> DataFrame:
+    """The records whose summary is residue."""
+    return detect(summaries(functions, files, modules), "summary", KEYS)
+
+
+def kept(functions: DataFrame, files: DataFrame, modules: DataFrame) -> DataFrame:
+    """The distinct records left over: neither blank nor residue."""
+    rows = summaries(functions, files, modules).where(F.col("summary").rlike(r"(?U)\S")).distinct()
+    bad = detect(rows, "summary", KEYS)
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in KEYS]
+    return rows.alias("r").join(bad.alias("b"), reduce(lambda a, b: a & b, same), "left_anti")
