@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.llm import documented, residue
+from quernel.llm import chunking, documented, prompts, residue
 from quernel.session import table
 
 
@@ -31,6 +31,34 @@ def p4_kept(spark: SparkSession, folder: str) -> DataFrame:
     return residue.kept(*(table(spark, folder, t) for t in STAGE_B))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p4_found": p4_found, "p4_kept": p4_kept}
+def limits(spark: SparkSession, folder: str) -> dict[str, int]:
+    """The table ``size_limits``: three fixed rows."""
+    return {r.limit_name: r.limit_value for r in table(spark, folder, "size_limits").collect()}
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Oversized chunks, and whether one of their cuts is forced."""
+    size = limits(spark, folder)
+    return chunking.kinds(table(spark, folder, "rag_chunk"), size["chunk_size"], size["chunk_overlap"])
+
+
+def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of oversized chunks."""
+    size = limits(spark, folder)
+    return chunking.pieces(table(spark, folder, "rag_chunk"), size["chunk_size"], size["chunk_overlap"])
 
-SQL: dict[str, str] = {}
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Defective prompt-response pairs with their defect."""
+    return prompts.defects(table(spark, folder, "agent_log")).select("log_id", "pair_no", "defect")
+
+
+QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p4_found": p4_found, "p4_kept": p4_kept}
+QUERIES |= {"p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found}
+
+SQL: dict[str, str] = {
+    "p5_found": r"""
+select distinct source, idx, case when exists (select 1 from unnest(regexp_split_to_array(text, '[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}。！？]')) as runs(run) where length(run) > 1200)
+  then 'forced' else 'natural' end as kind
+from rag_chunk where length(text) > 1200""",
+}
