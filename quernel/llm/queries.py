@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.llm import chunking, documented, prompts, residue
+from quernel.llm import chunking, documented, packing, prompts, residue, tokens
 from quernel.session import table
 
 
@@ -53,10 +53,33 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return prompts.defects(table(spark, folder, "agent_log")).select("log_id", "pair_no", "defect")
 
 
+def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document."""
+    return tokens.encode(table(spark, folder, "documents"))
+
+
+def p7_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts from the ids again."""
+    return tokens.decode(p7_ids(spark, folder))
+
+
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's container."""
+    return packing.containers(table(spark, folder, "documents"), limits(spark, folder)["container_capacity"])
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How well the containers are filled, beside the least number of containers."""
+    capacity = limits(spark, folder)["container_capacity"]
+    return packing.fill(packing.containers(table(spark, folder, "documents"), capacity), capacity)
+
+
 QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p4_found": p4_found, "p4_kept": p4_kept}
 QUERIES |= {"p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found}
+QUERIES |= {"p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_containers": p8_containers, "p8_fill": p8_fill}
 
 SQL: dict[str, str] = {
+    "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",
     "p5_found": r"""
 select distinct source, idx, case when exists (select 1 from unnest(regexp_split_to_array(text, '[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}。！？]')) as runs(run) where length(run) > 1200)
   then 'forced' else 'natural' end as kind
