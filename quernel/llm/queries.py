@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.llm import chunking, documented, packing, prompts, residue, tokens
+from quernel.llm import chunking, documented, lookalikes, packing, prompts, residue, tokens
 from quernel.session import table
 
 
@@ -74,9 +74,20 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill(packing.containers(table(spark, folder, "documents"), capacity), capacity)
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of documents that look the same though stored differently."""
+    return lookalikes.same_looking(table(spark, folder, "documents"))
+
+
+def p9_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text in its consistent form."""
+    return lookalikes.consistent(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "form")
+
+
 QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p4_found": p4_found, "p4_kept": p4_kept}
 QUERIES |= {"p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found}
 QUERIES |= {"p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_containers": p8_containers, "p8_fill": p8_fill}
+QUERIES |= {"p9_found": p9_found, "p9_forms": p9_forms}
 
 SQL: dict[str, str] = {
     "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",
