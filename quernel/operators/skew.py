@@ -11,18 +11,21 @@ from pyspark.sql import functions as F
 HOT_KEYS = 256
 
 
-def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", hot_keys: int = HOT_KEYS) -> DataFrame:
+def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", hot_keys: int = HOT_KEYS, counts: DataFrame | None = None) -> DataFrame:
     """``left`` joined with ``right`` (at most one row per key) without a hot key ever filling one task.
 
     The ``hot_keys`` most frequent keys of ``left`` are joined by broadcasting their rows of ``right`` (at most
     ``hot_keys`` rows, so the broadcast is bounded); all others hold at most ``1/hot_keys`` of the rows each and
-    take an ordinary shuffled join. ``how`` is ``left`` or ``inner``. Null keys never match. Empty inputs give
-    an empty result (``left`` join: the left rows with nulls). Columns of ``right`` must not clash but for ``on``.
+    take an ordinary shuffled join. ``counts`` (``on`` and ``n``) saves counting ``left`` where that is known.
+    ``how`` is ``left`` or ``inner``. Null keys never match. Empty inputs give an empty result (``left`` join: the
+    left rows with nulls). Columns of ``right`` must not clash but for ``on``.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
-    hot = left.where(known).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), *on).limit(hot_keys).select(*on)
+    if counts is None:
+        counts = left.where(known).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.orderBy(F.desc("n"), *on).limit(hot_keys).select(*on)
     kept = [c for c in right.columns if c not in on]
     hot_right = F.broadcast(right.join(F.broadcast(hot), on, "left_semi").withColumn("_met", F.lit(True)))
     hot_keys_flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
