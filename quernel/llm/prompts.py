@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quernel.llm.languages import language
 from quernel.operators.skew import split_join
+from quernel.session import cut
 
 _TAGS = {"Q": "prompt", "R": "prompt", "QUESTION": "prompt", "REQUIREMENT": "prompt", "A": "response", "S": "response", "ANSWER": "response", "SOLUTION": "response"}
 _ITEM = re.compile(r"<(QA|DESIGN)\s*>", re.I)
@@ -305,10 +306,12 @@ def sentence_ends(log: DataFrame) -> DataFrame:
     """(token, ends) - tokens that stand before a final mark somewhere in the log, with digits as 0, and how often.
 
     Two signs count as a token before 。！？. All contents of all agents are used."""
-    found = F.expr(r"regexp_extract_all(lower(content), '([^\\s\"\'”’»)`*_>\\]]+)[\"\'”’»)`*_\\]]*[.!?](?=[\\s<\"”»)]|$)', 1)")
-    wide = F.expr(r"regexp_extract_all(content, '([\\u3040-\\u30ff\\u3400-\\u9fff]{2})[。！？]', 1)")
-    tokens = log.where(F.col("content").isNotNull()).select(F.explode(F.concat(found, wide)).alias("token"))
-    return tokens.select(F.regexp_replace(F.regexp_replace("token", r"\d+", "0"), r"^[“«\"'`*_(\[{]+", "").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("ends"))
+    closers = "[\"'”’»)`*_\\],}]"
+    found = F.regexp_extract_all("content", F.lit(rf"(?<![^\s>])[^\s<]*[.!?]{closers}*(?=[\s<]|$)"), F.lit(0))
+    wide = F.regexp_extract_all("content", F.lit(r"([\u3040-\u30ff\u3400-\u9fff]{2})[。！？]"), F.lit(1))
+    tokens = log.where(F.col("content").isNotNull()).select(F.explode(F.concat(found, wide)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("ends"))
+    bare = F.regexp_replace(F.lower("token"), rf"^[“«\"'`*_(\[{{]+|{closers}*[.!?]{closers}*$", "")
+    return tokens.groupBy(F.regexp_replace(bare, r"\d+", "0").alias("token")).agg(F.sum("ends").alias("ends"))
 
 
 #: A response that stands word for word in so many logs is whole: texts that break off don't repeat.
@@ -323,12 +326,12 @@ def defects(log: DataFrame) -> DataFrame:
     sentence in the whole log and it doesn't stand in ``REPEATED`` logs or more. Null and empty contents have no pairs.
     """
     shape = F.xxhash64(F.regexp_replace(F.btrim(F.regexp_replace("response", r"`\w+`", "`x`"), F.lit(" \t\r\n")), r"\d+", "0"))
-    judged = pairs(log).select("log_id", "component_id", "pair_no", "defect", "token", shape.alias("shape"))
+    judged = cut(pairs(log).select("log_id", "component_id", "pair_no", "defect", "token", shape.alias("shape")).where("defect is not null"))
     key = ["log_id", "component_id", "pair_no"]
     sure = judged.where(F.col("defect") != "open").select(*key, "defect")
     unsure = judged.where(F.col("defect") == "open")
     ends = sentence_ends(log).where(F.col("ends") >= 2)
     often = unsure.select("shape", "log_id").distinct().groupBy("shape").agg(F.count(F.lit(1)).alias("logs")).where(F.col("logs") >= REPEATED)
-    cut = split_join(unsure.drop("defect"), ends, ["token"]).where(F.col("ends").isNull()).drop("ends", "token")
-    cut = split_join(cut, often, ["shape"]).where(F.col("logs").isNull()).select(*key, F.lit("truncated").alias("defect"))
-    return sure.unionByName(cut).distinct()
+    short = split_join(unsure.drop("defect"), ends, ["token"]).where(F.col("ends").isNull()).drop("ends", "token")
+    short = split_join(short, often, ["shape"]).where(F.col("logs").isNull()).select(*key, F.lit("truncated").alias("defect"))
+    return sure.unionByName(short).distinct()
