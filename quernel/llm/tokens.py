@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
 from quernel.operators.skew import split_join
+from quernel.session import cut
 
 #: Where the public vocabularies lie; a parameter of each operator.
 TOKENIZERS = os.environ.get("QUERNEL_TOKENIZERS", "/opt/tokenizers")
@@ -75,14 +76,14 @@ def pretokens(df: DataFrame, text: str, into: str) -> DataFrame:
     return known.unionByName(df.where(unknown).withColumn(into, _pretokens(text)))
 
 
-def encode_words(words: DataFrame, encoder: Encoder, column: str = "word") -> DataFrame:
-    """``words`` (distinct) with their ids."""
+def encode_words(words: DataFrame, encoder: Encoder) -> DataFrame:
+    """(word, n, word_ids) of distinct words with their counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({column: batch[column], "word_ids": [encoder.ids(w) for w in batch[column]]})
+            yield batch.assign(word_ids=[encoder.ids(w) for w in batch["word"]])
 
-    return words.select(column).mapInPandas(run, StructType([StructField(column, StringType()), StructField("word_ids", ArrayType(IntegerType()))]))
+    return words.select("word", "n").mapInPandas(run, "word string, n long, word_ids array<int>")
 
 
 def encode(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -98,10 +99,10 @@ def encode(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
     encoder = Encoder(spark, path or vocabulary_path())
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("digest", F.xxhash64("text"))
     places = pretokens(rows, "text", "words").select("doc_id", "digest", F.posexplode_outer("words").alias("pos", "word"))
-    coded = encode_words(places.where(F.col("word").isNotNull()).select("word").distinct(), encoder)
-    joined = split_join(places.where(F.col("word").isNotNull()), coded, ["word"]).select("doc_id", "digest", "pos", "word_ids")
-    bare = places.where(F.col("word").isNull()).select("doc_id", "digest", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("array<int>").alias("word_ids"))
-    put = joined.unionByName(bare).groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "word_ids")))).alias("parts"))
+    words = places.where(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    coded = cut(encode_words(words, encoder))
+    joined = split_join(places, coded.select("word", "word_ids"), ["word"], counts=coded.select("word", "n")).select("doc_id", "digest", "pos", "word_ids")
+    put = joined.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "word_ids")))).alias("parts"))
     # copies of a row bring each position again: keep the first
     once = F.filter("parts", lambda p, i: (i == 0) | (F.get("parts", i - 1)["pos"] != p["pos"]))
     return put.select("doc_id", F.flatten(F.transform(once, lambda p: p["word_ids"])).alias("ids"))
