@@ -1,0 +1,128 @@
+"""Windows over time and turns: usage, cost, batches, conversations, ordered dedup under a budget."""
+
+from __future__ import annotations
+
+import math
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def sliding_usage(events: DataFrame, keys: list[str], time: str, amounts: list[str], seconds: int = 60) -> DataFrame:
+    """``events`` with the number of events and the sums of ``amounts`` over the last ``seconds`` up to each event, of
+    the same ``keys``; an event exactly ``seconds`` ago still counts, and so do events at the same time."""
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time}`)")
+    span = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
+    out = events.withColumn("_us", micros)
+    out = out.withColumns({"events_in_window": F.count(F.lit(1)).over(span)} | {f"{a}_in_window": F.sum(a).over(span) for a in amounts})
+    return out.drop("_us")
+
+
+def waits(usage: DataFrame, time: str, limits: dict[str, float], keys: list[str], seconds: int = 60, keep: float = 0.9) -> DataFrame:
+    """``usage`` (of ``sliding_usage``) with ``wait_s``: how long a request must wait until all of ``limits`` (column to
+    its limit, of which ``keep`` is used) have room: until the window's oldest event leaves it; 0 if there is room."""
+    span = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time}`)")
+    out = usage.withColumn("_us", micros).withColumn("_oldest", F.min("_us").over(span))
+    full = None
+    for c, limit in limits.items():
+        over = F.col(c) > limit * keep
+        full = over if full is None else full | over
+    wait = F.when(full, F.greatest(F.lit(0.0), seconds - (F.col("_us") - F.col("_oldest")) / 1e6)).otherwise(0.0)
+    return out.withColumn("wait_s", F.round(wait, 6)).drop("_us", "_oldest")
+
+
+def running_cost(events: DataFrame, keys: list[str], order: list[str], tokens: str, per_million: float) -> DataFrame:
+    """``events`` with ``running_tokens`` and ``running_cost`` up to each event, per ``keys``."""
+    span = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum(tokens).over(span)
+    return events.withColumn("running_tokens", total).withColumn("running_cost", F.round(total * per_million / 1e6, 9))
+
+
+def batch_numbers(rows: DataFrame, keys: list[str], order: list[str], size: int = 50) -> DataFrame:
+    """``rows`` with ``batch``, from 1, of ``size`` rows each per ``keys``."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("batch", (F.floor((place - 1) / size) + 1).cast("int"))
+
+
+def batch_count(n: int, size: int = 50) -> int:
+    return math.ceil(n / size)
+
+
+def collapse_roles(turns: DataFrame, conversation: str, turn: str, role: str) -> DataFrame:
+    """Turns whose role differs from the turn before: runs of one role keep their first."""
+    before = F.lag(role).over(Window.partitionBy(conversation).orderBy(turn))
+    return turns.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("_before") != F.col(role))).drop("_before")
+
+
+def ends_with_user(turns: DataFrame, conversation: str, turn: str, role: str) -> DataFrame:
+    """(conversation, ok): whether the last turn is the user's."""
+    return turns.groupBy(conversation).agg((F.max_by(role, turn) == "user").alias("ok"))
+
+
+def newest_within(turns: DataFrame, conversation: str, turn: str, cost: str, budget: int) -> DataFrame:
+    """The newest turns of each conversation whose costs together stay within ``budget``: a running sum from the end."""
+    span = Window.partitionBy(conversation).orderBy(F.desc(turn)).rowsBetween(Window.unboundedPreceding, 0)
+    return turns.withColumn("_sum", F.sum(cost).over(span)).where(F.col("_sum") <= budget).drop("_sum")
+
+
+def fit_conversation(turns: DataFrame, conversation: str, turn: str, role: str, text: str, max_tokens: int) -> DataFrame:
+    """(conversation, turn, role, text, cut): what of each conversation fits ``max_tokens`` (1.3 a word and 4 a message).
+
+    System turns stay; others are taken from the newest on while they fit; a user's turn that doesn't is cut from its
+    front if more than 20 tokens are left, and the walk ends when 20 or fewer are. Sequential within a conversation,
+    so a conversation is one group.
+    """
+    kinds = dict(turns.dtypes)
+    schema = f"{conversation} {kinds[conversation]}, {turn} {kinds[turn]}, {role} string, {text} string, cut boolean"
+
+    def cost(value: str) -> int:
+        return int(len((value or "").split()) * 1.3) + 4
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(turn)
+        system = pdf[role].str.lower() == "system"
+        left = max_tokens - sum(cost(t) for t in pdf.loc[system, text]) - 2
+        kept = [(*r, False) for r in pdf.loc[system, [conversation, turn, role, text]].itertuples(index=False)]
+        for conv, number, who, words in reversed(list(pdf.loc[~system, [conversation, turn, role, text]].itertuples(index=False))):
+            need = cost(words) + 2
+            if need <= left:
+                kept.append((conv, number, who, words, False))
+                left -= need
+            elif who.lower() == "user" and left > 20:
+                share = left / need
+                start = int(len(words) * (1 - share + (0.1 if share < 0.5 else 0)))
+                short = ("[...truncated...] " if share < 0.5 else "") + words[start:].strip()
+                if cost(short) + 2 <= left:
+                    kept.append((conv, number, who, short, True))
+                    left -= cost(short) + 2
+            if left <= 20:
+                break
+        return pd.DataFrame(kept, columns=[conversation, turn, role, text, "cut"]).sort_values(turn)
+
+    return turns.select(conversation, turn, role, text).groupBy(conversation).applyInPandas(run, schema)
+
+
+def message_tokens(turns: DataFrame, conversation: str, text: str, per_message: int = 4, per_call: int = 2) -> DataFrame:
+    """(conversation, tokens): the estimate of 1.3 tokens a word plus the overhead of messages and of the call."""
+    from quernel.functions.text import token_estimate
+
+    return turns.groupBy(conversation).agg((F.sum(F.floor(token_estimate(text)) + per_message) + per_call).cast("long").alias("tokens"))
+
+
+def ordered_dedup(rows: DataFrame, keys: list[str], order: list[str], text: str, budget: int) -> DataFrame:
+    """``rows`` in ``order``, each ``text`` once per ``keys``, as long as the characters of those before are under ``budget``."""
+    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, text).orderBy(*order))).where("_n = 1").drop("_n")
+    before = F.coalesce(F.sum(F.length(text)).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return first.withColumn("chars_before", before).where(F.col("chars_before") < budget)
+
+
+def longest_section(sections: DataFrame, keys: list[str], ordinal: str, size: str) -> DataFrame:
+    """(keys, ordinal): the section with the greatest size, the first of equal ones."""
+    return sections.groupBy(*keys).agg(F.max_by(ordinal, F.struct(F.col(size), -F.col(ordinal))).alias(ordinal))
+
+
+def top_per_group(rows: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:
+    """At most ``k`` rows per ``keys``, with their ``place``; the limit is pushed below the sort."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("place") <= k)

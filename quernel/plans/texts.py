@@ -1,0 +1,338 @@
+"""Queries over texts, retrieval, events and conversations."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quernel.functions import text as T
+from quernel.operators import retrieval, trees, windows
+from quernel.plans.registry import Registry
+from quernel.session import table
+from quernel.sources import readers
+from quernel.streaming import jobs
+
+R = Registry()
+QUERIES, SQL = R.queries, R.sql
+
+DOCS = "(select doc_id, text from documents)"
+#: White space of Unicode, as a class of DuckDB's expressions.
+WS = "[\\s\\x{0b}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+NORMAL = f"regexp_replace(regexp_replace(text, '{WS}+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+def docs(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", "text")
+
+
+@R.add("normalize_ws", f"select doc_id, {NORMAL} as clean from documents")
+def normalize_ws(spark, folder):
+    """STR02."""
+    return docs(spark, folder).select("doc_id", T.normalize_ws("text").alias("clean"))
+
+
+@R.add("think_strip", f"select doc_id, regexp_replace(text, '^{WS}+', '') as answer from documents")
+def think_strip(spark, folder):
+    """Thinking blocks put before and after each text are gone again (STR01)."""
+    rows = docs(spark, folder).withColumn("reply", F.concat(F.lit("<think>a\nb</think>\n "), "text", F.lit("<THINK>c</THINK>")))
+    return rows.select("doc_id", T.strip_think("reply").alias("answer"))
+
+
+@R.add("token_estimate", f"select doc_id, round(case when coalesce({NORMAL}, '') = '' then 0 else len(string_split({NORMAL}, ' ')) end * 1.3, 6) as tokens from documents")
+def token_estimate(spark, folder):
+    """TOK01."""
+    return docs(spark, folder).select("doc_id", F.round(T.token_estimate("text"), 6).alias("tokens"))
+
+
+@R.add("truncated_60", f"select doc_id, case when text is null then '' when {NORMAL} = '' or len(string_split({NORMAL}, ' ')) <= 60 then text else array_to_string(list_slice(string_split({NORMAL}, ' '), 1, 60), ' ') end as head from documents")
+def truncated_60(spark, folder):
+    """TOK02, STR09 with words for tokens."""
+    return docs(spark, folder).select("doc_id", T.truncate_words("text", 60).alias("head"))
+
+
+@R.add("text_chunks", """select doc_id, i::integer as idx, substring(text, i::bigint * 1050 + 1, 1200) as chunk from (select doc_id, text, unnest(range(0, 1 + greatest(0, ceil((length(text) - 1200) / 1050.0))::bigint)) as i from documents where length(text) > 0)""")
+def text_chunks(spark, folder):
+    """CHK01, RET01, WIN13."""
+    return retrieval.chunk_table(docs(spark, folder), "doc_id", "text").withColumnRenamed("text", "chunk")
+
+
+@R.add("comma_lists", f"select doc_id, list_filter(list_transform(string_split(coalesce(text, ''), ','), x -> regexp_replace(x, '^{WS}+|{WS}+$', '', 'g')), x -> x <> '') as parts from documents")
+def comma_lists(spark, folder):
+    """STR05."""
+    return docs(spark, folder).select("doc_id", T.comma_list("text").alias("parts"))
+
+
+@R.add("first_lines", "select doc_id, regexp_split_to_array(text, '\\r\\n|[\\n\\r\\x{0b}\\x{0c}\\x{85}\\x{2028}\\x{2029}]')[1] as line from documents")
+def first_lines(spark, folder):
+    """STR11."""
+    return docs(spark, folder).select("doc_id", T.first_line("text").alias("line"))
+
+
+@R.add("chat_roles", "select log_id, case when lower(agent) in ('ai', 'assistant') then 'assistant' when lower(agent) = 'system' then 'system' else 'user' end as role from (select distinct log_id, agent from agent_log)")
+def chat_roles(spark, folder):
+    """STR14."""
+    return table(spark, folder, "agent_log").select("log_id", "agent").distinct().select("log_id", T.chat_role("agent").alias("role"))
+
+
+@R.add("json_replies", "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events")
+def json_replies(spark, folder):
+    """JSON out of replies in fences and with single quotes (JSN01, JSN02)."""
+    wrapped = F.concat(F.lit("Here it is:\n```json\n"), F.replace("props", F.lit('"'), F.lit("'")), F.lit("\n```"))
+    body = T.json_reply(wrapped)
+    return table(spark, folder, "events").select("event_id", F.from_json(body, "k bigint")["k"].alias("k"))
+
+
+@R.add("info_needs", "select doc_id, doc_id % 3 = 0 as needed from documents")
+def info_needs(spark, folder):
+    """XML01."""
+    flag = F.when(F.col("doc_id") % 3 == 0, " True ").otherwise("false")
+    return docs(spark, folder).select("doc_id", T.needs_info(F.concat(F.lit("x <INFO_NEED>"), flag, F.lit("</INFO_NEED><INFO_NEED>true</INFO_NEED>"))).alias("needed"))
+
+
+@R.add("reader_requests", "select doc_id, case when doc_id % 4 = 1 then [] else ['A', 'B' || doc_id] end as classes, case when doc_id % 4 = 1 then false else doc_id % 2 = 0 end as call_by, case when doc_id % 4 = 1 then [] else ['q ' || doc_id] end as queries from documents")
+def reader_requests(spark, folder):
+    """A well-formed request, and one whose closing tags are wrong (XML02)."""
+    n = F.col("doc_id").cast("string")
+    good = F.concat(F.lit("<REQUEST><INTERNAL><CALLS><CLASS>A, B"), n, F.lit("</CLASS></CALLS><CALL_BY>"), F.when(F.col("doc_id") % 2 == 0, "true").otherwise("no"), F.lit("</CALL_BY></INTERNAL><RETRIEVAL><QUERY>q "), n, F.lit("</QUERY></RETRIEVAL></REQUEST>"))
+    bad = F.lit("<REQUEST><INTERNAL><CALLS><CLASS>A<\\CLASS></CALLS></INTERNAL></REQUEST>")
+    asked = T.request(F.when(F.col("doc_id") % 4 == 1, bad).otherwise(good))
+    return docs(spark, folder).select("doc_id", asked["classes"].alias("classes"), asked["call_by"].alias("call_by"), asked["queries"].alias("queries"))
+
+
+@R.add("budgets", "select doc_id, cast(greatest(256, floor(greatest(256, n - 628) * 0.6)) as integer) as document, cast(greatest(32, floor(n * 0.12)) as integer) as title, cast(greatest(128, floor(n * 0.44)) as integer) as body, cast(greatest(128, n - greatest(32, floor(n * 0.12)) - greatest(128, floor(n * 0.44))) as integer) as context from (select doc_id, coalesce(n_chars, 0) as n from documents)")
+def budgets(spark, folder):
+    """TOK04."""
+    rows = table(spark, folder, "documents").select("doc_id", F.coalesce("n_chars", F.lit(0)).alias("n"))
+    parts = T.section_budgets("n")
+    return rows.select("doc_id", T.doc_budget("n", F.lit(1000)).alias("document"), *[parts[c].alias(c) for c in ("title", "body", "context")])
+
+
+@R.add("headings", None)
+def headings(spark, folder):
+    """Heading trees of documents (MD01); tested against a plain loop."""
+    return trees.headings(docs(spark, folder), "doc_id", "text")
+
+
+@R.add("heading_titles", """with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as n from documents where text is not null and not regexp_matches(text, '[\\r\\x{0b}\\x{0c}\\x{85}\\x{2028}\\x{2029}]')),
+h as (select doc_id, n, length(regexp_extract(line, '^(#{1,6})', 1)) as level, regexp_replace(regexp_extract(line, '^#{1,6}\\s+(.*)$', 1), '^\\s+|\\s+$', '', 'g') as title from l where regexp_matches(line, '^#{1,6}\\s+.*$'))
+select doc_id, cast(row_number() over (partition by doc_id order by n) as integer) as ord, cast(level as integer) as level, regexp_replace(title, '^[\\x{a0}\\x{2007}\\x{202f}]+|[\\x{a0}\\x{2007}\\x{202f}]+$', '', 'g') as title from h""".replace("#{1,6}\\s+", "#{1,6}[\\s\\x{a0}\\x{2007}\\x{202f}]+"))
+def heading_titles(spark, folder):
+    plain = docs(spark, folder).where(~F.col("text").rlike(r"[\r\u000b\f\u0085  ]"))
+    return trees.headings(plain, "doc_id", "text").where("level > 0").select("doc_id", "ord", "level", "title")
+
+
+@R.add("outlines", None)
+def outlines(spark, folder):
+    """Headings as nested bullets (MD02, MD03)."""
+    return trees.outline(headings(spark, folder), "doc_id")
+
+
+@R.add("substring_topk", """with q(query_id, q) as (values ('a', 'tide'), ('b', 'the voucher pool'), ('c', 'lagerfach')),
+s as (select query_id, doc_id, cast((length(lower(text)) - length(replace(lower(text), q, ''))) / length(q) as integer) as hits from documents, q where text is not null),
+r as (select *, row_number() over (partition by query_id order by hits desc, doc_id) as place from s where hits > 0) select query_id, doc_id, hits, place from r where place <= 4""")
+def substring_topk(spark, folder):
+    """RET04, WIN05."""
+    asked = [("a", "tide"), ("b", "the voucher pool"), ("c", "lagerfach")]
+    return retrieval.substring_search(docs(spark, folder), asked, "doc_id", "text", 4).withColumn("place", F.col("place").cast("long"))
+
+
+@R.add("cosine_topk", """with n as (select vec_id, list_transform(embedding, x -> x::double / sqrt(list_sum(list_transform(embedding, y -> y::double * y::double)))) as v from embeddings),
+s as (select q.vec_id as query_id, n.vec_id, list_sum(list_transform(list_zip(q.v, n.v), p -> p[1]::float::double * p[2]::float::double)) as sim from n q, n where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by round(sim, 9) desc, vec_id) as place from s) select query_id, vec_id, place from r where place <= 4""")
+def cosine_topk(spark, folder):
+    """Every hundredth vector against all, exact (RET02, RET03)."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", retrieval.normalized("embedding").alias("embedding"))
+    asked = vectors.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    return retrieval.similar(asked, vectors, 4).select("query_id", "vec_id", F.col("place").cast("long").alias("place"))
+
+
+@R.add("relevant_text", None)
+def relevant_text(spark, folder):
+    """What of each long source is relevant to three queries, within a budget (RET08, SET03)."""
+    asked = [("purpose", "reads"), ("rules", "only"), ("risk", "failed")]
+    chunks = table(spark, folder, "rag_chunk").where("text is not null").distinct()
+    return retrieval.relevant_text(chunks, asked, "source", "idx", "text", 4, 2048)
+
+
+@R.add("ordered_dedup_budget", """with d as (select source, idx, text, row_number() over (partition by source, text order by idx) as n from (select distinct source, idx, text from rag_chunk where text is not null)),
+s as (select source, idx, text, coalesce(sum(length(text)) over (partition by source order by idx rows between unbounded preceding and 1 preceding), 0) as chars_before from d where n = 1)
+select source, idx, cast(chars_before as bigint) as chars_before from s where chars_before < 3000""")
+def ordered_dedup_budget(spark, folder):
+    """SET03."""
+    rows = table(spark, folder, "rag_chunk").where("text is not null").select("source", "idx", "text").distinct()
+    return windows.ordered_dedup(rows, ["source"], ["idx"], "text", 3000).select("source", "idx", "chars_before")
+
+
+@R.add("sliding_60s_usage", """select event_id, count(*) over w as events_in_window, round(sum(value) over w, 6) as value_in_window from events
+window w as (partition by event_type order by ts range between interval 60 seconds preceding and current row)""")
+def sliding_60s_usage(spark, folder):
+    """WIN06."""
+    used = windows.sliding_usage(table(spark, folder, "events"), ["event_type"], "ts", ["value"])
+    return used.select("event_id", "events_in_window", F.round("value_in_window", 6).alias("value_in_window"))
+
+
+@R.add("sliding_hour_usage", """select event_id, count(*) over w as events_in_window from events
+window w as (partition by user_id order by ts range between interval 3600 seconds preceding and current row)""")
+def sliding_hour_usage(spark, folder):
+    return windows.sliding_usage(table(spark, folder, "events"), ["user_id"], "ts", [], 3600).select("event_id", "events_in_window")
+
+
+@R.add("waits", """with u as (select event_id, event_type, ts, count(*) over w as n, min(ts) over w as oldest from events window w as (partition by event_type order by ts range between interval 3600 seconds preceding and current row))
+select event_id, round(case when n > 2 * 0.9 then greatest(0, 3600 - date_diff('microsecond', oldest, ts) / 1e6) else 0 end, 6) as wait_s from u""")
+def waits(spark, folder):
+    """How long a request must wait for room in its window (WIN07)."""
+    used = windows.sliding_usage(table(spark, folder, "events"), ["event_type"], "ts", [], 3600)
+    return windows.waits(used, "ts", {"events_in_window": 2}, ["event_type"], 3600).select("event_id", "wait_s")
+
+
+@R.add("admissions", None)
+def admissions(spark, folder):
+    """Admission one after another under limits per type, with back-pressure (WIN07, STM04)."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    asked = table(spark, folder, "events").select(F.concat_ws("-", "event_type", "user_id").alias("key"), "event_id", (micros / 1000).cast("long").alias("at"), F.length("props").cast("long").alias("tokens"))
+    return jobs.admit(asked, "key", "event_id", "at", "tokens", 5, 1000, 3600)
+
+
+@R.add("running_cost", """select event_id, cast(sum(length(props)) over w as bigint) as running_tokens, round(sum(length(props)) over w * 3.0 / 1e6, 9) as running_cost from events window w as (partition by user_id order by ts, event_id rows unbounded preceding)""")
+def running_cost(spark, folder):
+    """AGG17, WIN08."""
+    rows = table(spark, folder, "events").withColumn("tokens", F.length("props"))
+    return windows.running_cost(rows, ["user_id"], ["ts", "event_id"], "tokens", 3.0).select("event_id", "running_tokens", "running_cost")
+
+
+@R.add("usage_totals", "select event_type, count(*) as calls, cast(sum(length(props)) as bigint) as tokens, round(sum(length(props)) * 3.0 / 1e6, 9) as cost from events group by 1")
+def usage_totals(spark, folder):
+    return table(spark, folder, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("calls"), F.sum(F.length("props")).alias("tokens"), F.round(T.price(F.sum(F.length("props")), F.lit(3.0)), 9).alias("cost"))
+
+
+@R.add("batch_numbers", "select repo_name, item_id, cast(floor((row_number() over (partition by repo_name order by item_id) - 1) / 50) + 1 as integer) as batch from (select distinct repo_name, item_id from stage_b_function_items)")
+def batch_numbers(spark, folder):
+    """WIN09."""
+    rows = table(spark, folder, "stage_b_function_items").select("repo_name", "item_id").distinct()
+    return windows.batch_numbers(rows, ["repo_name"], ["item_id"])
+
+
+TURNS = "(select distinct repo_name, log_id, agent, content from agent_log)"
+
+
+def turns(spark, folder):
+    return table(spark, folder, "agent_log").select("repo_name", "log_id", "agent", "content").distinct()
+
+
+@R.add("role_collapse", f"select repo_name, log_id, agent from (select *, lag(agent) over (partition by repo_name order by log_id) as b from {TURNS}) where b is null or b <> agent")
+def role_collapse(spark, folder):
+    """WIN11."""
+    return windows.collapse_roles(turns(spark, folder), "repo_name", "log_id", "agent").select("repo_name", "log_id", "agent")
+
+
+@R.add("last_turns", f"select repo_name, arg_max(agent, log_id) = 'writer' as ok from {TURNS} group by 1")
+def last_turns(spark, folder):
+    rows = turns(spark, folder).withColumn("role", F.when(F.col("agent") == "writer", "user").otherwise("assistant"))
+    return windows.ends_with_user(rows, "repo_name", "log_id", "role")
+
+
+@R.add("budget_suffix", f"select repo_name, log_id from (select *, sum(coalesce(length(content), 0)) over (partition by repo_name order by log_id desc rows unbounded preceding) as s from {TURNS}) where s <= 4000")
+def budget_suffix(spark, folder):
+    """Newest turns within a budget (WIN10)."""
+    rows = turns(spark, folder).withColumn("cost", F.coalesce(F.length("content"), F.lit(0)))
+    return windows.newest_within(rows, "repo_name", "log_id", "cost", 4000).select("repo_name", "log_id")
+
+
+@R.add("fitted_conversations", None)
+def fitted_conversations(spark, folder):
+    """The exact greedy walk with cut turns (WIN10); tested against a plain loop."""
+    rows = turns(spark, folder).select("repo_name", "log_id", F.when(F.col("agent") == "writer", "user").otherwise("assistant").alias("role"), F.coalesce("content", F.lit("")).alias("content"))
+    return windows.fit_conversation(rows, "repo_name", "log_id", "role", "content", 800)
+
+
+@R.add("message_tokens", f"""select repo_name, cast(sum(floor(round(case when c = '' then 0 else len(string_split(c, ' ')) end * 1.3, 6)) + 4) + 2 as bigint) as tokens
+from (select repo_name, regexp_replace(regexp_replace(coalesce(content, ''), '{WS}+', ' ', 'g'), '^ | $', '', 'g') as c from {TURNS}) group by 1""")
+def message_tokens(spark, folder):
+    """TOK03."""
+    return windows.message_tokens(turns(spark, folder), "repo_name", "content")
+
+
+@R.add("longest_sections", "select source, arg_max(idx, struct_pack(a := coalesce(length(text), 0), b := -idx)) as idx from (select distinct source, idx, text from rag_chunk) group by 1")
+def longest_sections(spark, folder):
+    """AGG19, TOK05."""
+    rows = table(spark, folder, "rag_chunk").select("source", "idx", F.coalesce(F.length("text"), F.lit(0)).alias("n")).distinct()
+    return windows.longest_section(rows, ["source"], "idx", "n")
+
+
+@R.add("context_sections", """select source, string_agg('<' || section || '>' || chr(10) || body || chr(10) || '</' || section || '>', chr(10) order by section) as text from (
+select source, 'PART' || (idx % 2) as section, string_agg(md5(coalesce(text, '')), chr(10) order by idx, md5(coalesce(text, ''))) as body from (select distinct source, idx, text from rag_chunk) group by all) group by source""")
+def context_sections(spark, folder):
+    """Sections of a context, rounds appended (XML03, SET06)."""
+    from quernel.operators.render import context_sections as build
+
+    rows = table(spark, folder, "rag_chunk").select("source", "idx", "text").distinct()
+    rows = rows.select("source", F.concat(F.lit("PART"), F.col("idx") % 2).alias("section"), F.col("idx").alias("round"), F.md5(F.coalesce("text", F.lit(""))).alias("content"))
+    return build(rows, ["source"])
+
+
+@R.add("clocks", "select event_id, printf('%02d:%02d:%02d', s // 3600, s % 3600 // 60, s % 60) as clock from (select event_id, cast(floor(abs(value)) as bigint) as s from events)")
+def clocks(spark, folder):
+    """MAT02."""
+    return table(spark, folder, "events").select("event_id", T.clock(F.abs("value")).alias("clock"))
+
+
+@R.add("iso_days", "select event_id, strftime(ts, '%Y-%m-%d') as day, strftime(ts, '%Y-%m-%dT%H:%M:%S') as moment from events")
+def iso_days(spark, folder):
+    """DAT01, DAT02."""
+    return table(spark, folder, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("moment"))
+
+
+@R.add("name_lists", "select repo_name, file, case when len(key_terms) > 6 then array_to_string(key_terms[1:6], ', ') || ', +' || (len(key_terms) - 6) || ' more' else array_to_string(key_terms, ', ') end as terms from (select distinct repo_name, file, key_terms from stage_b_file_summaries)")
+def name_lists(spark, folder):
+    """ARR01, WIN14."""
+    from quernel.operators.fold import more
+
+    return table(spark, folder, "stage_b_file_summaries").select("repo_name", "file", "key_terms").distinct().select("repo_name", "file", more("key_terms", 6).alias("terms"))
+
+
+@R.add("glossaries", "select repo_name, file, array_to_string(list_transform(coalesce(key_terms, []), x -> '- ' || x || ': ' || length(x)), chr(10)) as text from (select distinct repo_name, file, key_terms from stage_b_file_summaries)")
+def glossaries(spark, folder):
+    """MAP01, FIL14."""
+    rows = table(spark, folder, "stage_b_file_summaries").select("repo_name", "file", "key_terms").distinct()
+    entries = F.transform(T.as_list("key_terms"), lambda t: F.struct(t.alias("key"), F.length(t).cast("string").alias("value")))
+    return rows.select("repo_name", "file", T.glossary(entries).alias("text"))
+
+
+@R.add("links", "select repo_name, file, '[' || file || '](pages/' || file || '.md)' as link from (select distinct repo_name, file from stage_b_file_summaries)")
+def links(spark, folder):
+    """STR04."""
+    return table(spark, folder, "stage_b_file_summaries").select("repo_name", "file").distinct().select("repo_name", "file", T.md_link("file", F.concat(F.lit("pages/"), "file", F.lit(".md"))).alias("link"))
+
+
+@R.add("repository_search", """select c_custkey, full_name from (select c_custkey, lower(c_mktsegment) || '/' || c_name as full_name, c_acctbal as stars, c_nationkey as forks from customer)
+where split_part(full_name, '/', 1) in ('building', 'machinery') and stars > 1000 and stars < 9000 and forks > 3 order by stars desc, full_name limit 50""")
+def repository_search(spark, folder):
+    """Search conditions, sort and limit (SRC14, FIL06, FIL07, WIN15); customers stand for repositories."""
+    rows = table(spark, folder, "customer").select("c_custkey", F.concat_ws("/", F.lower("c_mktsegment"), "c_name").alias("full_name"), F.col("c_acctbal").alias("stars"), F.col("c_nationkey").alias("forks"))
+    asked = {"owners": ["building", "machinery"], "stars": {"min": 1000, "max": 9000}, "forks": {"min": 3}, "sort": "stars", "limit": 50}
+    return readers.search(rows, asked).select("c_custkey", "full_name")
+
+
+@R.add("base64_texts", "select doc_id, coalesce(text, '') as text from documents")
+def base64_texts(spark, folder):
+    """SRC15."""
+    return docs(spark, folder).select("doc_id", readers.decoded(F.base64(F.encode("text", "UTF-8"))).alias("text"))
+
+
+@R.add("python_shares", "select p_partkey, round(100.0 * p_size / (p_size + 10), 6) as share from part")
+def python_shares(spark, folder):
+    """AGG16."""
+    sizes = F.create_map(F.lit("Python"), F.col("p_size").cast("long"), F.lit("C"), F.lit(10).cast("long"))
+    return table(spark, folder, "part").select("p_partkey", F.round(readers.python_share(sizes), 6).alias("share"))
+
+
+@R.add("done_keys", "select distinct component_id from agent_log where component_id is not null")
+def done_keys(spark, folder):
+    """SRC05."""
+    return table(spark, folder, "agent_log").where("component_id is not null").select("component_id").distinct()
+
+
+@R.add("usage_in_windows", """select time_bucket(interval 60 seconds, ts) as start, event_type, count(*) as events from events group by all""")
+def usage_in_windows(spark, folder):
+    """The windows of the streaming form, over a table (STM04)."""
+    used = jobs.usage_stream(table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], [], 60, 60)
+    return used.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events")
