@@ -39,7 +39,7 @@ def normalize_ws(text: Column | str) -> Column:
 
 def lines(text: Column | str) -> Column:
     """The lines of a text; line ends are those of Unicode. A final line end begins no line."""
-    return F.split(F.regexp_replace(col(text), r"(\r\n|[\n\r\u000b\f\u0085  ])$", ""), r"\r\n|[\n\r\u000b\f\u0085  ]")
+    return F.split(F.regexp_replace(col(text), r"(\r\n|[\n\r\u000b\f\u0085\u2028\u2029])$", ""), r"\r\n|[\n\r\u000b\f\u0085\u2028\u2029]")
 
 
 def strip_examples(doc: Column | str) -> Column:

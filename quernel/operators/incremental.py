@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quernel.functions.text import package_of
 from quernel.operators.lookups import remaining
@@ -23,7 +24,7 @@ def offline(prompts: pd.Series) -> pd.Series:
 def enrich(rows: DataFrame, prompt: str, into: str, provider: Provider = offline) -> DataFrame:
     """``rows`` with the provider's reply to ``prompt``; a failure is a null reply with its text in ``<into>_error``."""
 
-    schema = rows.schema.add(into, "string").add(f"{into}_error", "string")
+    schema = StructType([*rows.schema.fields, StructField(into, StringType()), StructField(f"{into}_error", StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

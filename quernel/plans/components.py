@@ -42,7 +42,7 @@ attr as (
 
 def all_deps(rows: DataFrame) -> DataFrame:
     """(repo_name, src, dst, target) of every entry that isn't blank."""
-    entries = rows.select("repo_name", F.col("key").alias("src"), F.trim(F.explode("depends_on")).alias("target")).where("target <> ''")
+    entries = rows.select("repo_name", F.col("key").alias("src"), F.explode("depends_on").alias("target")).withColumn("target", F.trim("target")).where("target <> ''")
     return entries.select("repo_name", "src", F.concat_ws(":", "repo_name", "target").alias("dst"), "target").distinct()
 
 
@@ -195,7 +195,7 @@ def dependency_first_order(spark, folder):
     """Depth-first post-order per repository (GR05); tested against plain recursion."""
     rows = current(spark, folder)
     nodes = rows.select("repo_name", "id")
-    edges = rows.select("repo_name", F.col("id").alias("src"), F.trim(F.explode("depends_on")).alias("dst")).distinct()
+    edges = rows.select("repo_name", F.col("id").alias("src"), F.explode("depends_on").alias("dst")).withColumn("dst", F.trim("dst")).distinct()
     edges = edges.join(nodes.withColumnRenamed("id", "dst"), ["repo_name", "dst"], "left_semi").select("repo_name", "src", "dst")
     return graph.exact_order(nodes, edges, "repo_name")
 
@@ -205,7 +205,7 @@ def kahn_order(spark, folder):
     """Kahn's order with the least id first, per repository (GR04)."""
     rows = current(spark, folder)
     nodes = rows.select("repo_name", "id")
-    edges = rows.select("repo_name", F.col("id").alias("src"), F.trim(F.explode("depends_on")).alias("dst")).distinct()
+    edges = rows.select("repo_name", F.col("id").alias("src"), F.explode("depends_on").alias("dst")).withColumn("dst", F.trim("dst")).distinct()
     edges = edges.join(nodes.withColumnRenamed("id", "dst"), ["repo_name", "dst"], "left_semi").select("repo_name", "src", "dst")
     return graph.exact_order(nodes, edges, "repo_name", "kahn")
 

@@ -37,7 +37,7 @@ def think_strip(spark, folder):
     return rows.select("doc_id", T.strip_think("reply").alias("answer"))
 
 
-@R.add("token_estimate", f"select doc_id, round(case when coalesce({NORMAL}, '') = '' then 0 else len(string_split({NORMAL}, ' ')) end * 1.3, 6) as tokens from documents")
+@R.add("token_estimate", f"select doc_id, round(case when coalesce({NORMAL}, '') = '' then 0 else len(string_split({NORMAL}, ' ')) end * 1.3::double, 6) as tokens from documents")
 def token_estimate(spark, folder):
     """TOK01."""
     return docs(spark, folder).select("doc_id", F.round(T.token_estimate("text"), 6).alias("tokens"))
@@ -55,7 +55,7 @@ def text_chunks(spark, folder):
     return retrieval.chunk_table(docs(spark, folder), "doc_id", "text").withColumnRenamed("text", "chunk")
 
 
-@R.add("comma_lists", f"select doc_id, list_filter(list_transform(string_split(coalesce(text, ''), ','), x -> regexp_replace(x, '^{WS}+|{WS}+$', '', 'g')), x -> x <> '') as parts from documents")
+@R.add("comma_lists", f"select doc_id, list_filter(list_transform(string_split(coalesce(text, ''), ','), lambda x: regexp_replace(x, '^{WS}+|{WS}+$', '', 'g')), lambda x: x <> '') as parts from documents")
 def comma_lists(spark, folder):
     """STR05."""
     return docs(spark, folder).select("doc_id", T.comma_list("text").alias("parts"))
@@ -116,7 +116,7 @@ def headings(spark, folder):
 h as (select doc_id, n, length(regexp_extract(line, '^(#{1,6})', 1)) as level, regexp_replace(regexp_extract(line, '^#{1,6}\\s+(.*)$', 1), '^\\s+|\\s+$', '', 'g') as title from l where regexp_matches(line, '^#{1,6}\\s+.*$'))
 select doc_id, cast(row_number() over (partition by doc_id order by n) as integer) as ord, cast(level as integer) as level, regexp_replace(title, '^[\\x{a0}\\x{2007}\\x{202f}]+|[\\x{a0}\\x{2007}\\x{202f}]+$', '', 'g') as title from h""".replace("#{1,6}\\s+", "#{1,6}[\\s\\x{a0}\\x{2007}\\x{202f}]+"))
 def heading_titles(spark, folder):
-    plain = docs(spark, folder).where(~F.col("text").rlike(r"[\r\u000b\f\u0085  ]"))
+    plain = docs(spark, folder).where(~F.col("text").rlike(r"[\r\u000b\f\u0085  ]"))
     return trees.headings(plain, "doc_id", "text").where("level > 0").select("doc_id", "ord", "level", "title")
 
 
@@ -135,8 +135,8 @@ def substring_topk(spark, folder):
     return retrieval.substring_search(docs(spark, folder), asked, "doc_id", "text", 4).withColumn("place", F.col("place").cast("long"))
 
 
-@R.add("cosine_topk", """with n as (select vec_id, list_transform(embedding, x -> x::double / sqrt(list_sum(list_transform(embedding, y -> y::double * y::double)))) as v from embeddings),
-s as (select q.vec_id as query_id, n.vec_id, list_sum(list_transform(list_zip(q.v, n.v), p -> p[1]::float::double * p[2]::float::double)) as sim from n q, n where q.vec_id % 100 = 0),
+@R.add("cosine_topk", """with n as (select vec_id, list_transform(embedding, lambda x: x::double / sqrt(list_sum(list_transform(embedding, lambda y: y::double * y::double)))) as v from embeddings),
+s as (select q.vec_id as query_id, n.vec_id, list_sum(list_transform(list_zip(q.v, n.v), lambda p: p[1]::float::double * p[2]::float::double)) as sim from n q, n where q.vec_id % 100 = 0),
 r as (select *, row_number() over (partition by query_id order by round(sim, 9) desc, vec_id) as place from s) select query_id, vec_id, place from r where place <= 4""")
 def cosine_topk(spark, folder):
     """Every hundredth vector against all, exact (RET02, RET03)."""
@@ -289,7 +289,7 @@ def name_lists(spark, folder):
     return table(spark, folder, "stage_b_file_summaries").select("repo_name", "file", "key_terms").distinct().select("repo_name", "file", more("key_terms", 6).alias("terms"))
 
 
-@R.add("glossaries", "select repo_name, file, array_to_string(list_transform(coalesce(key_terms, []), x -> '- ' || x || ': ' || length(x)), chr(10)) as text from (select distinct repo_name, file, key_terms from stage_b_file_summaries)")
+@R.add("glossaries", "select repo_name, file, array_to_string(list_transform(coalesce(key_terms, []), lambda x: '- ' || x || ': ' || length(x)), chr(10)) as text from (select distinct repo_name, file, key_terms from stage_b_file_summaries)")
 def glossaries(spark, folder):
     """MAP01, FIL14."""
     rows = table(spark, folder, "stage_b_file_summaries").select("repo_name", "file", "key_terms").distinct()
