@@ -123,15 +123,80 @@ def spread(labels: DataFrame, edges: DataFrame) -> DataFrame:
         state = following.select("id", "label")
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, component): strongly connected components, named by their least id.
+#: Up to so many edges, counted beforehand, a graph or component is worked on by one task; beyond it, in rounds.
+ONE_TASK_EDGES = 200_000
+
+
+def _strong(edges: list[tuple[str, str]]) -> dict[str, str]:
+    """The component of each node of ``edges``, named by its least id: two depth-first searches with stacks."""
+    out: dict[str, list] = {}
+    back: dict[str, list] = {}
+    for a, b in edges:
+        out.setdefault(a, []).append(b)
+        out.setdefault(b, [])
+        back.setdefault(b, []).append(a)
+        back.setdefault(a, [])
+    seen, finished = set(), []
+    for root in out:
+        stack = [(root, iter(out[root]))] if root not in seen else []
+        seen.add(root)
+        while stack:
+            node, it = stack[-1]
+            following = next((x for x in it if x not in seen), None)
+            if following is None:
+                finished.append(stack.pop()[0])
+            else:
+                seen.add(following)
+                stack.append((following, iter(out[following])))
+    named: dict[str, str] = {}
+    for root in reversed(finished):
+        if root in named:
+            continue
+        group, stack = [], [root]
+        named[root] = root
+        while stack:
+            group.append(node := stack.pop())
+            for x in back[node]:
+                if x not in named:
+                    named[x] = root
+                    stack.append(x)
+        least = min(group)
+        named.update(dict.fromkeys(group, least))
+    return named
+
+
+def _without_cycles(edges: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """``edges`` after each component has lost its least edge again and again until none has a cycle."""
+    kept, work = [], [sorted(edges)]
+    while work:
+        part = work.pop()
+        named = _strong(part)
+        inside: dict[str, list] = {}
+        for a, b in part:
+            if named[a] == named[b]:
+                inside.setdefault(named[a], []).append((a, b))
+            else:
+                kept.append((a, b))
+        work += [group[1:] for group in inside.values() if len(group) > 1]
+    return kept
+
+
+def components(nodes: DataFrame, edges: DataFrame, one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
+    """(id, component): strongly connected components, named by their least id. Singletons are components of one.
 
     Nodes without edges in or out are split off until none is left; then each round labels every remaining node by the
     least id that reaches it and the least it reaches; where both agree the node belongs to that component, other edges
-    between labels are cut. Singletons are components of one.
+    between labels are cut. What has at most ``one_task_edges`` edges is left to one task.
     """
     left = cut(edges.select("src", "dst").distinct().where("src <> dst"))
     ids = normal_nodes(nodes, edges)
+    if left.count() <= one_task_edges:
+
+        def name(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame(list(_strong(list(zip(pdf["src"], pdf["dst"]))).items()), columns=["id", "component"])
+
+        done = left.groupBy(F.lit(0).alias("g")).applyInPandas(lambda pdf: name(pdf), "id string, component string")
+        return ids.join(done, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
     done = ids.select("id", F.col("id").alias("component")).limit(0)
     while True:
         while True:  # trim: a node on a cycle has edges in both directions
@@ -164,18 +229,30 @@ def cycles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return sized.where("size > 1 or self_loop")
 
 
-def break_cycles(nodes: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def break_cycles(nodes: DataFrame, edges: DataFrame, max_rounds: int | None = None, one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
     """The edges without cycles: self-loops go, then of each component its least edge (src, dst), until none is left.
 
-    Components are independent, so all lose an edge in the same round; ``max_rounds`` ends it early.
+    Components are independent. Those of at most ``one_task_edges`` edges are worked on as groups, one task each; from
+    larger ones all lose an edge in the same round. ``max_rounds`` ends it early and works in rounds only.
     """
     left = cut(edges.select("src", "dst").distinct().where("src <> dst"))
     done = 0
     while max_rounds is None or done < max_rounds:
-        named = cut(components(nodes, left))
+        named = cut(components(nodes, left, one_task_edges))
         a, b = named.select(F.col("id").alias("src"), F.col("component").alias("c")), named.select(F.col("id").alias("dst"), F.col("component").alias("d"))
-        least = left.join(a, "src").join(b, "dst").where("c = d").groupBy("c").agg(F.min(F.struct("src", "dst")).alias("e")).select("e.src", "e.dst")
-        least = cut(least)
+        placed = cut(left.join(a, "src").join(b, "dst").select("src", "dst", "c", (F.col("c") == F.col("d")).alias("inside")))
+        sizes = placed.where("inside").groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("src", "dst")).alias("e"))
+        if max_rounds is None and one_task_edges:
+            small = sizes.where(F.col("n") <= one_task_edges).select("c")
+
+            def tidy(pdf: pd.DataFrame) -> pd.DataFrame:
+                return pd.DataFrame(_without_cycles(list(zip(pdf["src"], pdf["dst"]))), columns=["src", "dst"])
+
+            grouped = placed.where("inside").join(small, "c", "left_semi").groupBy("c").applyInPandas(tidy, "src string, dst string")
+            rest = placed.join(small.withColumn("inside", F.lit(True)), ["c", "inside"], "left_anti").select("src", "dst")
+            left = cut(rest.unionByName(grouped))
+            sizes = sizes.where(F.col("n") > one_task_edges)
+        least = cut(sizes.select("e.src", "e.dst"))
         if least.isEmpty():
             break
         left = cut(left.join(least, ["src", "dst"], "left_anti"))
