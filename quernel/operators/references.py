@@ -102,13 +102,10 @@ def dangling(graph: DataFrame, log: DataFrame) -> DataFrame:
     so letter case counts. Declared match is ``simple``: a reference with a null ``repo_name`` isn't checked.
     """
     current = component_targets(graph)
-    entries = current.select(
-        F.lit("dependency_graph").alias("source_table"), "repo_name", F.col("id").alias("record_id"), F.explode("depends_on").alias("raw"), F.col("ingested_at").alias("at")
-    )
-    notes = log.select(F.lit("agent_log").alias("source_table"), "repo_name", F.col("log_id").cast("string").alias("record_id"), F.col("component_id").alias("raw"), F.col("logged_at").alias("at"))
-    notes = notes.where(trimmed(F.col("raw")) != "unknown")
-    references = entries.unionByName(notes).withColumn("id", trimmed(F.col("raw"))).where(F.col("id") != "").drop("raw")
-    references = references.dropDuplicates(["source_table", "repo_name", "record_id", "id", "at"])
+    named = F.array_distinct(F.transform("depends_on", trimmed))  # a current row names each target once
+    entries = current.select(F.lit("dependency_graph").alias("source_table"), "repo_name", F.col("id").alias("record_id"), F.explode(named).alias("id"), F.col("ingested_at").alias("at"))
+    notes = log.select(F.lit("agent_log").alias("source_table"), "repo_name", F.col("log_id").cast("string").alias("record_id"), trimmed(F.col("component_id")).alias("id"), F.col("logged_at").alias("at"))
+    references = entries.unionByName(notes.where(F.col("id") != "unknown")).where(F.col("id") != "")
     found = orphans(references, current.select("repo_name", "id", "first_seen", "deleted_at"), ["repo_name", "id"], "at", "first_seen", "deleted_at", "simple")
     month = F.date_format("at", "yyyy-MM").alias("period_month")
     return found.select("source_table", "repo_name", "record_id", F.col("id").alias("target_id"), "reason", month).distinct()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +20,16 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "lef
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    key = F.xxhash64(*on)  # counting by a digest shuffles eight bytes a row, not the keys
     if counts is None:
-        counts = left.where(known).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.orderBy(F.desc("n"), *on).limit(hot_keys).select(*on)
+        hot = left.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        hot = counts.select(key.alias("_k"), "n")
+    hot = F.broadcast(hot.orderBy(F.desc("n"), "_k").limit(hot_keys).select("_k", F.lit(True).alias("_hot")))
     kept = [c for c in right.columns if c not in on]
-    hot_right = F.broadcast(right.join(F.broadcast(hot), on, "left_semi").withColumn("_met", F.lit(True)))
-    hot_keys_flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    flagged = left.join(hot_keys_flag, on, "left")
-    near = flagged.where(F.col("_hot")).drop("_hot").join(hot_right, on, how).drop("_met")
+    hot_right = F.broadcast(right.withColumn("_k", key).join(hot, "_k", "left_semi").drop("_k"))
+    flagged = left.withColumn("_k", key).join(hot, "_k", "left").drop("_k")
+    near = flagged.where(F.col("_hot")).drop("_hot").join(hot_right, on, how)
     far = flagged.where(F.col("_hot").isNull()).drop("_hot").join(right.hint("merge"), on, how)
     order = [*left.columns, *kept]
     return near.select(*order).unionByName(far.select(*order))
