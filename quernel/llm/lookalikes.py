@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernel.session import cut
+
 # Letters of Latin, Cyrillic and Greek drawn alike. Each line is one drawing: its letters by script.
 ALIKE = """
 a:Latn=a Cyrl=а
@@ -71,7 +73,18 @@ _PLAIN = _FORMS | dict.fromkeys(SPACES, " ") | {0x00B5: "μ"}
 #: A joiner is drawn as part of an emoji or of a script that shapes its letters; elsewhere it is invisible.
 _JOINERS = re.compile("([‌‍])")
 _SHAPED = [(0x600, 0x8FF), (0x900, 0xDFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1800, 0x18AF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFC)]
-_DROP = dict.fromkeys(INVISIBLE)
+#: What plain letters, spaces and invisible signs become, and drawn letters. Few signs of a text are any of these, so an
+#: expression that finds them is faster than a table for every sign.
+_MAPPED = {chr(c): v for c, v in _PLAIN.items()} | dict.fromkeys(map(chr, INVISIBLE), "")
+_LETTERS = {chr(c): v for c, v in _TO_DRAWING.items() if c > 127}
+
+
+def _replacer(table: dict[str, str]):
+    pattern = re.compile("[" + "".join(map(re.escape, table)) + "]")
+    return lambda text: pattern.sub(lambda m: table[m[0]], text)
+
+
+_unify, _draw = _replacer(_MAPPED), _replacer(_LETTERS)
 _KEEP_TAGS = re.compile("(\U0001f3f4[\U000e0020-\U000e007f]+)")
 #: Words of the three scripts with their accents.
 _WORD = re.compile("[A-Za-zÀ-ɏͰ-ϿЀ-ԯḀ-῿̀-ͯ]+")
@@ -106,13 +119,13 @@ def skeleton(text: str) -> str:
         text = "".join(p if i % 2 else _visible(p) for i, p in enumerate(parts))
     else:
         text = _visible(text)
-    return unicodedata.normalize("NFD", text.translate(_PLAIN)).translate(_TO_DRAWING)
+    return _draw(unicodedata.normalize("NFD", text))
 
 
 def _visible(text: str) -> str:
     if "\U0001f3f4" in text:  # a flag's tags are drawn
-        return "".join(p if i % 2 else p.translate(_DROP) for i, p in enumerate(_KEEP_TAGS.split(text)))
-    return text.translate(_DROP)
+        return "".join(p if i % 2 else _unify(p) for i, p in enumerate(_KEEP_TAGS.split(text)))
+    return _unify(text)
 
 
 def script_of(letter: str) -> str | None:
@@ -195,7 +208,7 @@ def letter_pairs(documents: DataFrame, text: str = "text") -> DataFrame:
         total: Counter = Counter()
         for batch in batches:
             for t in batch["text"]:
-                words.update(_WORD.findall(unicodedata.normalize("NFD", t.translate(_PLAIN).translate(_DROP))))
+                words.update(_WORD.findall(unicodedata.normalize("NFD", t if t.isascii() else _unify(t))))
             if len(words) > 200_000:
                 _add(words, total)
                 words.clear()
@@ -238,7 +251,7 @@ def same_looking(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     formed = consistent(rows).where(F.col("form").rlike(r"[^\s\p{Z}]"))
-    keyed = formed.select("doc_id", F.md5("text").alias("stored"), F.md5("form").alias("look"))
+    keyed = cut(formed.select("doc_id", F.md5("text").alias("stored"), F.md5("form").alias("look")))
     classes = keyed.select("look", "stored").distinct()
     several = classes.groupBy("look").agg(F.array_sort(F.collect_set("stored")).alias("all")).where(F.size("all") > 1)
     # each class with the later ones of its look
