@@ -14,7 +14,7 @@ from quernel.llm.tokens import count_tokens
 from quernel.session import cut
 
 #: Containers a group is packed into, and the most items of a group: what one task gets is bounded by both.
-GROUP_CONTAINERS, GROUP_ITEMS = 384, 12_000
+GROUP_CONTAINERS, GROUP_ITEMS = 1024, 32_000
 
 
 def differences(sizes: np.ndarray, k: int) -> np.ndarray:
@@ -71,12 +71,12 @@ def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
     if not len(own):
         return out
     k = max(1, -(-int(own.sum()) // capacity), int((own * 2 > capacity).sum()))
-    while True:
+    for tries in count():
         part = differences(own, k)
         if np.bincount(part, own).max() <= capacity:
             out[held] = part
             return out
-        k += max(1, k // 200)
+        k += 1 if tries < 8 else max(1, k // 200)  # one by one at first, then faster where items are bulky
 
 
 def containers(documents: DataFrame, capacity: int, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
