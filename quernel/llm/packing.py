@@ -62,21 +62,93 @@ def differences(sizes: np.ndarray, k: int) -> np.ndarray:
     return part
 
 
+#: How many roomy parts an overfull one is compared with before the number of containers rises.
+TRIES = 60
+
+
+def settle(part: np.ndarray, sizes: np.ndarray, k: int, capacity: int) -> np.ndarray:
+    """``part`` with items moved or exchanged until no part holds more than ``capacity``; items that had to leave are -1.
+
+    Differencing leaves all parts nearly equal, a little over or under the capacity. Each overfull part gives one item to a
+    roomy part, or for a smaller one of it, such that it fits and the other doesn't overflow. Where none of ``TRIES`` does,
+    the least item that is large enough leaves.
+    """
+    part = part.copy()
+    held = np.bincount(part, sizes, minlength=k).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    members = [list(x) for x in np.split(order, np.cumsum(np.bincount(part, minlength=k))[:-1])]
+    roomy = [(int(h) - capacity, p) for p, h in enumerate(held) if h < capacity]  # most room first
+    heapq.heapify(roomy)
+    for over in np.flatnonzero(held > capacity):
+        aside = []
+        for _ in range(TRIES):
+            excess = int(held[over]) - capacity
+            if excess <= 0 or not roomy:
+                break
+            negative, p = heapq.heappop(roomy)
+            room = -negative
+            give, take = sizes[members[over]], np.append(sizes[members[p]], 0)
+            gain = give[:, None] - take[None, :]
+            fit = (gain > 0) & (gain <= room)
+            if not fit.any():
+                aside.append((negative, p))
+                continue
+            enough = fit & (gain >= excess)
+            pick = np.where(enough, gain, np.iinfo(np.int64).max).argmin() if enough.any() else np.where(fit, gain, -1).argmax()
+            i, j = divmod(int(pick), gain.shape[1])
+            moved = int(gain[i, j])
+            item = members[over].pop(i)
+            if j < len(members[p]):
+                back = members[p].pop(j)
+                members[over].append(back)
+                part[back] = over
+            members[p].append(item)
+            part[item] = p
+            held[over] -= moved
+            held[p] += moved
+            if moved < room:
+                aside.append((moved - room, p))
+        while held[over] > capacity:
+            own = sizes[members[over]]
+            wide = own >= held[over] - capacity
+            item = members[over].pop(int(np.where(wide, own, np.iinfo(np.int64).max).argmin() if wide.any() else own.argmax()))
+            part[item] = -1
+            held[over] -= sizes[item]
+        if held[over] < capacity:
+            aside.append((int(held[over]) - capacity, over))
+        for x in aside:
+            heapq.heappush(roomy, x)
+    for item in sorted(np.flatnonzero(part < 0), key=lambda i: -sizes[i]):  # some have room elsewhere by now
+        if roomy and -roomy[0][0] >= sizes[item]:
+            negative, p = heapq.heappop(roomy)
+            part[item] = p
+            if negative + sizes[item] < 0:
+                heapq.heappush(roomy, (negative + int(sizes[item]), p))
+    return part
+
+
 def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """A container number for each item, none over ``capacity``; sizes are at most that. The number of containers begins at
-    the least possible and rises whenever one is exceeded. Items of size 0 go into container 0."""
+    the least possible; what doesn't fit goes into further ones, or the number rises and all begins anew where that
+    takes fewer. Items of size 0 go into container 0."""
     out = np.zeros(len(sizes), dtype=np.int64)
     held = np.flatnonzero(sizes > 0)
     own = sizes[held]
     if not len(own):
         return out
     k = max(1, -(-int(own.sum()) // capacity), int((own * 2 > capacity).sum()))
-    for tries in count():
-        part = differences(own, k)
-        if np.bincount(part, own).max() <= capacity:
-            out[held] = part
-            return out
-        k += 1 if tries < 8 else max(1, k // 200)  # one by one at first, then faster where items are bulky
+    best = None
+    while best is None or k < best.max() + 1:
+        part = settle(differences(own, k), own, k, capacity)
+        left = part < 0
+        if left.any():
+            part[left] = k + (windows(own[left], capacity) if left.sum() < len(own) else np.arange(left.sum()))
+        used = int(part.max()) + 1
+        if best is None or used < best.max() + 1:
+            best = part
+        k += max(1, (used - k) // 2)
+    out[held] = best
+    return out
 
 
 def containers(documents: DataFrame, capacity: int, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
