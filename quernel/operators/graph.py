@@ -83,7 +83,7 @@ def min_max(df: DataFrame, columns: list[str], suffix: str = "_n") -> DataFrame:
     return wide.drop(*bounds.columns)
 
 
-def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 50, tolerance: float = 1e-8, checkpoint_every: int = 5) -> DataFrame:
+def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 50, tolerance: float = 1e-8, checkpoint_every: int = 2) -> DataFrame:
     """(id, rank), summing to 1. Rank of nodes without edges out is spread over all; it stops after ``rounds`` or when
     the ranks' absolute change falls under ``tolerance``. Empty without nodes."""
     ids = normal_nodes(nodes, edges)
@@ -95,6 +95,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
     if not n:
         return state.select("id", F.lit(0.0).alias("rank"))
     state = state.withColumn("rank", F.lit(1.0 / n))
+    kept: list[DataFrame] = []
     for k in range(1, rounds + 1):
         loose = state.where("deg is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("loose"))
         given = weighted.join(state.select(F.col("id").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") / F.col("deg")).alias("got"))
@@ -103,9 +104,12 @@ def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
         state = following.select("id", "deg", F.col("rank").alias("old"), value.alias("rank"))
         if k % checkpoint_every == 0 or k == rounds:
             state = cut(state)
+            while kept:
+                kept.pop().unpersist()
             if tolerance and state.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] < tolerance:
                 break
-        state = state.drop("old")
+        else:  # a round reads the one before three times
+            kept.append(state := state.persist())
     return state.select("id", "rank")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -53,7 +53,12 @@ def containing(items: DataFrame, keys: DataFrame, text: str, key: str, order: st
     size = F.length(text)
     if anywhere:
         lengths = [r[0] for r in keys.select(F.length(key)).where(F.length(key) > 0).distinct().collect()]  # bounded by the longest key
-        cuts = [F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i, n=n: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in lengths]
+
+        def substrings(n: int) -> Column:
+            every = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(text, i, F.lit(n)))
+            return F.when(size >= n, every).otherwise(F.array().cast("array<string>"))
+
+        cuts = [substrings(n) for n in lengths]
         runs = F.flatten(F.array(*cuts)) if cuts else F.array().cast("array<string>")
     else:
         parts = F.split(text, "/")
