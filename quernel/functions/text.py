@@ -297,3 +297,15 @@ def similar_code(a: Column | str, b: Column | str, threshold: float = 0.9) -> Co
     ``similarity`` reaches ``threshold``."""
     both = F.regexp_replace(col(a), r"^(?U)\s+", "").startswith("class ") & F.regexp_replace(col(b), r"^(?U)\s+", "").startswith("class ")
     return F.when(both, name_in_code(a).eqNullSafe(name_in_code(b))).otherwise(F.coalesce(similarity(a, b) >= threshold, F.lit(False)))
+
+
+def relative_to(path: Column | str, root: str) -> Column:
+    """A path below ``root``; for others the base name."""
+    prefix = root.rstrip("/") + "/"
+    return F.when(F.startswith(col(path), F.lit(prefix)), F.substr(col(path), F.lit(len(prefix) + 1))).otherwise(base_name(path))
+
+
+def without_root(path: Column | str, root: str) -> Column:
+    """A path without slashes in front and without a first segment ``root``."""
+    clean = F.regexp_replace(col(path), "^/+", "")
+    return F.when(F.split_part(clean, F.lit("/"), F.lit(1)) == root, F.regexp_replace(clean, r"^[^/]*/?", "")).otherwise(clean)
