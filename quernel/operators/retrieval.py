@@ -39,7 +39,8 @@ def similar(queries: DataFrame, vectors: DataFrame, k: int, query_id: str = "que
     """
     dim = F.size(vector)
     asked = queries.select(F.col(query_id).alias("q"), F.transform(vector, lambda x: x.cast("float")).alias("v")).where(F.col("v").isNotNull())
-    blocks = asked.withColumn("b", F.pmod(F.xxhash64("q"), F.lit(64))).groupBy("b").agg(F.collect_list(F.struct("q", "v")).alias("queries"))
+    spread = max(1, -(-asked.count() // block))
+    blocks = asked.withColumn("b", F.pmod(F.xxhash64("q"), F.lit(spread))).groupBy("b").agg(F.collect_list(F.struct("q", "v")).alias("queries"))
     blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.size("queries") - 1) / block).cast("int"))))
     blocks = blocks.select(F.slice("queries", F.col("part") * block + 1, F.lit(block)).alias("queries"))
     kinds = (dict(queries.dtypes)[query_id], dict(vectors.dtypes)[id])

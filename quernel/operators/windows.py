@@ -9,35 +9,60 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{}`)"
+#: A key's events are cut into stretches of so many windows each, so that one key with much of the rows fills no task.
+STRETCH = 16
+
+
+def _stretched(events: DataFrame, time: str, seconds: int) -> DataFrame:
+    """``events`` with their microsecond ``_us`` and stretch ``_at``; those near the end of a stretch once more in the next one,
+    as its past (``_own`` is false)."""
+    window, length = seconds * 1_000_000, STRETCH * seconds * 1_000_000
+    laid = events.withColumn("_us", F.expr(MICROS.format(time)))
+    here = F.floor(F.col("_us") / length)
+    own = F.struct(here.alias("at"), F.lit(True).alias("own"))
+    past = F.when(F.pmod("_us", F.lit(length)) >= length - window, F.struct((here + 1).alias("at"), F.lit(False).alias("own")))
+    both = F.filter(F.array(own, past), lambda x: x.isNotNull())
+    return laid.withColumn("_copy", F.explode(both)).withColumn("_at", F.col("_copy.at")).withColumn("_own", F.col("_copy.own")).drop("_copy")
+
+
 def sliding_usage(events: DataFrame, keys: list[str], time: str, amounts: list[str], seconds: int = 60) -> DataFrame:
     """``events`` with the number of events and the sums of ``amounts`` over the last ``seconds`` up to each event, of
-    the same ``keys``; an event exactly ``seconds`` ago still counts, and so do events at the same time."""
-    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time}`)")
-    span = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
-    out = events.withColumn("_us", micros)
+    the same ``keys``; an event exactly ``seconds`` ago still counts, and so do events at the same time. Events with a
+    null time are left out."""
+    span = Window.partitionBy(*keys, "_at").orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
+    out = _stretched(events, time, seconds)
     out = out.withColumns({"events_in_window": F.count(F.lit(1)).over(span)} | {f"{a}_in_window": F.sum(a).over(span) for a in amounts})
-    return out.drop("_us")
+    return out.where("_own").drop("_us", "_at", "_own")
 
 
 def waits(usage: DataFrame, time: str, limits: dict[str, float], keys: list[str], seconds: int = 60, keep: float = 0.9) -> DataFrame:
     """``usage`` (of ``sliding_usage``) with ``wait_s``: how long a request must wait until all of ``limits`` (column to
     its limit, of which ``keep`` is used) have room: until the window's oldest event leaves it; 0 if there is room."""
-    span = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
-    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time}`)")
-    out = usage.withColumn("_us", micros).withColumn("_oldest", F.min("_us").over(span))
-    full = None
+    span = Window.partitionBy(*keys, "_at").orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
+    out = _stretched(usage, time, seconds).withColumn("_oldest", F.min("_us").over(span)).where("_own")
+    full = F.lit(False)
     for c, limit in limits.items():
-        over = F.col(c) > limit * keep
-        full = over if full is None else full | over
+        full |= F.col(c) > limit * keep
     wait = F.when(full, F.greatest(F.lit(0.0), seconds - (F.col("_us") - F.col("_oldest")) / 1e6)).otherwise(0.0)
-    return out.withColumn("wait_s", F.round(wait, 6)).drop("_us", "_oldest")
+    return out.withColumn("wait_s", F.round(wait, 6)).drop("_us", "_oldest", "_at", "_own")
+
 
+def running_cost(events: DataFrame, keys: list[str], time: str, order: list[str], tokens: str, per_million: float, seconds: int = 86_400) -> DataFrame:
+    """``events`` with ``running_tokens`` and ``running_cost`` up to each event, per ``keys``, by ``time`` and then ``order``.
 
-def running_cost(events: DataFrame, keys: list[str], order: list[str], tokens: str, per_million: float) -> DataFrame:
-    """``events`` with ``running_tokens`` and ``running_cost`` up to each event, per ``keys``."""
-    span = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum(tokens).over(span)
-    return events.withColumn("running_tokens", total).withColumn("running_cost", F.round(total * per_million / 1e6, 9))
+    Sums run within stretches of ``seconds``; what went before a stretch comes from the totals of the stretches, of which
+    a key has few, so a key with much of the rows fills no task. A null time comes first.
+    """
+    laid = events.withColumn("_at", F.coalesce(F.floor(F.expr(MICROS.format(time)) / (seconds * 1_000_000)), F.lit(-(2**62))))
+    inside = Window.partitionBy(*keys, "_at").orderBy(time, *order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    totals = laid.groupBy(*keys, "_at").agg(F.sum(tokens).alias("_sum")).withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    totals = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_at").alias("_k_at"), "_before")
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_at") == F.col("_k_at")]
+    out = laid.withColumn("_inside", F.sum(tokens).over(inside)).join(totals, on)
+    total = F.col("_before") + F.coalesce("_inside", F.lit(0))
+    return out.withColumn("running_tokens", total).withColumn("running_cost", F.round(total * per_million / 1e6, 9)).select(*events.columns, "running_tokens", "running_cost")
 
 
 def batch_numbers(rows: DataFrame, keys: list[str], order: list[str], size: int = 50) -> DataFrame:

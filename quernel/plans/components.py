@@ -181,13 +181,16 @@ def acyclic_edges(spark, folder):
 
 
 @R.add(
-    "levels_of_ordered_edges",
-    CURRENT.replace("with cur", "with recursive cur", 1) + ", dag as (select src, dst from edges where src > dst), walk as (select key as id, 0 as level from cur union select d.src, w.level + 1 from walk w join dag d on d.dst = w.id) select id, max(level) as level from walk group by id",
+    "dependency_levels",
+    REACH
+    + """, bad as (select distinct src from reach where dst in (select src from reach where src = dst)),
+walk as (select key as id, 0 as level from cur where key not in (select src from bad) union select e.src, w.level + 1 from walk w join edges e on e.dst = w.id where e.src not in (select src from bad))
+select c.key as id, max(level) as level from cur c left join walk w on w.id = c.key group by c.key""",
 )
-def levels_of_ordered_edges(spark, folder):
-    """Levels for parallel work (GR04 in its parallel form), over the edges that lead down in the order of ids."""
+def dependency_levels(spark, folder):
+    """Levels for parallel work (GR04 in its parallel form); null on cycles and above them."""
     nodes, edges = nodes_edges(spark, folder)
-    return graph.levels(cut(nodes), cut(edges.where("src > dst")))
+    return graph.levels(cut(nodes), cut(edges))
 
 
 @R.add("dependency_first_order")
@@ -419,17 +422,6 @@ def contains_first_match(spark, folder):
     return lookups.containing(items, keys, "location", "file", "ord").select("item_id", "file")
 
 
-@R.add("contains_anywhere", """with i as (select distinct item_id, location from stage_b_function_items where location is not null), k as (select distinct split_part(relative_path, '/', -1) as name from source_files where repo_name = (select min(repo_name) from source_files))
-select item_id, min(name) as name from i join k on contains(location, name) group by item_id, location""")
-def contains_anywhere(spark, folder):
-    """The first name that occurs anywhere in an item's location (JN08 as the reference reads it)."""
-    items = table(spark, folder, "stage_b_function_items").where("location is not null").select("item_id", "location").distinct()
-    files = table(spark, folder, "source_files")
-    first = files.agg(F.min("repo_name").alias("repo_name"))
-    names = files.join(F.broadcast(first), "repo_name").select(T.base_name("relative_path").alias("name")).distinct().withColumn("ord", F.col("name"))
-    return lookups.containing(items, names, "location", "name", "ord", anywhere=True).select("item_id", "name")
-
-
 @R.add("similar_code", None)
 def similar_code(spark, folder):
     """Functions of one name with nearly the same code (JN18); tested against a plain loop."""

@@ -112,12 +112,15 @@ def headings(spark, folder):
     return trees.headings(docs(spark, folder), "doc_id", "text")
 
 
-@R.add("heading_titles", """with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as n from documents where text is not null and not regexp_matches(text, '[\\r\\x{0b}\\x{0c}\\x{85}\\x{2028}\\x{2029}]')),
-h as (select doc_id, n, length(regexp_extract(line, '^(#{1,6})', 1)) as level, regexp_replace(regexp_extract(line, '^#{1,6}\\s+(.*)$', 1), '^\\s+|\\s+$', '', 'g') as title from l where regexp_matches(line, '^#{1,6}\\s+.*$'))
-select doc_id, cast(row_number() over (partition by doc_id order by n) as integer) as ord, cast(level as integer) as level, regexp_replace(title, '^[\\x{a0}\\x{2007}\\x{202f}]+|[\\x{a0}\\x{2007}\\x{202f}]+$', '', 'g') as title from h""".replace("#{1,6}\\s+", "#{1,6}[\\s\\x{a0}\\x{2007}\\x{202f}]+"))
+BREAKS = "'\\r\\n|[\\n\\r\\x{0b}\\x{0c}\\x{85}\\x{2028}\\x{2029}]'"
+
+
+@R.add("heading_titles", f"""with l as (select doc_id, unnest(regexp_split_to_array(text, {BREAKS})) as line, generate_subscripts(regexp_split_to_array(text, {BREAKS}), 1) as n from documents where text is not null),
+h as (select doc_id, n, length(regexp_extract(line, '^(#{{1,6}})', 1)) as level, regexp_replace(regexp_extract(line, '^#{{1,6}}{WS}+(.*)$', 1), '^{WS}+|{WS}+$', '', 'g') as title from l where regexp_matches(line, '^#{{1,6}}{WS}+.*$'))
+select doc_id, cast(row_number() over (partition by doc_id order by n) as integer) as ord, cast(level as integer) as level, title from h""")
 def heading_titles(spark, folder):
-    plain = docs(spark, folder).where(~F.col("text").rlike(r"[\r\u000b\f\u0085  ]"))
-    return trees.headings(plain, "doc_id", "text").where("level > 0").select("doc_id", "ord", "level", "title")
+    """Headings of all documents in order (MD01)."""
+    return trees.headings(docs(spark, folder), "doc_id", "text").where("level > 0").select("doc_id", "ord", "level", "title")
 
 
 @R.add("outlines", None)
@@ -196,7 +199,7 @@ def admissions(spark, folder):
 def running_cost(spark, folder):
     """AGG17, WIN08."""
     rows = table(spark, folder, "events").withColumn("tokens", F.length("props"))
-    return windows.running_cost(rows, ["user_id"], ["ts", "event_id"], "tokens", 3.0).select("event_id", "running_tokens", "running_cost")
+    return windows.running_cost(rows, ["user_id"], "ts", ["event_id"], "tokens", 3.0).select("event_id", "running_tokens", "running_cost")
 
 
 @R.add("usage_totals", "select event_type, count(*) as calls, cast(sum(length(props)) as bigint) as tokens, round(sum(length(props)) * 3.0 / 1e6, 9) as cost from events group by 1")

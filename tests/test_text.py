@@ -134,3 +134,23 @@ def test_budgeted_dedup(spark):
     df = spark.createDataFrame([("s", 0, "aa"), ("s", 1, "aa"), ("s", 2, "bbb"), ("s", 3, "c")], "s string, i int, t string")
     assert [r.i for r in windows.ordered_dedup(df, ["s"], ["i"], "t", 5).orderBy("i").collect()] == [0, 2]
     assert windows.longest_section(df.withColumn("n", F.length("t")), ["s"], "i", "n").first().i == 2
+
+
+def test_windows_over_stretches_equal_a_plain_loop(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, rng.choice("ab"), rng.randrange(0, 2_000), rng.randrange(1, 9)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, k string, s int, n int").selectExpr("id", "k", "n", "timestamp_ntz'1969-12-31 23:50:00' + make_interval(0,0,0,0,0,0,s) ts")
+    used = windows.sliding_usage(df, ["k"], "ts", ["n"], 10)
+    got = {r.id: (r.events_in_window, r.n_in_window) for r in used.collect()}
+    for i, k, s, n in rows:
+        near = [m for _, k2, s2, m in rows if k2 == k and s - 10 <= s2 <= s]
+        assert got[i] == (len(near), sum(near))
+    wait = {r.id: r.wait_s for r in windows.waits(used, "ts", {"n_in_window": 10}, ["k"], 10).collect()}
+    for i, k, s, n in rows:
+        near = [(s2, m) for _, k2, s2, m in rows if k2 == k and s - 10 <= s2 <= s]
+        assert wait[i] == (10 - (s - min(near)[0]) if sum(m for _, m in near) > 9 else 0)
+    cost = {r.id: r.running_tokens for r in windows.running_cost(df, ["k"], "ts", ["id"], "n", 1.0, seconds=60).collect()}
+    for i, k, s, n in rows:
+        assert cost[i] == sum(m for j, k2, s2, m in rows if k2 == k and (s2, j) <= (s, i))
