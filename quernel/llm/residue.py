@@ -48,7 +48,7 @@ MESSAGES = r"""
 您访问的页面不存在|页面(?:不存在|未找到|找不到)|(?:访问|拒绝)(?:被拒绝|访问)|服务器(?:内部)?错误|会话(?:已)?过期|请(?:先|重新)?登录|请稍[后候](?:再试|重试)|ページが見つかりません|アクセスが拒否
 ^η σελίδα .{0,20}δεν (?:βρέθηκε|υπάρχει)|^δεν επιτρέπεται η πρόσβαση|^σφάλμα (?:διακομιστή|0+)|^η σύνδεση (?:έληξε|απορρίφθηκε)
 ^(?:loading|please wait|processing|redirecting)(?:[.… ]*|,? please wait[.… ]*)$|^(?:bitte warten|veuillez patienter|chargement(?: en cours)?|espere,? por favor|cargando|wird geladen|laden|загрузка|подождите|加载中|请稍候|読み込み中|φόρτωση)\W*$
-\blorem ipsum\b|\bdolor sit v?amet\b|\bd[ao]lor sit \w*amet\b|^(?:xxx+|yyy+|zzz+|foo|bar|asdf|qwerty|blah|bla|test)(?:\W+(?:xxx+|yyy+|zzz+|foo|bar|baz|asdf|qwerty|blah|bla|test))*\W*$|\bconsel tira\b|\badipel novem\b|\bkonsta peribus\b
+\blorem ipsum\b|\bdolor sit amet\b|^(?:xxx+|yyy+|zzz+|foo|bar|asdf|qwerty|blah|bla|test)(?:\W+(?:xxx+|yyy+|zzz+|foo|bar|baz|asdf|qwerty|blah|bla|test))*\W*$
 ^\W*(?:tbd|tba|tbc|todo|fixme|n/a|none|null|undefined|nan|coming soon|to be (?:done|written|added|defined|completed|determined|announced)|work in progress|wip)\W*$|^\W*(?:tbd|tba|todo|fixme|wip)\b ?[-–:] ?.{0,80}$|^\[?(?:todo|tbd|fixme)\b
 ^placeholder(?: text| summary| description)?\W*$|^(?:this is )?(?:a |some )?(?:placeholder|filler|dummy|sample|example)(?: text| summary| description| content)?(?:[,.:;].{0,60})?$|^(?:summary|text|description|content|title|insert|your text) (?:goes|comes|to go|will go|text|will be added) ?(?:here|later)?\W*$
 ^(?:insert|enter|add|write|put|type|describe|provide|fill in) (?:the |a |an |your |some |this )?(?:\w+ ){0,3}(?:here|below)\W*$|^(?:a |the )?(?:summary|description|text|content|documentation) (?:could not|couldn't|can ?not|was not|wasn't) (?:be )?(?:generated|created|written|produced|loaded|retrieved|found)\W*$|^(?:the |your )?(?:text|summary|description) (?:follows|to follow|will follow|is missing|missing|unavailable|not available|pending)\W*$
@@ -93,9 +93,29 @@ CODE = r"```[\s\S]*?```|`[^`\n]*`"
 TOKENS = re.compile(r"[^\W_]+(?:'[a-z]+)?|[^\w\s]|_+")
 
 
+# Words of the usual filler text.
+FILLER = "lorem ipsum dolor amet consectetur adipiscing elit eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum".split()
+_FILLER = frozenset(FILLER)
+_STARTS = frozenset(w[:4] for w in FILLER)
+
+
+def _near_filler(word: str) -> bool:
+    """A word of the filler text, one that begins like it, or one a single letter away from it."""
+    if word in _FILLER or word[:4] in _STARTS:
+        return True
+    return any(word[:i] + word[i + 1 :] in _FILLER or any(word[:i] + c + word[i + 1 :] in _FILLER for c in "aeiou") for i in range(len(word)))
+
+
+def is_filler(text: str) -> bool:
+    """True if three or more of a sentence's longer words, and half of them, are like those of the usual filler text."""
+    words = [w for w in re.findall(r"[^\W\d_]+", text) if len(w) > 3]
+    like = sum(map(_near_filler, words))
+    return like >= 3 and 2 * like >= len(words)
+
+
 def is_message(text: str) -> bool:
-    """True if a masked sentence (or a template of such) is a message, filler or notice."""
-    return bool(_MESSAGE.search(text))
+    """True if a masked sentence is a message, filler or notice."""
+    return bool(_MESSAGE.search(text)) or is_filler(text)
 
 
 def sentences(text: Column) -> Column:
