@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from quernel.functions.text import package_of
 from quernel.operators.lookups import remaining
+from quernel.session import cut
 
 #: A provider turns a series of prompts into a series of replies; it stands for a model.
 Provider = Callable[[pd.Series], pd.Series]
@@ -60,28 +61,52 @@ def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def summaries_up(items: DataFrame, keys: list[str], text: str, into: str, provider: Provider = offline, most: int = 200) -> DataFrame:
-    """(keys, n, into): a group's ``- signature: text`` lines, in order, as one prompt and its reply. The first ``most`` lines
-    make the prompt; ``n`` counts all. Lines are kept sorted while they are collected, so a group holds ``most`` of them."""
-    from quernel.operators.windows import top_per_group
-
-    line = F.concat(F.lit("- "), "signature", F.lit(": "), F.coalesce(text, F.lit("")))
-    counted = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    head = top_per_group(items.select(*keys, "signature", line.alias("line")), keys, ["signature", "line"], most)
-    prompts = head.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\n").alias("prompt"))
-    return enrich(prompts.join(counted, keys), "prompt", into, provider).select(*keys, "n", into)
+    """(keys, n, into): a group's ``- signature: text`` lines, in order, as one prompt and its reply; ``n`` counts the lines.
+
+    A group of more than ``most`` lines is cut into blocks of ``most``, one prompt each; the blocks' replies, in order, are
+    summed up in the same way, level by level, until one is left. If the reply to a block fails, so does the group's.
+    Lines are numbered by a global rank, so no task gets a whole group; a prompt holds at most ``most`` of them.
+    """
+    from quernel.operators.graph import global_rank
+
+    if most < 2:
+        raise ValueError("most must be at least 2")
+    line = F.concat(F.lit("- "), F.coalesce("signature", F.lit("")), F.lit(": "), F.coalesce(text, F.lit("")))
+    ranked = global_rank(items.select(*keys, "signature", line.alias("_line")), [F.col(c) for c in (*keys, "signature", "_line")], "_place")
+    groups = cut(ranked.groupBy(*keys).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("n")))
+    largest = groups.agg(F.max("n")).first()[0] or 0
+    rest = ranked.join(groups, keys).select(*keys, "n", (F.col("_place") - F.col("_first")).alias("_at"), "_line")
+    done, held = None, 1
+    while True:
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct("_at", "_line"))), lambda x: x["_line"])
+        blocks = rest.groupBy(*keys, "n", F.expr(f"_at div {most}").alias("_block")).agg(F.array_join(ordered, "\n").alias("prompt"), F.bool_or(F.col("_line").isNull()).alias("_failed"))
+        held *= most  # lines that a block stands for
+        replied = enrich(blocks, "prompt", into, provider).withColumn(into, F.when(~F.col("_failed"), F.col(into)))
+        if held < largest:
+            replied = cut(replied)
+        whole = replied.where(F.col("n") <= held).select(*keys, "n", into)
+        done = whole if done is None else done.unionByName(whole)
+        if held >= largest:
+            return done
+        rest = replied.where(F.col("n") > held).select(*keys, "n", F.col("_block").alias("_at"), F.col(into).alias("_line"))
 
 
 def aggregate_levels(items: DataFrame, provider: Provider = offline, max_level: int = 3) -> dict[str, DataFrame]:
     """Up to three levels: items, summaries of files, summaries of modules (the first segment of the path)."""
     out = {"items": items}
     if max_level >= 2:
-        out["files"] = summaries_up(items, ["repo_name", "file"], "business_summary", "file_summary", provider)
+        out["files"] = cut(summaries_up(items, ["repo_name", "file"], "business_summary", "file_summary", provider))
     if max_level >= 3:
-        upper = out["files"].select("repo_name", package_of("file").alias("module"), F.col("file").alias("signature"), "file_summary")
-        out["modules"] = summaries_up(upper, ["repo_name", "module"], "file_summary", "module_summary", provider)
+        out["modules"] = modules_up(out["files"], provider)
     return out
 
 
+def modules_up(files: DataFrame, provider: Provider = offline) -> DataFrame:
+    """(repo_name, module, n, module_summary) out of (repo_name, file, file_summary)."""
+    upper = files.select("repo_name", package_of("file").alias("module"), F.col("file").alias("signature"), "file_summary")
+    return summaries_up(upper, ["repo_name", "module"], "file_summary", "module_summary", provider)
+
+
 def counts_up(items: DataFrame) -> DataFrame:
     """(module, file, items): counts per file, per module and in all; null stands for all of a level."""
     return items.withColumn("module", package_of("file")).rollup("module", "file").agg(F.count(F.lit(1)).alias("items"))

@@ -114,9 +114,8 @@ def architecture(components: DataFrame, edges: DataFrame, provider: Provider = o
 def knowledge(stages: Stages, components: DataFrame, files: DataFrame, provider: Provider = offline, mode: str = "both") -> DataFrame:
     """The pages of the knowledge base: items, summaries of files and modules, then assembly; each stage is kept."""
     items = stages.get("items", lambda: items_of(components, provider))
-    levels = incremental.aggregate_levels(items, provider)
-    summaries = stages.get("files", lambda: levels["files"])
-    modules = stages.get("modules", lambda: levels["modules"])
+    summaries = stages.get("files", lambda: incremental.aggregate_levels(items, provider, 2)["files"])
+    modules = stages.get("modules", lambda: incremental.modules_up(summaries, provider))
     tree = trees.paths_to_tree(files, ["repo_name"], "relative_path")
     return stages.get(f"pages_{mode}", lambda: render.wiki(tree, modules, summaries, items, mode))
 

@@ -26,6 +26,21 @@ def test_levels_up(spark):
     assert {r.file: r.file_summary for r in out["files"].collect()}["a/x.py"] == "- def f(."
 
 
+def test_every_line_goes_up(spark):
+    rows = [("r", "big", f"f{i:02}", "x") for i in range(11)] + [("r", "small", "g", "y")]
+    items = spark.createDataFrame(rows, "repo_name string, file string, signature string, business_summary string")
+    up = lambda provider: incremental.summaries_up(items, ["repo_name", "file"], "business_summary", "s", provider, most=3)
+    got = {r.file: (r.n, r.s) for r in up(lambda p: "<" + p.str.replace("\n", ",") + ">").collect()}
+    lines = [f"- f{i:02}: x" for i in range(11)]
+    first = ["<" + ",".join(lines[i : i + 3]) + ">" for i in range(0, 11, 3)]
+    assert got == {"big": (11, f"<<{','.join(first[:3])}>,<{first[3]}>>"), "small": (1, "<- g: y>")}
+
+    def failing(prompts):
+        return prompts.map(lambda p: None if "f04" in p else "told")
+
+    assert {r.file: r.s for r in up(failing).collect()} == {"big": None, "small": "told"}
+
+
 def test_stage_cache(spark, tmp_path):
     stages = incremental.Stages(spark, str(tmp_path))
     made = []
