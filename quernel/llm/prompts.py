@@ -314,24 +314,42 @@ def sentence_ends(log: DataFrame) -> DataFrame:
     return tokens.groupBy(F.regexp_replace(bare, r"\d+", "0").alias("token")).agg(F.sum("ends").alias("ends"))
 
 
-#: A response that stands word for word in so many logs is whole: texts that break off don't repeat.
-REPEATED = 3
+def inner_uses(log: DataFrame) -> DataFrame:
+    """(token, inside) - words that another word follows on the same line, with digits as 0, and how often; in scripts
+    without spaces any two signs before a third. All contents of all agents are used."""
+    words = F.regexp_extract_all("content", F.lit(r'(?U)(?<![^\s<>"\\])[^\s<>"\\]+(?=[ \t]+[\w`“(])'), F.lit(0))
+    wide = F.regexp_extract_all("content", F.lit(r"(?=([\u3040-\u30ff\u3400-\u9fff]{2})[\u3040-\u30ff\u3400-\u9fff])"), F.lit(1))
+    tokens = log.where(F.col("content").isNotNull()).select(F.explode(F.concat(words, wide)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("inside"))
+    bare = F.regexp_replace(F.lower("token"), "^[“«\"'`*_(\\[{]+|[,;:\"'”’»)`*_\\]}]+$", "")
+    return tokens.groupBy(F.regexp_replace(bare, r"\d+", "0").alias("token")).agg(F.sum("inside").alias("inside"))
+
+
+#: A last word of which less than this share of uses lies elsewhere than at open ends is a fragment, no word.
+ELSEWHERE = 1 / 4
+#: A word of which less than this share of uses ends a sentence or another answer ends none.
+ENDING = 1 / 100
+#: Of a word not known otherwise: answers are whole if at most this share of them differ; texts that break off don't repeat.
+DIFFERENT = 1 / 2
 
 
 def defects(log: DataFrame) -> DataFrame:
     """(log_id, component_id, pair_no, defect) of each defective pair; a pair has at most one defect.
 
     In this order: ``empty``, ``copy``, ``refusal``, ``language``, ``truncated``. A response without final mark is
-    truncated if earlier sentences have theirs, a bracket, quote or code is open, or if its last word never ends a
-    sentence in the whole log and it doesn't stand in ``REPEATED`` logs or more. Null and empty contents have no pairs.
+    truncated if earlier sentences have theirs, a bracket, quote or code is open, or by its last word: if in the whole log
+    too small a share of the word's uses ends a sentence or another such response, or if it stands at such ends only and
+    the responses differ. Shares don't depend on the log's size. Null and empty contents have no pairs.
     """
-    shape = F.xxhash64(F.regexp_replace(F.btrim(F.regexp_replace("response", r"`\w+`", "`x`"), F.lit(" \t\r\n")), r"\d+", "0"))
-    judged = cut(pairs(log).select("log_id", "component_id", "pair_no", "defect", "token", shape.alias("shape")).where("defect is not null"))
+    answer = F.xxhash64(F.btrim("response", F.lit(" \t\r\n")))
+    judged = cut(pairs(log).select("log_id", "component_id", "pair_no", "defect", "token", answer.alias("answer")).where("defect is not null"))
     key = ["log_id", "component_id", "pair_no"]
     sure = judged.where(F.col("defect") != "open").select(*key, "defect")
-    unsure = judged.where(F.col("defect") == "open")
-    ends = sentence_ends(log).where(F.col("ends") >= 2)
-    often = unsure.select("shape", "log_id").distinct().groupBy("shape").agg(F.count(F.lit(1)).alias("logs")).where(F.col("logs") >= REPEATED)
-    short = split_join(unsure.drop("defect"), ends, ["token"]).where(F.col("ends").isNull()).drop("ends", "token")
-    short = split_join(short, often, ["shape"]).where(F.col("logs").isNull()).select(*key, F.lit("truncated").alias("defect"))
+    unsure = judged.where(F.col("defect") == "open").drop("defect")
+    last = unsure.groupBy("token").agg(F.count(F.lit(1)).alias("tails"), F.countDistinct(F.struct("log_id", "answer")).alias("logs"), F.countDistinct("answer").alias("answers"))
+    uses = last.join(sentence_ends(log), "token", "left").join(inner_uses(log), "token", "left").fillna(0, ["ends", "inside"])
+    other = F.col("ends") + F.col("inside")
+    known = other >= ELSEWHERE * (other + F.col("tails"))
+    ends = F.col("ends") + F.col("tails") - 1 >= ENDING * (other + F.col("tails") - 1)
+    whole = F.when(known, ends).otherwise(F.col("answers") <= DIFFERENT * F.col("logs"))
+    short = split_join(unsure, uses.where(~whole).select("token"), ["token"], "inner").select(*key, F.lit("truncated").alias("defect"))
     return sure.unionByName(short).distinct()

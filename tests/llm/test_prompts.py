@@ -96,3 +96,20 @@ def test_table(spark):
     got = {(r.log_id, r.pair_no, r.defect) for r in prompts.defects(df).collect()}
     assert got == {(1, 2, "empty"), (1, 3, "copy"), (2, 1, "truncated"), (10, 1, "truncated")}
     assert prompts.defects(df.limit(0)).count() == 0
+
+
+def test_truncation_does_not_depend_on_size(spark):
+    def content(answer):
+        return f"<SET><QA><Q>{Q}</Q><A>{answer}</A></QA></SET>"
+
+    def truncated(copies):
+        rows = []
+        for i in range(copies):
+            texts = [f"Only `a{i}` of the par", f"Because `b{i}` is the", f"It is left as `c{i}` was", "The rest was kept.", "It was kept."]
+            rows += [(10 * i + n, "c", "writer", content(t)) for n, t in enumerate(texts)]
+            rows.append((10 * i + 9, "c", "reader", "The tray is on the shelf. " * 200))
+        df = spark.createDataFrame(rows, "log_id long, component_id string, agent string, content string")
+        return sorted((r.log_id, r.defect) for r in prompts.defects(df).collect())
+
+    assert truncated(2) == [(n, "truncated") for n in (0, 1, 10, 11)]
+    assert truncated(6) == [(10 * i + n, "truncated") for i in range(6) for n in (0, 1)]
