@@ -279,14 +279,15 @@ def as_list(value: Column | str, kind: str = "string") -> Column:
     return F.coalesce(col(value), F.array().cast(f"array<{kind}>"))
 
 
+def tidy_lines(text: Column | str) -> Column:
+    """A text whose lines are stripped and blank lines dropped."""
+    return F.array_join(F.filter(F.transform(F.split(col(text), "\n"), strip), lambda x: x != ""), "\n")
+
+
 def similarity(a: Column | str, b: Column | str) -> Column:
     """Share of equal characters, place by place, over the longer of two texts whose lines are stripped and blank
     lines dropped; null if both are empty."""
-
-    def tidy(text: Column) -> Column:
-        return F.array_join(F.filter(F.transform(F.split(text, "\n"), strip), lambda x: x != ""), "\n")
-
-    x, y = tidy(col(a)), tidy(col(b))
+    x, y = tidy_lines(a), tidy_lines(b)
     longest = F.greatest(F.length(x), F.length(y))
     same = F.aggregate(F.zip_with(F.split(x, ""), F.split(y, ""), lambda p, q: F.coalesce(p == q, F.lit(False)).cast("int")), F.lit(0), lambda s, v: s + v)
     return F.when(longest > 0, F.when((F.length(x) == 0) | (F.length(y) == 0), 0.0).otherwise(same / longest))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernel.operators.skew import split_join
+
 
 def known_or_module(deps: DataFrame, components: DataFrame, modules: DataFrame) -> DataFrame:
     """Rows (src, dst) whose dst is a component, or whose first segment is a module; two semi-joins and a union, as a
@@ -112,19 +114,30 @@ def inherited(wanted: DataFrame, classes: DataFrame, methods: DataFrame, depth:
 def similar_pairs(rows: DataFrame, key: str, code: str, block: list[str], threshold: float = 0.9) -> DataFrame:
     """(a, b, similarity) of rows of one block whose codes are similar, a < b.
 
-    Equal codes meet as one representative (their least key), so copies form no pairs; lengths are gated in the join.
-    Blocks must be selective (a name): pairs are formed within them.
+    Codes that are equal but for spaces at lines' ends and blank lines meet as one representative (their least key), so
+    copies form no pairs here: ``equal_code`` has them. Lengths are gated in the join. Blocks must be selective (a name):
+    pairs are formed within them.
     """
-    from quernel.functions.text import similarity
+    from quernel.functions.text import similarity, tidy_lines
 
-    one = rows.groupBy(*block, code).agg(F.min(key).alias("rep"))
-    one = one.withColumn("n", F.length(code))
-    left, right = one.select(*block, F.col("rep").alias("a"), F.col(code).alias("x"), F.col("n").alias("m")), one.select(*block, F.col("rep").alias("b"), F.col(code).alias("y"), "n")
-    close = F.abs(F.col("m") - F.col("n")) <= 0.5 * F.greatest("m", "n")
+    one = rows.withColumn("_tidy", tidy_lines(code)).groupBy(*block, "_tidy").agg(F.min(key).alias("rep"))
+    one = one.withColumn("n", F.length("_tidy"))
+    left, right = one.select(*block, F.col("rep").alias("a"), F.col("_tidy").alias("x"), F.col("n").alias("m")), one.select(*block, F.col("rep").alias("b"), F.col("_tidy").alias("y"), "n")
+    close = F.least("m", "n") >= (threshold - 1e-6) * F.greatest("m", "n")  # similarity is rounded
     met = left.join(right, block).where((F.col("a") < F.col("b")) & close)
     return met.withColumn("similarity", F.round(similarity("x", "y"), 6)).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
+def equal_code(rows: DataFrame, key: str, code: str, block: list[str]) -> DataFrame:
+    """(a, b): each row ``b`` of a block whose code is equal to that of its representative ``a``, as in ``similar_pairs``;
+    a pair of representatives holds for all their copies. Codes meet by digest, hot ones by broadcast."""
+    from quernel.functions.text import tidy_lines
+
+    tidy = rows.withColumn("_tidy", tidy_lines(code)).where("_tidy <> ''").select(*block, F.col(key).alias("b"), F.sha2("_tidy", 256).alias("_digest"))
+    least = tidy.groupBy(*block, "_digest").agg(F.min("b").alias("a"))
+    return split_join(tidy, least, [*block, "_digest"], "inner").where(F.col("a") < F.col("b")).select("a", "b").distinct()
+
+
 def edges_by_call(calls: DataFrame, defs: DataFrame) -> DataFrame:
     """(caller, callee): call sites by name. ``calls``: (file, caller, caller_class, prefix, name, var_class), ``defs``:
     (file, id, class, name). ``self.x`` goes to the own class, ``C.x`` to class C, ``v.x`` to the class that v was

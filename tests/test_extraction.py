@@ -87,3 +87,13 @@ def test_lookups(spark):
     assert {(r.req, r.dst) for r in lookups.requested(requests, deps).collect()} == {("f", "mod.f"), ("mod.g", "x.mod.g")}
     code = spark.createDataFrame([(1, "f", "return 10"), (2, "f", "return 11"), (3, "f", "return 10"), (4, "f", "else"), (5, "g", "return 10")], "k int, name string, code string")
     assert {(r.a, r.b) for r in lookups.similar_pairs(code, "k", "code", ["name"], 0.8).collect()} == {(1, 2)}
+
+
+def test_copies_stay_similar(spark):
+    from quernel.plans.components import similar_components
+
+    long = "def f():\n" + "".join(f"    x{i} = {i}\n" for i in range(10))
+    rows = [(k, "function", "f", c) for k, c in (("1", long), ("2", long), ("3", long.replace("    ", "\t\t\t\t\t\t") + "\n\n"), ("4", long.replace("x3", "y3")))]
+    rows += [("5", "method", "f", long), ("6", "method", "f", long), ("7", "class", "C", "class C:\n  a = 1"), ("8", "class", "C", "class C(D):\n  pass  # other")]
+    got = {(r.a, r.b): r.similarity for r in similar_components(spark.createDataFrame(rows, "key string, kind string, name string, code string")).collect()}
+    assert set(got) == {("1", "2"), ("1", "3"), ("1", "4"), ("5", "6"), ("7", "8")} and got["1", "2"] == got["1", "3"] == 1.0 > got["1", "4"] > 0.9
