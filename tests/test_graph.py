@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quernel.operators import fold, graph
 
@@ -156,3 +157,14 @@ def test_unknown_attributes(spark):
     known = spark.createDataFrame([("a", "pkg/x.py")], "id string, relative_path string")
     (r,) = fold.attributed(e, known).collect()
     assert (r.src_pkg, r.dst_file, r.dst_pkg) == ("pkg", "(unknown)", "(unknown)")
+
+
+def test_influence_query_does_the_whole_job(spark, monkeypatch):
+    from quernel.plans import components
+
+    nodes, edges = tables(spark, CASES[3])
+    asked = {}
+    monkeypatch.setattr(components, "nodes_edges", lambda *_: (nodes, edges))
+    monkeypatch.setattr(components.graph, "influence", lambda n, e, **given: asked.update(given) or n.select("id", *[F.lit(0.0).alias(c) for c in ("in_degree", "out_degree", "betweenness", "pagerank", "score")]))
+    components.influence(spark, "")
+    assert asked == {"samples": 200, "rounds": 50, "tolerance": 1e-8}
