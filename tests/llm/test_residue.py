@@ -1,4 +1,4 @@
-import re
+import random
 
 from quernel.llm import residue
 
@@ -43,17 +43,63 @@ def test_cases(spark):
     assert residue.detect(df.limit(0), "summary", ["item"]).count() == 0
 
 
-def test_templates_keep_message_words():
-    tree = residue.PrefixTree()
-    for line in ("javascript is required.", "tray is open.", "shelf is open.", "crate is open."):
-        tree.add(line)
-    templates = {" ".join(t) for leaf in tree.leaves.values() for t in leaf}
-    assert "javascript is required ." in templates and any("<*>" in t or t for t in templates)
+MERGED = ["本模块负责解析，待补充。", "本模块负责解析，处理请求。", "the module adipiscing elit eiusmod.", "the module parses input rows."]
 
 
-def test_the_java_and_python_slots_agree(spark):
-    texts = [*CASES, "{x}", "{0}", "{'a': 1}", "a < b > c", "<div>x</div>", "[1]", "[link](url)", "100%", "50 %s", "#{", "__init__", "{% if a %}b{% endif %}"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    java = [r.s for r in df.select(residue.slotted(df.t).alias("s")).collect()]
-    python = [bool(re.search(residue.SLOT_PATTERN, re.sub(residue.CODE, " ", t))) for t in texts]
-    assert java == python
+def test_residue_and_ordinary_text_share_no_template(spark):
+    rows = [(i, t) for i, t in enumerate(MERGED)]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        for parts in (1, 4, 32):
+            df = spark.createDataFrame(order, "item long, summary string").repartition(parts)
+            assert {r.item for r in residue.detect(df, "summary", ["item"]).collect()} == {0, 2}
+
+
+def test_results_do_not_depend_on_partitions(spark):
+    rows = [(i, t) for i, t in enumerate([*CASES, *MERGED] * 3)]
+    got = []
+    for parts, seed in ((1, 0), (4, 1), (32, 2)):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "item long, summary string").repartition(parts)
+        got.append({r.item for r in residue.detect(df, "summary", ["item"]).collect()})
+    assert got[0] == got[1] == got[2] and got[0]
+
+
+def test_a_template_has_the_verdict_of_each_of_its_sentences():
+    """Sentences in which words that can't decide are replaced by others of their length class keep their verdict."""
+    masks = residue.Masks()
+    for text in [*CASES, *MERGED]:
+        for s in residue.sentences(text):
+            tokens, kinds = masks.read(s)
+            other = " ".join({"*": "zonnk", "~": "zk"}.get(k, t) for t, k in zip(tokens, kinds))
+            assert residue.is_residue(kinds) == residue.is_residue(masks.read(other)[1]) or any(k in (",", ":") for k in kinds), s
+
+
+def test_templates_meet_in_any_order(spark):
+    lines = ["Keeps the tray open for noon.", "Keeps the shelf open for noon.", "Keeps the crate open for dusk.", "JavaScript is required."]
+    got = set()
+    for parts in (1, 3):
+        for order in (lines, lines[::-1]):
+            df = spark.createDataFrame([(i, t) for i, t in enumerate(order)], "item long, summary string").repartition(parts)
+            found = residue.templates(residue.mine(df, "summary", ["item"]))
+            got.add(frozenset((r.template, r.residue) for r in found.collect()))
+    assert got == {frozenset({("keeps the * open for *", False), ("javascript is required", True)})}
+
+
+def test_a_full_tree_is_passed_on(spark, monkeypatch):
+    monkeypatch.setattr(residue, "HELD", 2)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(CASES)], "item long, summary string").repartition(1)
+    assert {r.item for r in residue.detect(df, "summary", ["item"]).collect()} == {i for i, bad in enumerate(CASES.values()) if bad}
+
+
+def test_long_slots():
+    for n in (10, 1000, 100_000):
+        for a, b in (("{{", "}}"), ("${", "}"), ("{%", "%}"), ("[describe ", "]"), ("<insert ", ">"), ("<<", ">>")):
+            assert residue.slotted("Keeps " + a + "x y " * n + b), (a, n)
+    residue.slotted("{{ " * 100_000 + "<% " * 100_000)
+
+
+def test_more_slots():
+    for t in ("[MODULE NAME]", "{module name}", "{0}", "$summary$", "【摘要】", "[hier einfügen]", "[insérer le résumé]", "<описание>"):
+        assert residue.slotted(f"The tray keeps {t} for noon."), t
+    for t in ("`{0}`", "a{2}", "[link](url)", "costs $5 and $6", "【注意】", "<div>x</div>", "{'a': 1}", "[1]", "a < b > c", "[A-Z]"):
+        assert not residue.slotted(f"The tray keeps {t} for noon."), t
