@@ -170,19 +170,33 @@ def _strong(edges: list[tuple[str, str]]) -> dict[str, str]:
 
 
 def _without_cycles(edges: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """``edges`` after each component has lost its least edge again and again until none has a cycle."""
-    kept, work = [], [sorted(edges)]
+    """``edges`` after each component has lost its least edge again and again until none has a cycle.
+
+    An edge goes exactly if it lies on a cycle of edges that aren't less than it. So edges are added from the greatest
+    down, and for all of them at once it is found by halving the time in which step their ends come to be in one
+    component: O(edges * log(edges)), however many go."""
+    order = sorted((e for e in edges if e[0] != e[1]), reverse=True)
+    gone = set()
+    work = [(0, len(order), [(t, a, b) for t, (a, b) in enumerate(order)])]
     while work:
-        part = work.pop()
-        named = _strong(part)
-        inside: dict[str, list] = {}
-        for a, b in part:
-            if named[a] == named[b]:
-                inside.setdefault(named[a], []).append((a, b))
+        low, high, part = work.pop()
+        if low == high:  # the step in which the ends meet; len(order) is never
+            gone.update(t for t, _, _ in part if low <= t)
+            continue
+        middle = (low + high) // 2
+        named = _strong([(a, b) for t, a, b in part if t <= middle])
+        met, apart = [], []
+        for t, a, b in part:
+            x, y = named.get(a, a), named.get(b, b)
+            if x == y:
+                met.append((t, a, b))
             else:
-                kept.append((a, b))
-        work += [group[1:] for group in inside.values() if len(group) > 1]
-    return kept
+                apart.append((t, x, y))
+        if met:
+            work.append((low, middle, met))
+        if apart:
+            work.append((middle + 1, high, apart))
+    return [e for t, e in enumerate(order) if t not in gone]
 
 
 def components(nodes: DataFrame, edges: DataFrame, one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
@@ -233,35 +247,51 @@ def cycles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return sized.where("size > 1 or self_loop")
 
 
-def break_cycles(nodes: DataFrame, edges: DataFrame, max_rounds: int | None = None, one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
+def break_cycles(nodes: DataFrame, edges: DataFrame, one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
     """The edges without cycles: self-loops go, then of each component its least edge (src, dst), until none is left.
 
-    Components are independent. Those of at most ``one_task_edges`` edges are worked on as groups, one task each; from
-    larger ones all lose an edge in the same round. ``max_rounds`` ends it early and works in rounds only.
+    Components are independent. Those of at most ``one_task_edges`` edges are worked on as groups, one task each. For the
+    edges of larger ones, all at once, it is found by halving when their ends come to be in one component if edges are
+    added from the greatest down: as many rounds of ``components`` as the number of edges has binary digits.
     """
     left = cut(edges.select("src", "dst").distinct().where("src <> dst"))
-    done = 0
-    while max_rounds is None or done < max_rounds:
-        named = cut(components(nodes, left, one_task_edges))
-        a, b = named.select(F.col("id").alias("src"), F.col("component").alias("c")), named.select(F.col("id").alias("dst"), F.col("component").alias("d"))
-        placed = cut(left.join(a, "src").join(b, "dst").select("src", "dst", "c", (F.col("c") == F.col("d")).alias("inside")))
-        sizes = placed.where("inside").groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("src", "dst")).alias("e"))
-        if max_rounds is None and one_task_edges:
-            small = sizes.where(F.col("n") <= one_task_edges).select("c")
-
-            def tidy(pdf: pd.DataFrame) -> pd.DataFrame:
-                return pd.DataFrame(_without_cycles(list(zip(pdf["src"], pdf["dst"]))), columns=["src", "dst"])
-
-            grouped = placed.where("inside").join(small, "c", "left_semi").groupBy("c").applyInPandas(tidy, "src string, dst string")
-            rest = placed.join(small.withColumn("inside", F.lit(True)), ["c", "inside"], "left_anti").select("src", "dst")
-            left = cut(rest.unionByName(grouped))
-            sizes = sizes.where(F.col("n") > one_task_edges)
-        least = cut(sizes.select("e.src", "e.dst"))
-        if least.isEmpty():
-            break
-        left = cut(left.join(least, ["src", "dst"], "left_anti"))
-        done += 1
-    return left
+    named = cut(components(nodes, left, one_task_edges))
+    a, b = named.select(F.col("id").alias("src"), F.col("component").alias("c")), named.select(F.col("id").alias("dst"), F.col("component").alias("d"))
+    placed = cut(left.join(a, "src").join(b, "dst").select("src", "dst", "c", (F.col("c") == F.col("d")).alias("inside")))
+    sizes = placed.where("inside").groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    small = sizes.where(F.col("n") <= one_task_edges).select("c")
+
+    def tidy(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_without_cycles(list(zip(pdf["src"], pdf["dst"]))), columns=["src", "dst"])
+
+    kept = placed.where("not inside").select("src", "dst")
+    kept = kept.unionByName(placed.where("inside").join(small, "c", "left_semi").groupBy("c").applyInPandas(tidy, "src string, dst string"))
+    large = cut(placed.where("inside").join(small, "c", "left_anti").select("src", "dst"))
+    if large.isEmpty():
+        return kept
+    timed = cut(global_rank(large, [F.desc("src"), F.desc("dst")], "t"))
+    never = timed.count()
+    # ``low`` and ``high`` bound the step in which the ends of an edge meet; ends are named within their range
+    state = timed.select("src", "dst", "t", F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(0).cast("long").alias("low"), F.lit(never).cast("long").alias("high"))
+    for _ in range(never.bit_length()):
+        middle = F.floor((F.col("low") + F.col("high")) / 2)
+        state = cut(state.withColumn("middle", middle).withColumn("p", F.concat_ws(":", "low", "a")).withColumn("q", F.concat_ws(":", "low", "b")))
+        early = state.where("t <= middle and low < high").select(F.col("p").alias("src"), F.col("q").alias("dst"))
+        found = components(early.select(F.col("src").alias("id")).limit(0), early, one_task_edges)
+        x, y = found.select(F.col("id").alias("p"), F.col("component").alias("x")), found.select(F.col("id").alias("q"), F.col("component").alias("y"))
+        wide = state.join(x, "p", "left").join(y, "q", "left").withColumn("x", F.coalesce("x", "p")).withColumn("y", F.coalesce("y", "q"))
+        met, done = F.col("x") == F.col("y"), F.col("low") == F.col("high")
+        bare = lambda c: F.regexp_replace(c, "^[0-9]+:", "")
+        state = wide.select(
+            "src",
+            "dst",
+            "t",
+            F.when(met | done, F.col("a")).otherwise(bare("x")).alias("a"),
+            F.when(met | done, F.col("b")).otherwise(bare("y")).alias("b"),
+            F.when(met | done, F.col("low")).otherwise(F.col("middle") + 1).alias("low"),
+            F.when(met & ~done, F.col("middle")).otherwise(F.col("high")).alias("high"),
+        )
+    return kept.unionByName(cut(state.where("low > t").select("src", "dst")))
 
 
 def levels(nodes: DataFrame, edges: DataFrame, max_level: int | None = None) -> DataFrame:
@@ -285,23 +315,21 @@ def levels(nodes: DataFrame, edges: DataFrame, max_level: int | None = None) ->
 
 
 def exact_order(nodes: DataFrame, edges: DataFrame, graph: str, method: str = "depth_first") -> DataFrame:
-    """(graph, id, ord): the sequential orders, one graph of column ``graph`` at a time.
+    """(graph, id, ord): the sequential orders, one graph of column ``graph`` at a time, after its cycles are broken as by
+    ``break_cycles``.
 
-    ``depth_first``: post-order with sorted roots and dependencies, edges back are skipped. ``kahn``: always the least
-    id that is ready, the rest sorted at the end. Both are sequential by definition, so a graph is one group; it must
-    fit a task. Use ``levels`` for graphs that don't.
+    ``depth_first``: post-order with sorted roots and dependencies. ``kahn``: always the least id that is ready. Both are
+    sequential by definition, so a graph is one group; it must fit a task. Use ``levels`` for graphs that don't.
     """
     order = {"depth_first": _depth_first, "kahn": _kahn}[method]
     kind = dict(nodes.dtypes)[graph]
     rows = nodes.select(graph, F.col("id").alias("src"), F.lit(None).cast("string").alias("dst")).unionByName(edges.select(graph, "src", "dst"))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        deps: dict[str, set] = {}
-        for s, d in zip(pdf["src"], pdf["dst"]):
-            deps.setdefault(s, set())
-            if d is not None:
-                deps[s].add(d)
-                deps.setdefault(d, set())
+        ends = list(zip(pdf["src"], pdf["dst"]))
+        deps: dict[str, set] = {x: set() for e in ends for x in e if x is not None}
+        for s, d in _without_cycles([e for e in set(ends) if e[1] is not None]):
+            deps[s].add(d)
         ids = order(deps)
         return pd.DataFrame({graph: [key[0]] * len(ids), "id": ids, "ord": range(len(ids))})
 
@@ -344,7 +372,7 @@ def _kahn(deps: dict[str, set]) -> list[str]:
             open_[user] -= 1
             if not open_[user]:
                 heapq.heappush(ready, user)
-    return out + sorted(set(deps) - set(out))
+    return out
 
 
 def betweenness(nodes: DataFrame, edges: DataFrame, sources: DataFrame | None = None, max_depth: int | None = None) -> DataFrame:

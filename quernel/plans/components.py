@@ -173,9 +173,19 @@ def cycles(spark, folder):
     return graph.cycles(cut(nodes), cut(edges))
 
 
-@R.add("acyclic_edges")
+#: An edge goes if it lies on a cycle of edges that aren't less than it.
+ACYCLIC = (
+    REACH
+    + """, inner_ as (select src, dst from edges where src <> dst and exists (select 1 from reach r where r.src = edges.dst and r.dst = edges.src)),
+walk as (select src as s, dst as d, dst as here from inner_ union select w.s, w.d, i.dst from walk w join inner_ i on i.src = w.here and (i.src > w.s or i.src = w.s and i.dst > w.d)),
+acyclic as (select src, dst from edges where src <> dst except select s, d from walk where here = s)
+"""
+)
+
+
+@R.add("acyclic_edges", ACYCLIC + "select src, dst from acyclic")
 def acyclic_edges(spark, folder):
-    """Edges left after cycles are broken (GR03); tested on hand-made graphs."""
+    """Edges left after cycles are broken (GR03)."""
     nodes, edges = nodes_edges(spark, folder)
     return graph.break_cycles(cut(nodes), cut(edges))
 
@@ -193,9 +203,28 @@ def dependency_levels(spark, folder):
     return graph.levels(cut(nodes), cut(edges))
 
 
-@R.add("dependency_first_order")
+#: Dependencies of each component as a sorted list, without cycles.
+AFTER = (
+    ACYCLIC
+    + """, adj as (select c.repo_name, c.id, coalesce((select list_sort(list(x.id)) from acyclic a join cur x on x.key = a.dst where a.src = c.key), []) as deps from cur c where c.id is not null and c.repo_name is not null),
+"""
+)
+
+
+@R.add(
+    "dependency_first_order",
+    AFTER
+    + """roots as (select repo_name, list_sort(list(id)) as ids from adj group by 1),
+step as (select repo_name, cast([] as varchar[]) as stack, cast([] as varchar[]) as seen, cast([] as varchar[]) as out from roots
+  union all
+  select repo_name, case when nxt is null then stack[:-2] else list_append(stack, nxt) end, case when nxt is null then seen else list_append(seen, nxt) end, case when nxt is null then list_append(out, stack[-1]) else out end
+  from (select s.*, list_filter(case when len(s.stack) = 0 then r.ids else a.deps end, lambda x: not list_contains(s.seen, x))[1] as nxt
+        from step s join roots r using (repo_name) left join adj a on a.repo_name = s.repo_name and a.id = s.stack[-1]) where nxt is not null or len(stack) > 0),
+final as (select s.repo_name, s.out from step s join roots r using (repo_name) where len(s.out) = len(r.ids))
+select repo_name, unnest(out) as id, cast(generate_subscripts(out, 1) - 1 as bigint) as ord from final""",
+)
 def dependency_first_order(spark, folder):
-    """Depth-first post-order per repository (GR05); tested against plain recursion."""
+    """Depth-first post-order per repository after cycles are broken (GR05)."""
     rows = current(spark, folder)
     nodes = rows.select("repo_name", "id")
     edges = rows.select("repo_name", F.col("id").alias("src"), F.explode("depends_on").alias("dst")).withColumn("dst", F.trim("dst")).distinct()
@@ -203,9 +232,17 @@ def dependency_first_order(spark, folder):
     return graph.exact_order(nodes, edges, "repo_name")
 
 
-@R.add("kahn_order")
+@R.add(
+    "kahn_order",
+    AFTER
+    + """heap as (select repo_name, cast([] as varchar[]) as out from adj group by 1
+  union all
+  select repo_name, list_append(out, nxt) from (select h.repo_name, h.out, min(a.id) as nxt from heap h join adj a on a.repo_name = h.repo_name and not list_contains(h.out, a.id) and list_has_all(h.out, a.deps) group by 1, 2)),
+last as (select repo_name, arg_max(out, len(out)) as out from heap group by 1)
+select repo_name, unnest(out) as id, cast(generate_subscripts(out, 1) - 1 as bigint) as ord from last""",
+)
 def kahn_order(spark, folder):
-    """Kahn's order with the least id first, per repository (GR04)."""
+    """Kahn's order with the least id first, per repository after cycles are broken (GR04)."""
     rows = current(spark, folder)
     nodes = rows.select("repo_name", "id")
     edges = rows.select("repo_name", F.col("id").alias("src"), F.explode("depends_on").alias("dst")).withColumn("dst", F.trim("dst")).distinct()

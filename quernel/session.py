@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # rounds of graph operators leave one each
 }
 
 

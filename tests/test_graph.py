@@ -122,11 +122,28 @@ def test_orders(spark):
     nodes = spark.createDataFrame([("g", i) for i in ("app", "lib", "util", "x", "y", "alone")], "g string, id string")
     e = spark.createDataFrame(edges, "g string, src string, dst string")
     order = [r.id for r in graph.exact_order(nodes, e, "g").orderBy("ord").collect()]
-    assert order == ["alone", "util", "lib", "app", "y", "x"]
+    assert order == ["alone", "util", "lib", "app", "x", "y"]  # (x, y) is the least edge of the cycle and goes
     order = [r.id for r in graph.exact_order(nodes, e, "g", "kahn").orderBy("ord").collect()]
     assert order == ["alone", "util", "lib", "app", "x", "y"]
 
 
+def test_orders_break_cycles_first(spark):
+    nodes = spark.createDataFrame([("g", i) for i in "abc"], "g string, id string")
+    e = spark.createDataFrame([("g", "a", "b"), ("g", "b", "c"), ("g", "c", "a"), ("g", "b", "b")], "g string, src string, dst string")
+    for method in ("depth_first", "kahn"):
+        assert [r.id for r in graph.exact_order(nodes, e, "g", method).orderBy("ord").collect()] == ["a", "c", "b"]
+
+
+def test_breaking_by_halving():
+    for seed in range(60):
+        rng = random.Random(seed)
+        edges = random_edges(seed, rng.randrange(2, 9), rng.randrange(1, 30))
+        assert set(graph._without_cycles(edges)) == plain_breaking(edges), edges
+    ring = [(f"n{i:05}", f"n{(i + 1) % 3000:05}") for i in range(3000)] + [(f"n{i:05}", f"n{i // 2:05}") for i in range(1, 3000)]
+    left = graph._without_cycles(ring)
+    assert len(graph._strong(left)) == len(set(graph._strong(left).values()))
+
+
 def test_levels(spark):
     got = {r.id: r.level for r in graph.levels(*tables(spark, [("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x"), ("z", "x")], ["lone"])).collect()}
     assert got == {"c": 0, "b": 1, "a": 2, "lone": 0, "x": None, "y": None, "z": None}
