@@ -13,7 +13,10 @@ WORDS = {
     "pt": "o a os as um uma de do da dos das e ou não é são com para por em no na nos nas que se seu sua mais também depois antes sem cada faz quando como porque ao pelo pela isso este esta até entre sobre",
     "it": "il lo la i gli le un una di del della dei delle e o non è sono con per in nel nella che si suo sua più anche dopo prima senza ogni quando come perché questo questa al alla da dal fino tra su",
 }
-_SETS = {k: frozenset(v.split()) for k, v in WORDS.items()}
+_LANGUAGES: dict[str, list[str]] = {}
+for _code, _words in WORDS.items():
+    for _word in set(_words.split()):
+        _LANGUAGES.setdefault(_word, []).append(_code)
 _SCRIPTS = [("ja", re.compile(r"[぀-ヿ]")), ("ko", re.compile(r"[가-힣]")), ("zh", re.compile(r"[㐀-鿿]")), ("ru", re.compile(r"[Ѐ-ӿ]")), ("el", re.compile(r"[Ͱ-Ͽ]")), ("ar", re.compile(r"[؀-ۿ]")), ("he", re.compile(r"[֐-׿]")), ("hi", re.compile(r"[ऀ-ॿ]"))]
 _LATIN = re.compile(r"[a-zA-ZÀ-ɏ]")
 _HINTS = [("de", re.compile(r"[ßäöü]")), ("es", re.compile(r"[ñ¿¡]|ción")), ("fr", re.compile(r"[çœêèàù]|l'|d'|qu'"))]
@@ -31,7 +34,10 @@ def language(text: str) -> str | None:
         if n >= 2 and n > letters:
             return code
     words = re.findall(r"[^\W\d_]+(?:'(?=[a-zà-ÿ]))?", text.lower())
-    scores = {k: sum(w.rstrip("'") in s for w in words) for k, s in _SETS.items()}
+    scores = dict.fromkeys(WORDS, 0)
+    for w in words:
+        for k in _LANGUAGES.get(w.rstrip("'"), ()):
+            scores[k] += 1
     best = sorted(scores, key=lambda k: (-scores[k], k))
     if scores[best[0]] and scores[best[0]] > scores[best[1]]:
         return best[0]

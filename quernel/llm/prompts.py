@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -142,6 +143,9 @@ je ne peux pas|je ne peux * répondre|je ne suis pas en mesure|je ne suis pas au
 lo siento|no puedo * ayudar|no puedo responder|no puedo contestar|no puedo * esa|no puedo dar|no puedo explicar|no puedo comentar|no puedo hablar|no me es posible|no estoy autorizado|no estoy en condiciones|no soy capaz|no tengo permitido|me es imposible|debo rechazar|tengo que rechazar|prefiero no|como modelo de lenguaje|como ia|lamentablemente no puedo|me temo que no
 я не могу|не могу * ответить|не могу * помочь|к сожалению я|извините я|извините но|простите я|прошу прощения|я не в состоянии|мне нельзя|я вынужден отказать|вынужден отказаться|как языковая модель|я отказываюсь|я не имею права
 λυπάμαι|δεν μπορώ να|δυστυχώς δεν|δεν είμαι σε θέση|ως γλωσσικό μοντέλο|δεν μου επιτρέπεται
+outside of what i|outside what i|outside the bounds of what i|beyond what i may|beyond what i can|not something i can|not something i may|not something i am|nothing i can say|nothing i may say|i have been told not to|i have been asked not to|i have been instructed not to|i can neither|i am in no position|i can not in good conscience|i leave * unanswered|i must leave * unanswered|i will leave * unanswered|i will skip this question|i do not think i should|i do not think i can|i am going to have to|not at liberty
+non posso * aiutare|non posso rispondere|non posso * questa|mi dispiace|non mi è possibile|non sono in grado|non sono autorizzato|devo rifiutare|purtroppo non|preferisco non|come modello linguistico
+não posso * ajudar|não posso responder|não posso * essa|não posso * esta|não consigo responder|lamento mas|sinto muito|desculpe mas|não me é possível|não estou autorizado|devo recusar|infelizmente não posso|prefiro não|como modelo de linguagem
 """
 _TEMPLATES = [t.split() for line in REFUSALS.strip().split("\n") for t in line.split("|")]
 _BY_FIRST: dict[str, list[list[str]]] = {}
@@ -152,15 +156,20 @@ REFUSALS_HAN = re.compile(r"(?:我|本模型|作为(?:一个)?(?:语言|人工
 # How contractions are spelled out.
 CONTRACTIONS = [(r"\bcannot\b", "can not"), (r"\bcan't\b", "can not"), (r"\bwon't\b", "will not"), (r"n't\b", " not"), (r"\bi'm\b", "i am"), (r"\bi'd\b", "i would"), (r"\bi'll\b", "i will"), (r"\bi've\b", "i have"), (r"\bit's\b", "it is"), (r"\bthat's\b", "that is")]
 _CONTRACTIONS = [(re.compile(a), b) for a, b in CONTRACTIONS]
+# Words by which a sentence speaks of speaker and reader, thanks or excuses. Such sentences may stand before a refusal.
+SPEAKERS = frozenset(
+    "i me my you your we our us thank thanks sorry apologies apologize apologise unfortunately regrettably please hello hi sure okay ich ihnen ihre ihr danke leider entschuldigung entschuldigen je vous votre merci désolé malheureusement bonjour"
+    " yo usted ustedes gracias lamento lamentablemente disculpe я вы вам вас спасибо извините простите здравствуйте жаль сожалению σας ευχαριστώ λυπάμαι δυστυχώς συγγνώμη eu você obrigado desculpe io lei grazie scusi purtroppo".split()
+)
+_SPEAKERS_HAN = re.compile("[我您你咱]|谢谢|感谢|抱歉|对不起|遗憾|ありがとう|すみません|申し訳")
 _WORD = re.compile(r"[^\W_]+")
-#: Refusals stand in the first sentences, behind thanks or an apology at most.
-OPENING = 2
 
 
 def plain_tokens(text: str) -> list[str]:
     text = text.lower().replace("’", "'")
-    for pattern, value in _CONTRACTIONS:
-        text = pattern.sub(value, text)
+    if "'" in text or "cannot" in text:
+        for pattern, value in _CONTRACTIONS:
+            text = pattern.sub(value, text)
     return _WORD.findall(text)
 
 
@@ -179,21 +188,37 @@ def aligned(template: list[str], tokens: list[str], at: int) -> bool:
     return True
 
 
-def refuses(response: str) -> bool:
-    """True if the opening of ``response`` aligns with a refusal."""
-    text = re.sub(r"```.*?```|`[^`]*`|“[^”]*”|«[^»]*»|\"[^\"\n]*\"", " it ", response, flags=re.S)
-    if re.search(r"[㐀-鿿぀-ヿ가-힣]", text):
-        opening = "。".join(re.split(r"[。！？\n]", text.strip())[:OPENING])
-        if REFUSALS_HAN.search(opening):
-            return True
-    for sentence in re.split(r"(?<=[.!?])\s+|\n+", text.strip())[:OPENING]:
+_PARTS = re.compile(r"(?<=[.!?])\s+|\n+|(?<=[。！？])")
+_HAN = re.compile(r"[㐀-鿿぀-ヿ가-힣]")
+
+
+def refuses(prompt: str, response: str) -> bool:
+    """True if a sentence of ``response`` aligns with a refusal and none before it answers. A sentence answers unless it
+    speaks of speaker or reader (thanks, excuses, announcements) or is the prompt again, by containment of its shingles."""
+    text = _ASIDE.sub(" it ", response)
+    asked = None
+    for sentence in _PARTS.split(text.strip()):
+        if _HAN.search(sentence):
+            if REFUSALS_HAN.search(sentence):
+                return True
+            if not _SPEAKERS_HAN.search(sentence):
+                return False
+            continue
         tokens = plain_tokens(sentence)
-        for i, token in enumerate(tokens[:24]):
-            if any(aligned(t, tokens, i) for t in _BY_FIRST.get(token, ())):
+        for i, token in enumerate(tokens):
+            if token in _BY_FIRST and any(aligned(t, tokens, i) for t in _BY_FIRST[token]):
                 return True
+        if tokens and SPEAKERS.isdisjoint(tokens):
+            asked = asked if asked is not None else shingles(plain_tokens(_ASIDE.sub(" it ", prompt)))
+            own = shingles(tokens)
+            if 2 * len(own & asked) < len(own):
+                return False
     return False
 
 
+_ASIDE = re.compile(r"```.*?```|`[^`]*`|“[^”]*”|«[^»]*»|\"[^\"\n]*\"", re.S)
+
+
 def shingles(tokens: list[str], n: int = 3) -> set[tuple[str, ...]]:
     return {tuple(tokens[i : i + n]) for i in range(max(1, len(tokens) - n + 1))}
 
@@ -211,20 +236,31 @@ def common_subsequence(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
+# Words that name a part of a pair.
+LABELS = frozenset("question questions requirement requirements answer answers solution solutions prompt query task response reply q asked repeat repeated again frage anforderung antwort exigence réponse pregunta requisito respuesta вопрос требование ответ ερώτηση απαίτηση απάντηση domanda risposta pergunta resposta".split())
+_LABELS_HAN = re.compile(r"(?:问题|需求|要求|回答|答案|提问)\s*[:：]")
+_COPIED = re.compile(r"[㐀-鿿぀-ヿ]|[^\W㐀-鿿぀-ヿ]+")
+
+
 def copies(prompt: str, response: str) -> bool:
     """True if ``response`` is nothing but ``prompt`` again, once or more, apart from case, spacing, signs and labels.
 
-    Shingle containment finds candidates, the longest common subsequence aligns them; exact is then that the
-    response's tokens are those of the prompt, repeated.
+    Containment of the prompt's shingles finds candidates. Then the prompt, as often as its words occur in the response,
+    is aligned with it by their longest common subsequence: it must be covered whole, and what else the response holds
+    must be labels. Labels may stand anywhere, and those of the prompt needn't be repeated.
     """
-    a = re.findall(r"\w+", prompt.lower())
-    b = re.findall(r"\w+", re.sub(r"(?i)\b(?:question|requirement|answer)\s*[:：]", " ", response).lower())
-    if not a or not b or len(b) < len(a):
+    a, b = (_COPIED.findall(_LABELS_HAN.sub(" ", t).lower()) for t in (prompt, response))
+    if not a or not b:
+        return False
+    own = shingles(a)
+    if 5 * len(own & shingles(b)) < 3 * len(own):
         return False
-    inside, own = shingles(b), shingles(a)
-    if len(own & inside) / len(own) < 0.8 or common_subsequence(a, b[: 2 * len(a)]) < len(a):
+    bare = [x for x in a if x not in LABELS] or a
+    of_a, of_b = Counter(bare), Counter(b)
+    times = min(of_b[x] // n for x, n in of_a.items())
+    if not times or any(n > times * of_a[x] and x not in LABELS for x, n in of_b.items()):
         return False
-    return len(b) % len(a) == 0 and all(b[i : i + len(a)] == a for i in range(0, len(b), len(a)))
+    return common_subsequence(bare * times, b) == times * len(bare)
 
 
 _FINAL = ".!?。！？…‽؟।"
@@ -273,7 +309,7 @@ def judge(prompt: str, response: str, broken_off: bool) -> tuple[str | None, str
         return "empty", None
     if copies(prompt, bare):
         return "copy", None
-    if refuses(bare):
+    if refuses(prompt, bare):
         return "refusal", None
     asked, told = language(prompt), language(bare)
     if asked and told and asked != told:
@@ -302,26 +338,20 @@ def pairs(log: DataFrame) -> DataFrame:
     return rows.mapInPandas(read, schema)
 
 
-def sentence_ends(log: DataFrame) -> DataFrame:
-    """(token, ends) - tokens that stand before a final mark somewhere in the log, with digits as 0, and how often.
-
-    Two signs count as a token before 。！？. All contents of all agents are used."""
+def word_places(log: DataFrame) -> DataFrame:
+    """(token, ends, inside) - how often a word stands before a final mark, and how often another word follows it on the same
+    line, with digits as 0; in scripts without spaces two signs count as a word. All contents of all agents are read, once."""
     closers = "[\"'”’»)`*_\\],}]"
-    found = F.regexp_extract_all("content", F.lit(rf"(?<![^\s>])[^\s<]*[.!?]{closers}*(?=[\s<]|$)"), F.lit(0))
-    wide = F.regexp_extract_all("content", F.lit(r"([\u3040-\u30ff\u3400-\u9fff]{2})[。！？]"), F.lit(1))
-    tokens = log.where(F.col("content").isNotNull()).select(F.explode(F.concat(found, wide)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("ends"))
-    bare = F.regexp_replace(F.lower("token"), rf"^[“«\"'`*_(\[{{]+|{closers}*[.!?]{closers}*$", "")
-    return tokens.groupBy(F.regexp_replace(bare, r"\d+", "0").alias("token")).agg(F.sum("ends").alias("ends"))
-
-
-def inner_uses(log: DataFrame) -> DataFrame:
-    """(token, inside) - words that another word follows on the same line, with digits as 0, and how often; in scripts
-    without spaces any two signs before a third. All contents of all agents are used."""
+    last = F.regexp_extract_all("content", F.lit(rf"(?<![^\s>])[^\s<]*[.!?]{closers}*(?=[\s<]|$)"), F.lit(0))
+    last_wide = F.regexp_extract_all("content", F.lit(r"([\u3040-\u30ff\u3400-\u9fff]{2})[。！？]"), F.lit(1))
     words = F.regexp_extract_all("content", F.lit(r'(?U)(?<![^\s<>"\\])[^\s<>"\\]+(?=[ \t]+[\w`“(])'), F.lit(0))
-    wide = F.regexp_extract_all("content", F.lit(r"(?=([\u3040-\u30ff\u3400-\u9fff]{2})[\u3040-\u30ff\u3400-\u9fff])"), F.lit(1))
-    tokens = log.where(F.col("content").isNotNull()).select(F.explode(F.concat(words, wide)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("inside"))
-    bare = F.regexp_replace(F.lower("token"), "^[“«\"'`*_(\\[{]+|[,;:\"'”’»)`*_\\]}]+$", "")
-    return tokens.groupBy(F.regexp_replace(bare, r"\d+", "0").alias("token")).agg(F.sum("inside").alias("inside"))
+    words_wide = F.regexp_extract_all("content", F.lit(r"(?=([\u3040-\u30ff\u3400-\u9fff]{2})[\u3040-\u30ff\u3400-\u9fff])"), F.lit(1))
+    marked = lambda tokens, end: F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(end).alias("end")))
+    both = F.concat(marked(F.concat(last, last_wide), True), marked(F.concat(words, words_wide), False))
+    tokens = log.where(F.col("content").isNotNull()).select(F.explode(both).alias("t")).groupBy("t.token", "t.end").agg(F.count(F.lit(1)).alias("n"))
+    begin = F.regexp_replace(F.lower("token"), "^[“«\"'`*_(\\[{]+", "")
+    bare = F.when(F.col("end"), F.regexp_replace(begin, rf"{closers}*[.!?]{closers}*$", "")).otherwise(F.regexp_replace(begin, "[,;:\"'”’»)`*_\\]}]+$", ""))
+    return tokens.groupBy(F.regexp_replace(bare, r"\d+", "0").alias("token")).agg(F.sum(F.when(F.col("end"), F.col("n")).otherwise(0)).alias("ends"), F.sum(F.when(F.col("end"), 0).otherwise(F.col("n"))).alias("inside"))
 
 
 #: A last word of which less than this share of uses lies elsewhere than at open ends is a fragment, no word.
@@ -346,10 +376,10 @@ def defects(log: DataFrame) -> DataFrame:
     sure = judged.where(F.col("defect") != "open").select(*key, "defect")
     unsure = judged.where(F.col("defect") == "open").drop("defect")
     last = unsure.groupBy("token").agg(F.count(F.lit(1)).alias("tails"), F.countDistinct(F.struct("log_id", "answer")).alias("logs"), F.countDistinct("answer").alias("answers"))
-    uses = last.join(sentence_ends(log), "token", "left").join(inner_uses(log), "token", "left").fillna(0, ["ends", "inside"])
+    uses = cut(last.join(word_places(log), "token", "left").fillna(0, ["ends", "inside"]))
     other = F.col("ends") + F.col("inside")
     known = other >= ELSEWHERE * (other + F.col("tails"))
     ends = F.col("ends") + F.col("tails") - 1 >= ENDING * (other + F.col("tails") - 1)
     whole = F.when(known, ends).otherwise(F.col("answers") <= DIFFERENT * F.col("logs"))
-    short = split_join(unsure, uses.where(~whole).select("token"), ["token"], "inner").select(*key, F.lit("truncated").alias("defect"))
+    short = split_join(unsure, uses.where(~whole).select("token"), ["token"], "inner", counts=uses.select("token", F.col("tails").alias("n"))).select(*key, F.lit("truncated").alias("defect"))
     return sure.unionByName(short).distinct()

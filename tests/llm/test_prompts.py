@@ -44,6 +44,46 @@ def test_judge():
     assert prompts.judge(Q, "Rows of the tray are read " * 4000 + ".", False)[0] is None
 
 
+def test_copies_are_decided_by_alignment():
+    asked = "Which tray reaches the shelf before the crate does?"
+    for answer in (asked, asked.upper(), "You? Question again: " + asked, asked + " Question (repeated): " + asked, "Answer: " + asked.replace(" ", "  ")):
+        assert prompts.copies(asked, answer) is ("You?" not in answer), answer
+    # the same words, and most of the same shingles, in another order: only the subsequence tells them apart
+    assert not prompts.copies(asked, "Before the crate does which tray reaches the shelf?")
+    assert not prompts.copies(asked, asked + " The open one.") and not prompts.copies(asked, "The open one. " + asked)
+    assert not prompts.copies(asked, asked[: len(asked) // 2]) and not prompts.copies("", asked) and not prompts.copies(asked, "")
+    assert prompts.copies("Requirement: " + asked, asked) and prompts.copies("托盘在哪里？", "问题：托盘在哪里？")
+    assert prompts.copies(asked * 500, asked * 500) and not prompts.copies(asked * 500, asked * 499 + "which tray reaches the shelf before the does crate?")
+
+
+def test_copy_needs_the_subsequence(monkeypatch):
+    asked = "Why does the worker of this shelf read each tray in turn and then sort all of its rows by owner and place?"
+    answer = asked.replace("owner and place", "place and owner")
+    assert not prompts.copies(asked, answer)
+    monkeypatch.setattr(prompts, "common_subsequence", lambda a, b: len(a))
+    assert prompts.copies(asked, answer)
+
+
+def test_refusals_anywhere():
+    thanks = "Thank you for your long and careful question about the tray, the shelf, the crate and all of the other things that your team keeps in store, "
+    for answer in (
+        thanks + "but I cannot help with that.",
+        "Hello. Thank you for asking. I have read your question twice. I must decline to answer it.",
+        Q + " I can't say.",
+        "That falls outside of what I may talk about.",
+        "Não posso ajudar com isso.",
+        "Mi dispiace, non posso rispondere.",
+        "谢谢您的提问。我看过代码。很遗憾，我无法回答。",
+    ):
+        assert prompts.judge(Q, answer, False)[0] == "refusal", answer
+    for answer in (
+        "The tray is sorted once per shift. I cannot say more about its owner.",
+        "托盘每班排序一次。其他部分我无法回答。",
+        "The guard refuses calls. Then the worker says that it is unable to help.",
+    ):
+        assert prompts.judge(Q, answer, False)[0] is None, answer
+
+
 def test_layouts():
     one = [(Q, "A one.", False)]
     assert prompts.parse_pairs(f"<SET>\n<QA>\n<Q>{Q}</Q>\n<A>A one.</A>\n<CODE>x</CODE></QA></SET>") == one
