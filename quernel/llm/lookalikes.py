@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernel.operators.skew import split_join
 from quernel.session import cut
 
 # Letters of Latin, Cyrillic and Greek drawn alike. Each line is one drawing: its letters by script.
@@ -36,7 +37,7 @@ C:Latn=C Cyrl=С Grek=Ϲ
 E:Latn=E Cyrl=Е Grek=Ε
 G:Latn=G Cyrl=Ԍ
 H:Latn=H Cyrl=Н Grek=Η
-I:Latn=I Cyrl=І Grek=Ι
+I:Latn=I Cyrl=ІӀ Grek=Ι
 J:Latn=J Cyrl=Ј Grek=Ϳ
 K:Latn=K Cyrl=К Grek=Κ
 M:Latn=M Cyrl=М Grek=Μ
@@ -52,16 +53,22 @@ X:Latn=X Cyrl=Х Grek=Χ
 Y:Latn=Y Cyrl=Ү Grek=Υ
 Z:Latn=Z Grek=Ζ
 v:Latn=v Cyrl=ѵ Grek=ν
+l:Latn=l Cyrl=ӏ
+Γ:Cyrl=Г Grek=Γ
+Π:Cyrl=П Grek=Π
+Φ:Cyrl=Ф Grek=Φ
 """
+# Letters drawn nearly alike. They look the same only within a word of the other letter's script.
+NEAR = "ρ=p α=a ι=i υ=u"
 SCRIPTS = ("Latn", "Cyrl", "Grek")
-#: Of each drawing (named by its Latin letter): the letter in each script.
+#: Of each drawing (named by its first letter): the letter in each script; of several the first.
 DRAWN: dict[str, dict[str, str]] = {}
+_TO_DRAWING: dict[int, str] = {}
 for _line in ALIKE.strip().split("\n"):
     _name, _, _rest = _line.partition(":")
     _letters = dict(x.split("=") for x in _rest.split())
-    if len(_letters) > 1:
-        DRAWN[_name] = _letters
-_TO_DRAWING = {ord(letter): name for name, letters in DRAWN.items() for letter in letters.values()}
+    DRAWN[_name] = {script: letters[0] for script, letters in _letters.items()}
+    _TO_DRAWING |= {ord(letter): _name for letters in _letters.values() for letter in letters}
 
 # Spaces about as wide as the ordinary one; marks that take no place and aren't drawn.
 SPACES = [0x00A0, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x202F, 0x205F]
@@ -108,8 +115,8 @@ def _pictured(c: str) -> bool:
 
 def skeleton(text: str) -> str:
     """``text`` with everything unified that can't be seen: full- and half-width forms, spaces of about one width,
-    invisible marks, accents apart, and each letter drawn alike in several scripts as its drawing. Equal exactly
-    for texts that look the same. Other compatibility forms (raised figures, fractions, ligatures) look different
+    invisible marks, accents apart, and each letter drawn alike in several scripts as its drawing: the lattice of a text,
+    as each drawing stands for a letter of each of its scripts. Other compatibility forms (raised figures, fractions, ligatures) look different
     and stay, and so do case, accents, line breaks and tabs."""
     if text.isascii():
         return text
@@ -134,40 +141,62 @@ def script_of(letter: str) -> str | None:
 
 
 class Scores:
-    """Log probabilities of a letter after another, by script, from counts of letter pairs of the whole corpus."""
+    """Log probabilities of a letter after two others, by script, from counts of three letters over the whole corpus."""
 
-    def __init__(self, pairs: dict[tuple[str, str], int]) -> None:
-        self.pairs, self.first, self.alphabet = pairs, Counter(), Counter()
-        for (a, b), n in pairs.items():
-            self.first[a] += n
-            self.alphabet[script_of(b)] += 1
+    def __init__(self, triples: dict[tuple[str, str, str], int]) -> None:
+        self.triples, self.before, letters = triples, Counter(), {}
+        for (a, b, c), n in triples.items():
+            self.before[a, b] += n
+            letters.setdefault(script_of(c), set()).add(c)
+        self.alphabet = {k: max(40, len(v)) for k, v in letters.items()}
 
-    def __call__(self, a: str, b: str) -> float:
-        return math.log((self.pairs.get((a, b), 0) + 0.5) / (self.first[a] + 0.5 * max(self.alphabet[script_of(b)], 40)))
+    def __call__(self, a: str, b: str, c: str) -> float:
+        return math.log((self.triples.get((a, b, c), 0) + 0.5) / (self.before[a, b] + 0.5 * self.alphabet.get(script_of(c), 40)))
 
 
-#: What leaving a script within a word costs, in log probability.
-SWITCH = -12.0
+#: What leaving a script within a word costs, and a letter that is only nearly alike, in log probability.
+SWITCH, NEARLY = -12.0, -3.0
+#: Of each letter drawn nearly like another: that one. In both directions.
+_NEARLY: dict[str, str] = {a: b for x in NEAR.split() for a, b in (x.split("="), x.split("=")[::-1])}
+#: For each script, the letter of each drawing, and which signs of a skeleton can be one of its letters or only that.
+_SPELLED = {k: {ord(name): letters[k] for name, letters in DRAWN.items() if k in letters} for k in SCRIPTS}
+
+
+def scripts_of(drawing: str) -> frozenset[str]:
+    """The scripts that have a letter so drawn; all of them for what isn't a letter of the three."""
+    if drawing in DRAWN:
+        return frozenset(DRAWN[drawing])
+    own = None if unicodedata.combining(drawing) else script_of(drawing)
+    return frozenset([own]) if own else frozenset(SCRIPTS)
 
 
 def read_word(word: str, scores: Scores) -> str:
-    """The most likely letters of a word given as drawings: Viterbi over the lattice of its letters by script, where a
-    path is scored by letter pairs and pays ``SWITCH`` for each change of script. Ties go to the first script."""
-    best: dict[str, tuple[float, tuple]] = {}  # last letter -> (score, path)
+    """The letters of a word given as drawings.
+
+    If one script has all of them, it is read in that one; if several have, in the most likely. A word that no script has
+    whole is searched by Viterbi over the lattice of its letters by script and of letters drawn nearly alike, where a
+    path is scored by three letters at a time and pays ``SWITCH`` for each change of script and ``NEARLY`` for each letter
+    that is only nearly alike. Ties go to the first script.
+    """
+    shared = set(SCRIPTS)
+    for drawing in word:
+        shared &= scripts_of(drawing)
+    if shared:
+        readings = [word.translate(_SPELLED[k]) for k in SCRIPTS if k in shared]
+        return readings[0] if len(readings) == 1 else max(readings, key=lambda r: _likelihood(r, scores))
+    best: dict[tuple[str, str], tuple[float, tuple]] = {("^", "^"): (0.0, ())}  # last two letters -> (score, path)
     for drawing in word:
         if unicodedata.combining(drawing):
-            best = {k: (s, (path, drawing)) for k, (s, path) in best.items()} or {"": (0.0, ((), drawing))}
+            best = {k: (s, (path, drawing)) for k, (s, path) in best.items()}
             continue
-        options = DRAWN.get(drawing, {None: drawing}).values()
-        step: dict[str, tuple[float, tuple]] = {}
-        for letter in options:
-            own = script_of(letter)
-            top = None
-            for last, (s, path) in best.items() or [("", (0.0, ()))]:
-                s += scores(last or "^", letter) + (SWITCH if last and script_of(last) != own else 0.0)
-                if top is None or s > top[0]:
-                    top = (s, (path, letter))
-            step[letter] = top
+        exact = list(DRAWN.get(drawing, {None: drawing}).values())
+        options = [(letter, 0.0) for letter in exact] + [(_NEARLY[x], NEARLY) for x in exact if x in _NEARLY]
+        step: dict[tuple[str, str], tuple[float, tuple]] = {}
+        for (a, b), (s, path) in best.items():
+            for letter, cost in options:
+                total = s + cost + scores(a, b, letter) + (SWITCH if b != "^" and script_of(b) != script_of(letter) else 0.0)
+                if (b, letter) not in step or total > step[b, letter][0]:
+                    step[b, letter] = (total, (path, letter))
         best = step
     _, path = max(best.values(), key=lambda x: x[0])
     out = []
@@ -177,18 +206,35 @@ def read_word(word: str, scores: Scores) -> str:
     return "".join(reversed(out))
 
 
+def _likelihood(word: str, scores: Scores) -> float:
+    total, a, b = 0.0, "^", "^"
+    for c in word:
+        if not unicodedata.combining(c):
+            total += scores(a, b, c)
+            a, b = b, c
+    return total
+
+
+#: Words of an ASCII text that another script could have as well: only these need reading.
+_DRAWN_ASCII = "".join(x for x in DRAWN if x.isascii())
+_SHARED = re.compile(rf"(?<![A-Za-z])[{_DRAWN_ASCII}]+(?![A-Za-z])")
+
+
 class Reader:
     """Turns texts into their consistent form, remembering the words it has read."""
 
     LIMIT = 200_000
 
-    def __init__(self, pairs: dict[tuple[str, str], int]) -> None:
-        self.scores, self.known = Scores(pairs), {}
+    def __init__(self, triples: dict[tuple[str, str, str], int]) -> None:
+        self.scores, self.known = Scores(triples), {}
 
     def __call__(self, text: str) -> str:
-        return unicodedata.normalize("NFC", _WORD.sub(lambda m: self.word(m[0]), skeleton(text)))
+        if text.isascii():
+            return unicodedata.normalize("NFC", _SHARED.sub(self._found, text))
+        return unicodedata.normalize("NFC", _WORD.sub(self._found, skeleton(text)))
 
-    def word(self, word: str) -> str:
+    def _found(self, m: re.Match) -> str:
+        word = m[0]
         if (found := self.known.get(word)) is None:
             if len(self.known) >= self.LIMIT:
                 self.known.clear()
@@ -196,41 +242,30 @@ class Reader:
         return found
 
 
-def letter_pairs(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(a, b, n) - how often letter b follows a within words of one script, over all texts; ``^`` begins a word.
+def letter_triples(documents: DataFrame, text: str = "text") -> DataFrame:
+    """(a, b, c, n) - how often letter c follows a and b within words of one script, over all texts; ``^`` begins a word.
 
-    Counted on whole texts as they are written; words that mix scripts don't count. At most a few ten thousand rows,
-    as the three alphabets are fixed."""
-    rows = documents.select(F.col(text).alias("text")).where(F.col("text") != "")
+    The JVM counts the distinct words of all texts, Python takes their letters. Words that mix scripts don't count. As the
+    three alphabets are fixed, so is the greatest number of rows; in practice a few ten thousand."""
+    words = documents.select(F.explode(F.regexp_extract_all(text, F.lit(_WORD.pattern), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words: Counter = Counter()
         total: Counter = Counter()
         for batch in batches:
-            for t in batch["text"]:
-                words.update(_WORD.findall(unicodedata.normalize("NFD", t if t.isascii() else _unify(t))))
-            if len(words) > 200_000:
-                _add(words, total)
-                words.clear()
-        _add(words, total)
-        rows = [(a, b, n) for (a, b), n in total.items()]
-        yield pd.DataFrame(rows, columns=["a", "b", "n"])
-
-    return rows.mapInPandas(run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+            for word, n in zip(batch["word"], batch["n"]):
+                letters = [c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c)]
+                if len({script_of(c) for c in letters}) == 1:
+                    for triple in zip(["^", "^", *letters], ["^", *letters], letters):
+                        total[triple] += n
+        yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["a", "b", "c", "n"]).astype({"n": "int64"})
 
-
-def _add(words: Counter, total: Counter) -> None:
-    for word, n in words.items():
-        letters = [c for c in word if not unicodedata.combining(c)]
-        if len({script_of(c) for c in letters}) == 1:
-            for a, b in zip(["^", *letters], letters):
-                total[a, b] += n
+    return words.mapInPandas(run, "a string, b string, c string, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
 
 
 def consistent(documents: DataFrame, text: str = "text", into: str = "form") -> DataFrame:
     """``documents`` with the consistent form of ``text`` as ``into``: equal for texts that look the same, different
     for others. Null stays null, empty stays empty; texts of only invisible signs become empty. Other columns stay."""
-    model = {(r.a, r.b): r.n for r in letter_pairs(documents, text).collect()}  # bounded by the alphabets
+    model = {(r.a, r.b, r.c): r.n for r in letter_triples(documents, text).collect()}  # bounded by the alphabets
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
@@ -242,22 +277,35 @@ def consistent(documents: DataFrame, text: str = "text", into: str = "form") ->
     return documents.withColumn(into, form(text))
 
 
-def same_looking(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+#: About how many documents of one look are paired at a time.
+SLICE = 1000
+
+
+def same_looking(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", slice_: int = SLICE) -> DataFrame:
     """(doc_id_a, doc_id_b), a < b: pairs of documents with visible text that look the same and are stored differently.
 
-    Documents meet on a digest of their form. First different texts of one form are paired as classes, then the pairs
-    are expanded by their members, so copies of one text, however many, are never paired with each other. Null,
-    empty and blank texts, and those of only invisible signs, give no pairs; repeated rows count once.
+    Documents meet on a digest of their form. Those of one look are cut into slices of about ``slice_``: a stored text with more
+    copies than that has slices of its own, the others share some. Each two slices are paired as a unit of work, but never
+    two of the same stored text, so copies of one text, however many, aren't paired with each other and no task gets a
+    whole look. Null, empty and blank texts, and those of only invisible signs, give no pairs; repeated rows count once.
     """
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     formed = consistent(rows).where(F.col("form").rlike(r"[^\s\p{Z}]"))
     keyed = cut(formed.select("doc_id", F.md5("text").alias("stored"), F.md5("form").alias("look")))
-    classes = keyed.select("look", "stored").distinct()
-    several = classes.groupBy("look").agg(F.array_sort(F.collect_set("stored")).alias("all")).where(F.size("all") > 1)
-    # each class with the later ones of its look
-    pairs = several.select(F.posexplode("all").alias("i", "x"), "all").select("x", F.explode(F.slice("all", F.col("i") + 2, F.size("all"))).alias("y"))
-    members = keyed.join(several.select(F.explode("all").alias("stored")), "stored", "left_semi").select("doc_id", "stored").distinct()
-    one = members.select(F.col("stored").alias("x"), F.col("doc_id").alias("p"))
-    two = members.select(F.col("stored").alias("y"), F.col("doc_id").alias("q"))
-    met = pairs.join(one, "x").join(two, "y")
-    return met.select(F.least("p", "q").alias("doc_id_a"), F.greatest("p", "q").alias("doc_id_b")).where(F.col("doc_id_a") < F.col("doc_id_b")).distinct()
+    classes = keyed.groupBy("look", "stored").agg(F.count(F.lit(1)).alias("n"))
+    looks = cut(classes.groupBy("look").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("rows"), F.sum(F.when(F.col("n") <= slice_, F.col("n"))).alias("small")).where("classes > 1"))
+    several = split_join(keyed, looks.select("look", "small"), ["look"], "inner", counts=looks.select("look", F.col("rows").alias("n"))).distinct()
+    large = classes.where(F.col("n") > slice_).select("stored", F.col("n").alias("copies"))
+    placed = split_join(several, large, ["stored"], "left", counts=large.select("stored", F.col("copies").alias("n")))
+    shared = F.concat(F.lit("s"), F.pmod(F.xxhash64("stored"), F.ceil(F.col("small") / slice_)))
+    own = F.concat_ws("-", "stored", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("copies") / slice_)))
+    placed = placed.withColumn("slice", F.when(F.col("copies").isNull(), shared).otherwise(own)).withColumn("only", F.when(F.col("copies").isNotNull(), F.col("stored")))
+    blocks = cut(placed.groupBy("look", "slice").agg(F.first("only").alias("only"), F.collect_list(F.struct("stored", "doc_id")).alias("items")))
+    slices = blocks.groupBy("look").agg(F.array_sort(F.collect_list(F.struct("slice", "only"))).alias("all"))
+    two = slices.select("look", F.posexplode("all").alias("i", "x"), "all").select("look", "x", F.explode(F.slice("all", F.col("i") + 1, F.size("all"))).alias("y"))
+    units = two.where(F.col("x.only").isNull() | F.col("y.only").isNull() | (F.col("x.only") != F.col("y.only"))).select("look", F.col("x.slice").alias("sx"), F.col("y.slice").alias("sy"))
+    left = units.join(blocks.select("look", F.col("slice").alias("sx"), F.col("items").alias("xs")), ["look", "sx"])
+    both = left.join(blocks.select("look", F.col("slice").alias("sy"), F.col("items").alias("ys")), ["look", "sy"])
+    met = both.select("sx", "sy", F.explode("xs").alias("x"), "ys").select("sx", "sy", "x", F.explode("ys").alias("y"))
+    met = met.where((F.col("x.stored") != F.col("y.stored")) & ((F.col("sx") != F.col("sy")) | (F.col("x.stored") < F.col("y.stored"))))
+    return met.select(F.least("x.doc_id", "y.doc_id").alias("doc_id_a"), F.greatest("x.doc_id", "y.doc_id").alias("doc_id_b")).where("doc_id_a < doc_id_b").distinct()
