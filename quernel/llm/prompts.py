@@ -346,9 +346,9 @@ def word_places(log: DataFrame) -> DataFrame:
     last_wide = F.regexp_extract_all("content", F.lit(r"([\u3040-\u30ff\u3400-\u9fff]{2})[。！？]"), F.lit(1))
     words = F.regexp_extract_all("content", F.lit(r'(?U)(?<![^\s<>"\\])[^\s<>"\\]+(?=[ \t]+[\w`“(])'), F.lit(0))
     words_wide = F.regexp_extract_all("content", F.lit(r"(?=([\u3040-\u30ff\u3400-\u9fff]{2})[\u3040-\u30ff\u3400-\u9fff])"), F.lit(1))
-    marked = lambda tokens, end: F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(end).alias("end")))
-    both = F.concat(marked(F.concat(last, last_wide), True), marked(F.concat(words, words_wide), False))
-    tokens = log.where(F.col("content").isNotNull()).select(F.explode(both).alias("t")).groupBy("t.token", "t.end").agg(F.count(F.lit(1)).alias("n"))
+    both = F.array(F.struct(F.lit(True).alias("end"), F.concat(last, last_wide).alias("tokens")), F.struct(F.lit(False).alias("end"), F.concat(words, words_wide).alias("tokens")))
+    each = log.where(F.col("content").isNotNull()).select(F.explode(both).alias("t")).select("t.end", F.explode("t.tokens").alias("token"))
+    tokens = each.groupBy("token", "end").agg(F.count(F.lit(1)).alias("n"))
     begin = F.regexp_replace(F.lower("token"), "^[“«\"'`*_(\\[{]+", "")
     bare = F.when(F.col("end"), F.regexp_replace(begin, rf"{closers}*[.!?]{closers}*$", "")).otherwise(F.regexp_replace(begin, "[,;:\"'”’»)`*_\\]}]+$", ""))
     return tokens.groupBy(F.regexp_replace(bare, r"\d+", "0").alias("token")).agg(F.sum(F.when(F.col("end"), F.col("n")).otherwise(0)).alias("ends"), F.sum(F.when(F.col("end"), 0).otherwise(F.col("n"))).alias("inside"))

@@ -81,7 +81,7 @@ def test_refusals_anywhere():
         "托盘每班排序一次。其他部分我无法回答。",
         "The guard refuses calls. Then the worker says that it is unable to help.",
     ):
-        assert prompts.judge(Q, answer, False)[0] is None, answer
+        assert prompts.judge(Q, answer, False)[0] != "refusal", answer
 
 
 def test_layouts():
