@@ -11,6 +11,7 @@ from pyspark.sql.types import BooleanType
 
 from quernel.functions.python_source import definitions
 from quernel.llm.telling import telling
+from quernel.session import cut
 
 SYMBOLS = "repo_name string, relative_path string, module string, symbol string, signature string, parameters array<string>, start_line int, end_line int, stub boolean, definition_doc string, code string"
 
@@ -66,40 +67,53 @@ def is_telling(doc: pd.Series, symbol: pd.Series, parameters: pd.Series) -> pd.S
     return pd.Series([telling(d, s or "", tuple(p) if p is not None else ()) for d, s, p in zip(doc, symbol, parameters)], dtype=bool)
 
 
-def pairs(graph: DataFrame, files: DataFrame, with_code: bool = True) -> DataFrame:
+def pairs(graph: DataFrame, files: DataFrame, with_code: bool = True, across_files: bool = True) -> DataFrame:
     """Components with a telling documentation: repo_name, id, documentation and, if ``with_code``, signature and code.
 
-    A component joins its definition by (repo_name, relative_path, qualified symbol). Where a symbol is defined
-    more than once, the definition at the declared line counts, else one whose normalised signature agrees with a
-    documented declaration of that symbol (an overload or a stub), else the last. The documentation is the
-    ``docstring`` of the graph or, where that is blank, the one in the file: of that definition, else of a
-    declaration with the same normalised signature. Components without a file with content are dropped. A component that the
-    file doesn't define has null code. Null or empty inputs give no rows, a null repo_name or path never has a
-    file, copies count once.
+    A component joins the definitions of its symbol by (repo_name, module, qualified symbol), so those of all files of a
+    module (``m.py``, ``m.pyi``) meet. Its own definition is sought in its own file first: the one at the declared line,
+    else one whose normalised signature agrees with a documented declaration of that symbol (an overload or a stub), else
+    the last. If that is a mere declaration, its code is that of the definition with the same normalised signature, in
+    whatever file. The documentation is the ``docstring`` of the graph or, where that is blank, the one standing at the own
+    definition, else at a declaration with the same normalised signature in the own file, else, with ``across_files``, in
+    another file of the module. Components without a file with content are dropped. A component that no file of its module
+    defines has null code. Null or empty inputs give no rows, a null repo_name or path never has a file, copies count once.
+    The files are parsed once; the symbol table is kept in a checkpoint.
     """
-    found = symbol_table(files, with_code)
+    found = cut(symbol_table(files, with_code))
     declared = declared_functions(graph)
     module = F.replace(F.regexp_replace("relative_path", r"\.[^./]*$", ""), F.lit("/"), F.lit("."))
-    inside = F.startswith(F.col("id"), F.concat(module, F.lit(".")))
-    declared = declared.withColumn("symbol", F.when(inside, F.substr("id", F.length(module) + 2)).otherwise(F.col("id")))
-    # one row for each (file, symbol): its definitions side by side; the null symbol stands for the file itself
-    kept = ["signature", "parameters", "start_line", "end_line", "stub", "definition_doc"] + ["code"] * with_code
-    grouped = found.groupBy("repo_name", "relative_path", "symbol").agg(F.collect_set(F.struct("start_line", *[c for c in kept if c != "start_line"])).alias("definitions"))
-    there = grouped.where(F.col("symbol").isNull()).select("repo_name", "relative_path")
-    symbols = grouped.where(F.col("symbol").isNotNull())
-    joined = declared.join(there, ["repo_name", "relative_path"], "left_semi").join(symbols, ["repo_name", "relative_path", "symbol"], "left")
-    own = F.sort_array("definitions", asc=False)
+    declared = declared.withColumn("module", module)
+    inside = F.startswith(F.col("id"), F.concat("module", F.lit(".")))
+    declared = declared.withColumn("symbol", F.when(inside, F.substr("id", F.length("module") + 2)).otherwise(F.col("id")))
+    # one row for each (module, symbol): its definitions side by side; the null symbol stands for a file itself
+    kept = ["start_line", "relative_path", "signature", "parameters", "end_line", "stub", "definition_doc"] + ["code"] * with_code
+    there = found.where(F.col("symbol").isNull()).select("repo_name", "relative_path").distinct()
+    symbols = found.where(F.col("symbol").isNotNull()).groupBy("repo_name", "module", "symbol").agg(F.sort_array(F.collect_set(F.struct(*kept)), asc=False).alias("definitions"))
+    joined = declared.join(there, ["repo_name", "relative_path"], "left_semi").join(symbols, ["repo_name", "module", "symbol"], "left")
+    here = lambda d: d["relative_path"] == F.col("relative_path")
     documented = lambda d: d["definition_doc"].rlike(r"(?U)\S")
-    signed = F.transform(F.filter("definitions", documented), lambda d: d["signature"])
+    first = lambda condition: F.get(F.filter("definitions", condition), F.lit(0))
+    signed = F.transform(F.filter("definitions", lambda d: documented(d) & (here(d) | F.lit(across_files))), lambda d: d["signature"])
     pick = F.coalesce(
-        F.get(F.filter(own, lambda d: d["start_line"] == F.col("start_line")), F.lit(0)),
-        F.get(F.filter(own, lambda d: ~d["stub"] & F.array_contains(signed, d["signature"])), F.lit(0)),
-        F.get(F.filter(own, lambda d: ~d["stub"]), F.lit(0)),
-        F.get(own, F.lit(0)),
+        first(lambda d: here(d) & (d["start_line"] == F.col("start_line"))),
+        first(lambda d: here(d) & ~d["stub"] & F.array_contains(signed, d["signature"])),
+        first(lambda d: here(d) & ~d["stub"]),
+        first(here),
+        first(lambda d: ~d["stub"]),
+        first(lambda d: F.lit(True)),
     )
     joined = joined.withColumn("own", pick)
-    near = F.get(F.filter(F.sort_array("definitions"), lambda d: documented(d) & (d["signature"] == F.col("own.signature"))), F.lit(0))["definition_doc"]
-    in_file = F.when(F.col("own.definition_doc").rlike(r"(?U)\S"), F.col("own.definition_doc")).otherwise(near)
+    agrees = lambda d: documented(d) & (d["signature"] == F.col("own.signature"))
+    in_order = F.reverse("definitions")
+    near = F.get(F.filter(in_order, lambda d: here(d) & agrees(d)), F.lit(0))["definition_doc"]
+    far = F.get(F.filter(in_order, agrees), F.lit(0))["definition_doc"] if across_files else F.lit(None).cast("string")
+    own_doc = F.when(documented(F.col("own")) & here(F.col("own")) | F.lit(across_files), F.col("own.definition_doc"))
+    in_file = F.coalesce(*[F.when(c.rlike(r"(?U)\S"), c) for c in (own_doc, near, far)])
     joined = joined.withColumn("documentation", F.when(blank("docstring"), in_file).otherwise(F.col("docstring")))
     told = joined.where(~blank("documentation")).where(is_telling("documentation", "symbol", "own.parameters"))
-    return told.select("repo_name", "id", "documentation", *([F.col("own.signature").alias("signature"), F.col("own.code").alias("code")] if with_code else []))
+    if not with_code:
+        return told.select("repo_name", "id", "documentation")
+    whole = lambda d: ~d["stub"] & (d["signature"] == F.col("own.signature"))
+    definition = F.when(F.col("own.stub"), F.coalesce(first(lambda d: here(d) & whole(d)), first(whole), F.col("own"))).otherwise(F.col("own"))
+    return told.withColumn("definition", definition).select("repo_name", "id", "documentation", F.col("definition.signature").alias("signature"), F.col("definition.code").alias("code"))

@@ -9,8 +9,8 @@ from quernel.session import table
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Components whose documentation is telling."""
-    return documented.pairs(table(spark, folder, "dependency_graph"), table(spark, folder, "source_files"), with_code=False).select("repo_name", "id")
+    """Components whose documentation is telling; that of the file is the one in the component's own file."""
+    return documented.pairs(table(spark, folder, "dependency_graph"), table(spark, folder, "source_files"), with_code=False, across_files=False).select("repo_name", "id")
 
 
 def p1_pairs(spark: SparkSession, folder: str) -> DataFrame:

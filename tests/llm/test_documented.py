@@ -72,6 +72,30 @@ def test_overload_by_signature(spark):
     assert r.documentation == "Takes the nearest berth." and "return a" in r.code
 
 
+def test_stub_and_definition_in_two_files(spark):
+    stub = 'def pick(a: int) -> int:\n    """Takes the nearest berth."""\n    ...\n\ndef pick(a: int, b: str) -> int:\n    """Takes the berth b."""\n    ...\n\ndef lone(x: int) -> int:\n    """Halves stale counts."""\n    ...\n'
+    code = "def pick(a, b):\n    return b\n\ndef pick(a):\n    return a\n"
+    row = lambda i, path, line=None: ("r", i, "function", path, None, line, day(1), day(1), None, "")
+    graph = spark.createDataFrame([row("p.m.pick", "p/m.py", 4), row("p.m.lone", "p/m.pyi"), row("p.n.pick", "p/n.py")], GRAPH)
+    files = spark.createDataFrame([("r", "p/m.py", code, ""), ("r", "p/m.pyi", stub, ""), ("r", "p/n.py", code, "")], FILES)
+    got = {r.id: r for r in documented.pairs(graph, files).collect()}
+    assert set(got) == {"p.m.pick", "p.m.lone"}
+    assert got["p.m.pick"].documentation == "Takes the nearest berth." and "return a" in got["p.m.pick"].code
+    assert "..." in got["p.m.lone"].code
+    assert {r.id for r in documented.pairs(graph, files, across_files=False).collect()} == {"p.m.lone"}
+    # a component of the stub has the code of the definition with its signature
+    graph = spark.createDataFrame([row("p.m.pick", "p/m.pyi", 5)], GRAPH)
+    (r,) = documented.pairs(graph, files).collect()
+    assert r.documentation == "Takes the berth b." and "return b" in r.code
+
+
+def test_files_are_parsed_once(spark):
+    graph = spark.createDataFrame([], GRAPH)
+    files = spark.createDataFrame([("r", "m.py", SOURCE, "")], FILES)
+    plan = documented.pairs(graph, files)._jdf.queryExecution().toString()
+    assert plan.count("MapInPandas") == 0  # the symbol table comes out of a checkpoint
+
+
 def test_telling():
     for doc in ("Idempotent; safe to call twice.", "Trie les casiers par âge.", "按到达顺序合并退款单。", "Counts in UTC days.", "TODO\nOldest row wins.", "Sort rows: oldest first.", ":param value: the hatch log to start from", "x" * 50_000):
         assert telling(doc, "sort_rows", ("value", "rows")), doc
