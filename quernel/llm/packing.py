@@ -62,16 +62,12 @@ def differences(sizes: np.ndarray, k: int) -> np.ndarray:
     return part
 
 
-#: How many roomy parts an overfull one is compared with before the number of containers rises.
-TRIES = 60
-
-
 def settle(part: np.ndarray, sizes: np.ndarray, k: int, capacity: int) -> np.ndarray:
     """``part`` with items moved or exchanged until no part holds more than ``capacity``; items that had to leave are -1.
 
     Differencing leaves all parts nearly equal, a little over or under the capacity. Each overfull part gives one item to a
-    roomy part, or for a smaller one of it, such that it fits and the other doesn't overflow. Where none of ``TRIES`` does,
-    the least item that is large enough leaves.
+    roomy part, or for a smaller one of it, such that it fits and the other doesn't overflow. Where no roomy part allows
+    that, the least item that is large enough leaves.
     """
     part = part.copy()
     held = np.bincount(part, sizes, minlength=k).astype(np.int64)
@@ -81,10 +77,7 @@ def settle(part: np.ndarray, sizes: np.ndarray, k: int, capacity: int) -> np.nda
     heapq.heapify(roomy)
     for over in np.flatnonzero(held > capacity):
         aside = []
-        for _ in range(TRIES):
-            excess = int(held[over]) - capacity
-            if excess <= 0 or not roomy:
-                break
+        while roomy and (excess := int(held[over]) - capacity) > 0:
             negative, p = heapq.heappop(roomy)
             room = -negative
             give, take = sizes[members[over]], np.append(sizes[members[p]], 0)
