@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import base64
 import os
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from quernel.operators.skew import split_join
 from quernel.session import cut
 
 #: Where the public vocabularies lie; a parameter of each operator.
@@ -20,11 +20,6 @@ BYTE_BPE_50K = "byte_bpe_50k.tiktoken"
 
 # Fixed value: the pre-token pattern of byte-level BPE, as it is published.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same for Java, where only (?U) makes \s Unicode's white space; possessive, as backing up never helps
-#: but in the rule for trailing white space.
-JAVA_PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}++| ?\p{N}++| ?[^\p{IsWhite_Space}\p{L}\p{N}]++|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}++"
-
-
 def ranks(path: str) -> dict[bytes, int]:
     """Bytes of each token and its id; as many entries as the vocabulary has, whatever the corpus."""
     with open(path, "rb") as f:
@@ -58,22 +53,33 @@ class Encoder:
         return self.encoding.encode_ordinary(text)
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _pretokens(texts: pd.Series) -> pd.Series:
+#: Distinct pre-tokens that every task knows without a shuffle: a fixed number, each of at most so many characters.
+KNOWN_WORDS, KNOWN_LENGTH = 50_000, 64
+#: Distinct pre-tokens a task counts at once; beyond it they are passed on.
+HELD = 200_000
+
+
+def _splitter():
     import regex
 
-    pattern = regex.compile(PATTERN)
-    return texts.map(lambda t: pattern.findall(t) if t else [])
+    return regex.compile(PATTERN).findall
 
 
-def pretokens(df: DataFrame, text: str, into: str) -> DataFrame:
-    """``df`` with the pre-tokens of ``text`` as an array; null and empty texts have an empty one.
+def count_words(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): the pre-tokens of all texts and how often they occur, counted within tasks before the shuffle."""
 
-    The JVM splits all texts but those with characters unknown to its version of Unicode, which Python splits.
-    """
-    unknown = F.coalesce(F.col(text).rlike(r"\p{Cn}"), F.lit(False))
-    known = df.where(~unknown).withColumn(into, F.coalesce(F.regexp_extract_all(text, F.lit(JAVA_PATTERN), F.lit(0)), F.array().cast("array<string>")))
-    return known.unionByName(df.where(unknown).withColumn(into, _pretokens(text)))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, seen = _splitter(), Counter()
+        for batch in batches:
+            for t in batch[text]:
+                if t:
+                    seen.update(split(t))
+            if len(seen) > HELD:
+                yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+                seen.clear()
+        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())}).astype({"word": object, "n": "int64"})
+
+    return texts.select(text).mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def encode_words(words: DataFrame, encoder: Encoder) -> DataFrame:
@@ -86,26 +92,54 @@ def encode_words(words: DataFrame, encoder: Encoder) -> DataFrame:
     return words.select("word", "n").mapInPandas(run, "word string, n long, word_ids array<int>")
 
 
-def encode(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+def encode(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, known_words: int = KNOWN_WORDS) -> DataFrame:
     """(doc_id, ids) of every document: its token ids, without special tokens.
 
-    Pre-tokens are exploded with their positions, each distinct one of the corpus is encoded once, and its ids
-    are joined back and put together by position. The most frequent pre-tokens are joined by broadcast (a fixed
-    number), so no task gets all places of one word. Null and empty texts give an empty list; strings of special
-    tokens are ordinary text. One row per distinct (doc_id, text); a null doc_id is kept. Other columns are
-    ignored.
+    Each distinct pre-token of the corpus is encoded once. Then the pre-tokens of each document are laid out with their
+    positions: the ids of the ``known_words`` most frequent ones (a fixed number of short words, so their table is
+    broadcast) are put in at once, so that runs of them stay together; all others are exploded, joined with their
+    ids by a shuffle in which none is frequent, and put together with the runs by position. Null and empty texts give
+    an empty list; strings of special tokens are ordinary text. One row per distinct (doc_id, text); a null doc_id is
+    kept. Other columns are ignored. The table is read twice.
     """
     spark = documents.sparkSession
     encoder = Encoder(spark, path or vocabulary_path())
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("digest", F.xxhash64("text"))
-    places = pretokens(rows, "text", "words").select("doc_id", "digest", F.posexplode_outer("words").alias("pos", "word"))
-    words = places.where(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    coded = cut(encode_words(words, encoder))
-    joined = split_join(places, coded.select("word", "word_ids"), ["word"], counts=coded.select("word", "n")).select("doc_id", "digest", "pos", "word_ids")
-    put = joined.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "word_ids")))).alias("parts"))
+    kind = dict(documents.dtypes)[doc_id]
+    rows = documents.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))  # as text, nulls keep ids exact
+    coded = cut(encode_words(count_words(rows), encoder))
+    frequent = coded.where(F.length("word") <= KNOWN_LENGTH).orderBy(F.desc("n"), "word").limit(known_words).select("word", "word_ids").collect()  # bounded by both numbers
+    known = spark.sparkContext.broadcast({r.word: r.word_ids for r in frequent})
+    schema = StructType([StructField("doc_id", StringType()), StructField("digest", LongType()), StructField("pos", IntegerType()), StructField("word", StringType()), StructField("word_ids", ArrayType(IntegerType()))])
+
+    def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, table = _splitter(), known.value
+        for batch in batches:
+            out: list[tuple] = []
+            for own, t, digest in zip(batch["doc_id"], batch["text"], batch["digest"]):
+                run: list[int] = []
+                start = 0
+                for pos, word in enumerate(split(t) if t else ()):
+                    if (ids := table.get(word)) is not None:
+                        run += ids
+                        continue
+                    if run:
+                        out.append((own, digest, start, None, run))
+                        run = []
+                    out.append((own, digest, pos, word, None))
+                    start = pos + 1
+                if run or not t or not start:
+                    out.append((own, digest, start, None, run))
+            yield pd.DataFrame(out, columns=schema.names).astype({"digest": "int64", "pos": "int32"})
+
+    # xxhash64 of a null text is that of nothing, so null and empty texts differ
+    laid = cut(rows.withColumn("digest", F.xxhash64("text")).mapInPandas(lay, schema))
+    parts = ["doc_id", "digest", "pos", "word_ids"]
+    runs = laid.where(F.col("word").isNull()).select(*parts)
+    rare = laid.where(F.col("word").isNotNull()).drop("word_ids").join(coded.select("word", "word_ids").hint("merge"), "word").select(*parts)
+    put = runs.unionByName(rare).groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("pos", "word_ids"))).alias("parts"))
     # copies of a row bring each position again: keep the first
     once = F.filter("parts", lambda p, i: (i == 0) | (F.get("parts", i - 1)["pos"] != p["pos"]))
-    return put.select("doc_id", F.flatten(F.transform(once, lambda p: p["word_ids"])).alias("ids"))
+    return put.select(F.col("doc_id").cast(kind).alias("doc_id"), F.flatten(F.transform(once, lambda p: p["word_ids"])).alias("ids"))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

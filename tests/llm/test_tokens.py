@@ -28,6 +28,8 @@ def test_ids_are_the_librarys_and_come_back(spark, library):
     back = {r.doc_id: r.text for r in tokens.decode(coded.where("doc_id is not null")).collect()}
     assert back == {i: t or "" for i, t in enumerate(TEXTS)}
     assert tokens.encode(df.limit(0)).count() == 0
+    for known in (0, 5):  # all words, or most, by the shuffle
+        assert {r.doc_id: r.ids for r in tokens.encode(df, known_words=known).collect()} == got
 
 
 def test_containers(spark, library):
