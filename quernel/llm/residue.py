@@ -632,7 +632,7 @@ def detect(records: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """
     mined = mine(records, text, keys)
     own = mined.where(F.col("_template").isNull())
-    bad = templates(mined).where("residue").select(F.col("name").alias("_name"))
+    bad = cut(templates(mined).where("residue").select(F.col("name").alias("_name")))
     carried = own.where(~F.col("_slot")).select(*keys, F.explode("_names").alias("_name"))
     messages = split_join(carried, bad, ["_name"], "inner").select(*keys)
     return messages.unionByName(own.where("_slot").select(*keys)).distinct()
