@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quernel.llm import chunking, documented, lookalikes, packing, prompts, residue, tokens
-from quernel.session import table
+from quernel.session import cut, table
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,6 +49,14 @@ def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return chunking.pieces(table(spark, folder, "rag_chunk"), size["chunk_size"], size["chunk_overlap"])
 
 
+def p5_rejoined(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the texts that the pieces give back, and the length of the longest piece."""
+    fresh = F.substring("text", F.col("fresh_char") - F.col("start_char") + 1, F.length("text"))
+    ordered = F.array_sort(F.collect_list(F.struct("piece_no", fresh.alias("fresh"))))
+    whole = p5_pieces(spark, folder).groupBy("source", "idx").agg(F.array_join(F.transform(ordered, lambda x: x["fresh"]), "").alias("text"), F.max(F.length("text")).alias("longest"))
+    return whole.select("source", "idx", F.md5("text").alias("text_md5"), (F.col("longest") <= limits(spark, folder)["chunk_size"]).alias("fits"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Defective prompt-response pairs with their defect."""
     return prompts.defects(table(spark, folder, "agent_log")).select("log_id", "pair_no", "defect")
@@ -74,6 +83,16 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill(packing.containers(table(spark, folder, "documents"), capacity), capacity)
 
 
+def p8_placed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the least first token of its parts, whether its parts follow each other without gap, and whether all of
+    their containers hold at most the capacity."""
+    capacity = limits(spark, folder)["container_capacity"]
+    placed = cut(packing.containers(table(spark, folder, "documents"), capacity))
+    used = placed.groupBy("container_id").agg(F.sum("tokens").alias("used"))
+    each = placed.join(used, "container_id").groupBy("doc_id").agg(F.min("first_token").alias("first_token"), F.max(F.col("first_token") + F.col("tokens")).alias("end"), F.sum("tokens").alias("tokens"), F.max("used").alias("used"))
+    return each.select("doc_id", "first_token", (F.col("end") == F.col("tokens")).alias("whole"), (F.col("used") <= capacity).alias("fits"))
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of documents that look the same though stored differently."""
     return lookalikes.same_looking(table(spark, folder, "documents"))
@@ -85,11 +104,13 @@ def p9_forms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p4_found": p4_found, "p4_kept": p4_kept}
-QUERIES |= {"p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found}
-QUERIES |= {"p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_containers": p8_containers, "p8_fill": p8_fill}
+QUERIES |= {"p5_found": p5_found, "p5_pieces": p5_pieces, "p5_rejoined": p5_rejoined, "p6_found": p6_found}
+QUERIES |= {"p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_placed": p8_placed}
 QUERIES |= {"p9_found": p9_found, "p9_forms": p9_forms}
 
 SQL: dict[str, str] = {
+    "p5_rejoined": "select distinct source, idx, md5(text) as text_md5, true as fits from rag_chunk where length(text) > 1200",
+    "p8_placed": "select doc_id, cast(0 as bigint) as first_token, true as whole, true as fits from documents",
     "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",
     "p5_found": r"""
 select distinct source, idx, case when exists (select 1 from unnest(regexp_split_to_array(text, '[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}。！？]')) as runs(run) where length(run) > 1200)
