@@ -141,6 +141,14 @@ def route(dotted: Column | str) -> Column:
     return F.when(F.size(parts) < 2, None).when((F.size(parts) >= 3) & parent.rlike(r"^\p{Lu}"), "method").when(last.rlike(r"^\p{Lu}"), "class").otherwise("function")
 
 
+def request_route(dotted: Column | str) -> Column:
+    """What a requested name is: ``class`` (capital last), ``method`` (capital parent, two segments suffice), ``function``; null
+    for a single segment that isn't a class. Names with a leading underscore aren't capital."""
+    parts = F.split(col(dotted), r"\.")
+    last, parent = F.element_at(parts, -1), F.try_element_at(parts, F.lit(-2))
+    return F.when(last.rlike(r"^\p{Lu}"), "class").when(F.coalesce(parent.rlike(r"^\p{Lu}"), F.lit(False)), "method").when(F.size(parts) >= 2, "function")
+
+
 def component_signature(identifier: Column | str, kind: Column | str) -> Column:
     """``class X`` or ``def x(...)``."""
     name = last_segment(identifier)
@@ -182,7 +190,8 @@ def json_reply(text: Column | str) -> Column:
     repaired = F.replace(body, F.lit("'"), F.lit('"'))
     for python, plain in (("True", "true"), ("False", "false"), ("None", "null")):
         repaired = F.regexp_replace(repaired, rf"\b{python}\b", plain)
-    parses = lambda x: F.try_parse_json(x).isNotNull()
+    # in brackets, as what follows a value would be ignored otherwise
+    parses = lambda x: F.try_parse_json(F.concat(F.lit("["), x, F.lit("]"))).isNotNull() & (F.json_array_length(F.concat(F.lit("["), x, F.lit("]"))) == 1)
     return F.when(body == "", None).when(parses(body), body).when(parses(repaired), repaired)
 
 

@@ -22,6 +22,11 @@ def offline(prompts: pd.Series) -> pd.Series:
     return prompts.fillna("").str.extract(r"(?s)^\s*(.*?(?:[.!?。！？]|\Z))", expand=False).fillna("")
 
 
+def echo(prompts: pd.Series) -> pd.Series:
+    """A provider that gives each prompt back."""
+    return prompts.fillna("")
+
+
 def enrich(rows: DataFrame, prompt: str, into: str, provider: Provider = offline) -> DataFrame:
     """``rows`` with the provider's reply to ``prompt``; a failure is a null reply with its text in ``<into>_error``."""
 

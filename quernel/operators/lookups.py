@@ -44,21 +44,26 @@ def source_of(components: DataFrame, files: DataFrame, keys: list[str]) -> DataF
     return components.join(files.select(*keys, "content"), keys, "left")
 
 
+#: Length of the substrings by which texts and keys meet.
+GRAM = 16
+
+
 def containing(items: DataFrame, keys: DataFrame, text: str, key: str, order: str, anywhere: bool = False) -> DataFrame:
     """Items joined with the first key (by ``order``) that their ``text`` contains; items without one are dropped, and
     so are null texts and keys.
 
     A substring test would compare every item with every key. Instead candidates are cut out of the text and looked up
-    by equality, so the work grows with the texts, not with the keys: runs of whole path segments, or with
-    ``anywhere`` all substrings as long as some key (there are at most as many lengths as the longest key has letters).
+    by equality, so the work grows with the texts, not with the keys: runs of whole path segments, or with ``anywhere``
+    all substrings of ``GRAM`` characters, which meet the last ``GRAM`` of each key (shorter keys meet substrings of their
+    own length), and of what met the key itself is compared.
     """
-    size = F.length(text)
+    ends = F.when(F.length(key) >= GRAM, F.right(key, F.lit(GRAM))).otherwise(F.col(key))
     if anywhere:
-        lengths = [r[0] for r in keys.select(F.length(key)).where(F.length(key) > 0).distinct().collect()]  # bounded by the longest key
+        lengths = [r[0] for r in keys.select(F.length(ends)).where(F.length(key) > 0).distinct().collect()]  # at most GRAM
 
         def substrings(n: int) -> Column:
-            every = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(text, i, F.lit(n)))
-            return F.when(size >= n, every).otherwise(F.array().cast("array<string>"))
+            every = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))
+            return F.when(F.length(text) >= n, every).otherwise(F.array().cast("array<string>"))
 
         cuts = [substrings(n) for n in lengths]
         runs = F.flatten(F.array(*cuts)) if cuts else F.array().cast("array<string>")
@@ -67,9 +72,10 @@ def containing(items: DataFrame, keys: DataFrame, text: str, key: str, order: st
         n = F.size(parts)
         runs = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(i, n), lambda j: F.array_join(F.slice(parts, i, j - i + 1), "/"))))
     laid = items.select(F.struct(*items.columns).alias("_item"), F.explode(F.array_distinct(runs)).alias("_run"))
-    met = laid.join(keys.select(F.col(key).alias("_run"), F.col(order).alias("_order")), "_run")
-    best = met.groupBy("_item").agg(F.min(F.struct("_order", "_run")).alias("_best"))
-    return best.select("_item.*", F.col("_best._run").alias(key))
+    met = laid.join(keys.select((ends if anywhere else F.col(key)).alias("_run"), F.col(order).alias("_order"), F.col(key).alias("_key")), "_run")
+    met = met.where(F.contains(F.col(f"_item.{text}"), F.col("_key"))) if anywhere else met
+    best = met.groupBy("_item").agg(F.min(F.struct("_order", "_key")).alias("_best"))
+    return best.select("_item.*", F.col("_best._key").alias(key))
 
 
 def with_defaults(left: DataFrame, right: DataFrame, keys: list[str], defaults: dict[str, str]) -> DataFrame:

@@ -129,6 +129,10 @@ def fit_conversation(turns: DataFrame, conversation: str, turn: str, role: str,
     return turns.select(conversation, turn, role, text).groupBy(conversation).applyInPandas(run, schema)
 
 
+#: Tokens that a provider adds to each message and to each call.
+OVERHEADS = {"local": (4, 2), "openai": (4, 3), "gemini": (4, 0), "claude": (10, 0)}
+
+
 def message_tokens(turns: DataFrame, conversation: str, text: str, per_message: int = 4, per_call: int = 2) -> DataFrame:
     """(conversation, tokens): the estimate of 1.3 tokens a word plus the overhead of messages and of the call."""
     from quernel.functions.text import token_estimate

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quernel.functions import text as T
 from quernel.operators import extraction, fold, graph, incremental, lookups, references, render, skew, trees
 from quernel.plans.registry import Registry
 from quernel.session import cut, table
+from quernel.sources import readers
 
 R = Registry()
 QUERIES, SQL = R.queries, R.sql
@@ -80,11 +81,8 @@ def edges_or_module(spark, folder):
     """Dependencies that are components or begin with a module (EXT11, JN02)."""
     rows = current(spark, folder)
     heads = rows.select(F.concat_ws(":", "repo_name", T.module_path("relative_path")).alias("module")).distinct()
-    deps = all_deps(rows).select("src", "dst")
-    # module paths have no dot before their first segment ends, so the head is repository and first segment
-    named = deps.join(rows.select(F.col("key").alias("dst")), "dst", "left_semi").select("src", "dst")
-    headed = deps.withColumn("module", F.split_part("dst", F.lit("."), F.lit(1))).join(heads, "module", "left_semi").select("src", "dst")
-    return named.unionByName(headed).distinct()
+    # a module path has no dot before its first segment ends, so the head is repository and first segment
+    return lookups.known_or_module(all_deps(rows), rows.select(F.col("key").alias("id")), heads)
 
 
 @R.add("neighbours", CURRENT + """select c.key as id, coalesce(o.l, []) as depends_on, coalesce(i.l, []) as used_by from cur c
@@ -370,7 +368,7 @@ def nontrivial_components(spark, folder):
 @R.add("component_kinds", CURRENT + """select key as id, case when len(string_split(id, '.')) < 2 then null when len(string_split(id, '.')) >= 3 and regexp_matches(string_split(id, '.')[-2], '^\\p{Lu}') then 'method'
 when regexp_matches(string_split(id, '.')[-1], '^\\p{Lu}') then 'class' else 'function' end as kind from cur""")
 def component_kinds(spark, folder):
-    """What each dotted path leads to (FIL09, FIL10)."""
+    """What each dotted path leads to (FIL09)."""
     return current(spark, folder).select(F.col("key").alias("id"), T.route("id").alias("kind"))
 
 
@@ -451,13 +449,24 @@ def one_summary(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "stage_b_file_summaries").groupBy("repo_name", "file").agg(F.min("file_summary").alias("file_summary"))
 
 
-@R.add("contains_first_match", """with i as (select distinct item_id, repo_name, location from stage_b_function_items where location is not null), k as (select distinct file from stage_b_file_summaries where file is not null)
-select item_id, min(file) as file from i join k on ('/' || location || '/') like '%/' || replace(replace(file, '_', '\\_'), '%', '\\%') || '/%' escape '\\' group by item_id, i.repo_name, location""")
+@R.add("contains_first_match", """with i as (select distinct item_id, repo_name, location from stage_b_function_items where location is not null), k as (select distinct file from stage_b_file_summaries where file <> '')
+select item_id, min(file) as file from i join k on contains(location, file) group by item_id, i.repo_name, location""")
 def contains_first_match(spark, folder):
-    """The first file key that stands in an item's location at whole segments (JN08)."""
+    """The first file key that an item's location contains, anywhere (JN08, WIN16)."""
+    items = table(spark, folder, "stage_b_function_items").where("location is not null").select("item_id", "repo_name", "location").distinct()
+    return lookups.containing(items, _file_keys(spark, folder), "location", "file", "ord", anywhere=True).select("item_id", "file")
+
+
+def _file_keys(spark, folder):
+    return table(spark, folder, "stage_b_file_summaries").where("file is not null").select("file", F.col("file").alias("ord")).distinct()
+
+
+@R.add("segments_first_match", """with i as (select distinct item_id, repo_name, location from stage_b_function_items where location is not null), k as (select distinct file from stage_b_file_summaries where file is not null)
+select item_id, min(file) as file from i join k on ('/' || location || '/') like '%/' || replace(replace(file, '_', '\\_'), '%', '\\%') || '/%' escape '\\' group by item_id, i.repo_name, location""")
+def segments_first_match(spark, folder):
+    """The first file key that stands in an item's location at whole segments."""
     items = table(spark, folder, "stage_b_function_items").where("location is not null").select("item_id", "repo_name", "location").distinct()
-    keys = table(spark, folder, "stage_b_file_summaries").where("file is not null").select("file", F.col("file").alias("ord")).distinct()
-    return lookups.containing(items, keys, "location", "file", "ord").select("item_id", "file")
+    return lookups.containing(items, _file_keys(spark, folder), "location", "file", "ord").select("item_id", "file")
 
 
 @R.add("similar_code", None)
@@ -501,19 +510,117 @@ def extracted_dependencies(spark, folder):
     return extraction.dependencies(cut(extraction.parse_files(table(spark, folder, "source_files"))))
 
 
-@R.add("call_edges", None)
-def call_edges(spark, folder):
-    """Call sites joined with definitions (JN13-JN17)."""
+@R.add("extracted_calls", None)
+def extracted_calls(spark, folder):
+    """Call sites of the sources joined with their definitions (JN17); tested on fixtures."""
     parsed = cut(extraction.parse_files(table(spark, folder, "source_files")))
-    return lookups.edges_by_call(extraction.call_sites(parsed), extraction.definition_sites(parsed))
+    defs = extraction.definition_sites(parsed)
+    return lookups.callers_in_order(lookups.edges_by_call(extraction.call_sites(parsed), defs), defs)
+
+
+def sites(spark, folder):
+    """Definitions and call sites out of the graph: a dependency within a file counts as a call of what it names."""
+    rows = current(spark, folder).withColumn("parts", F.split("id", r"\."))
+    name, owner = F.element_at("parts", -1), F.when(F.col("component_type") == "method", F.try_element_at("parts", F.lit(-2)))
+    own = cut(rows.where("path is not null and id is not null").select(F.col("path").alias("file"), F.col("key").alias("id"), owner.alias("class"), name.alias("name"), "component_type"))
+    deps = all_deps(rows).select("src", "dst").distinct()
+    a = own.select(F.col("id").alias("src"), "file", F.col("class").alias("caller_class"))
+    b = own.select(F.col("id").alias("dst"), F.col("file").alias("target_file"), "class", "name")
+    met = deps.join(a, "src").join(b, "dst").where("file = target_file")
+    prefix = F.when(F.col("class") == F.col("caller_class"), "self").otherwise(F.col("class"))
+    calls = met.select("file", F.col("src").alias("caller"), "caller_class", prefix.alias("prefix"), "name", F.lit(None).cast("string").alias("var_class"))
+    return own.where("component_type <> 'class'").drop("component_type"), calls
+
+
+CALLS = (
+    CURRENT
+    + """, own as (select path as file, key as id, case when component_type = 'method' and len(string_split(id, '.')) > 1 then split_part(id, '.', -2) end as class, split_part(id, '.', -1) as name, component_type from cur where path is not null and id is not null),
+site as (select a.file, a.id as caller, a.class as caller_class, b.class, b.name from (select distinct src, dst from deps) d join own a on a.id = d.src join own b on b.id = d.dst and b.file = a.file),
+def as (select * from own where component_type <> 'class'),
+called as (
+  select s.caller, d.id as callee from site s join def d on d.file = s.file and d.name = s.name and d.class = s.class
+  union select s.caller, d.id from site s join def d on d.file = s.file and s.class is null and d.class is null and d.name = s.name
+  union select s.caller, d.id from site s join def d on d.file = s.file and s.class is null and d.class = s.name and d.name = '__init__')
+"""
+)
+
+
+@R.add("call_edges", CALLS + "select caller, callee from called")
+def call_edges(spark, folder):
+    """Call sites joined with definitions by name, class and constructor (JN13-JN15)."""
+    defs, calls = sites(spark, folder)
+    return lookups.edges_by_call(calls, defs)
 
 
-@R.add("callers_by_branch", None)
+@R.add("callers_by_branch", CALLS + "select callee as id, caller, cast(case when d.class is null then 0 when d.name = '__init__' then 2 else 1 end as integer) as branch from called join def d on d.id = caller")
 def callers_by_branch(spark, folder):
     """Callers: functions, methods, constructors (JN16)."""
-    parsed = cut(extraction.parse_files(table(spark, folder, "source_files")))
-    defs = extraction.definition_sites(parsed)
-    return lookups.callers_in_order(lookups.edges_by_call(extraction.call_sites(parsed), defs), defs)
+    defs, calls = sites(spark, folder)
+    return lookups.callers_in_order(lookups.edges_by_call(calls, defs), defs)
+
+
+@R.add(
+    "requested_dependencies",
+    CURRENT
+    + """, d as (select src as id, case when regexp_matches(split_part(target, '.', -1), '^\\p{Lu}') then 'class' when len(string_split(target, '.')) >= 2 and regexp_matches(split_part(target, '.', -2), '^\\p{Lu}') then 'method' when len(string_split(target, '.')) >= 2 then 'function' end as kind, target as dst, cast(md5_number_lower(dst) & 1048575 as bigint) as ord from deps),
+r as (select distinct id, kind, split_part(dst, '.', -1) as req from d where kind is not null), q as (select *, row_number() over (partition by id, kind order by req) as pos from r),
+m as (select q.id, q.kind, q.pos, q.req, d.ord, d.dst from q join d using (id, kind) where q.req = split_part(d.dst, '.', -1) or contains(d.dst, q.req)),
+a as (select *, row_number() over (partition by id, kind, dst order by pos) as first from m), b as (select *, row_number() over (partition by id, kind, req order by ord desc, dst desc) as last from a where first = 1)
+select id, kind, req, dst from b where last = 1""".replace("cast(md5_number_lower(dst) & 1048575 as bigint)", "length(target)"),
+)
+def requested_dependencies(spark, folder):
+    """What each requested name leads to (JN11, WIN16): the last segments of a component's dependencies, as its requests."""
+    deps = all_deps(current(spark, folder)).select(F.col("src").alias("id"), T.request_route("target").alias("kind"), F.struct(F.length("target"), "target").alias("ord"), F.col("target").alias("dst")).where("kind is not null").distinct()
+    names = deps.select("id", "kind", T.last_segment("dst").alias("req")).distinct()
+    asked = names.withColumn("pos", F.row_number().over(Window.partitionBy("id", "kind").orderBy("req")))
+    return lookups.requested(asked, deps)
+
+
+@R.add("request_kinds", CURRENT + """select key as id, case when regexp_matches(split_part(id, '.', -1), '^\\p{Lu}') then 'class' when len(string_split(id, '.')) >= 2 and regexp_matches(split_part(id, '.', -2), '^\\p{Lu}') then 'method' when len(string_split(id, '.')) >= 2 then 'function' end as kind from cur""")
+def request_kinds(spark, folder):
+    """What a requested dotted name is (FIL10)."""
+    return current(spark, folder).select(F.col("key").alias("id"), T.request_route("id").alias("kind"))
+
+
+@R.add("class_method_edges", CURRENT + "select repo_name || ':' || regexp_replace(id, '\\.[^.]*$', '') as src, key as dst from cur where component_type = 'method' and split_part(id, '.', -1) <> '__init__' and repo_name || ':' || regexp_replace(id, '\\.[^.]*$', '') in (select key from cur where component_type = 'class')")
+def class_method_edges(spark, folder):
+    """Classes on their methods (EXT13)."""
+    return lookups.class_method_edges(current(spark, folder).select(F.col("key").alias("id"), "component_type"))
+
+
+@R.add("all_nodes", CURRENT + "select key as id from cur union select src from deps union select dst from deps")
+def all_nodes(spark, folder):
+    """Components and all that they name (GR01, SET01)."""
+    rows = current(spark, folder)
+    return graph.normal_nodes(rows.select(F.col("key").alias("id")), all_deps(rows))
+
+
+@R.add("component_defaults", CURRENT + "select key, coalesce(depends_on, []) as depends_on, coalesce(start_line, 0) as start_line, coalesce(end_line, 0) as end_line, coalesce(has_docstring, false) as has_docstring, coalesce(docstring, '') as docstring from cur")
+def component_defaults(spark, folder):
+    """Components with defaults for what is missing (EXT02)."""
+    return readers.defaults(current(spark, folder).select("key", "depends_on", "start_line", "end_line", "has_docstring", "docstring"))
+
+
+@R.add("signature_names", "select distinct signature, regexp_extract(signature, '\\b([A-Za-z_]\\w*)\\s*\\(', 1) as name from stage_b_function_items where signature is not null")
+def signature_names(spark, folder):
+    """The name in each signature (STR06, EXT03)."""
+    rows = table(spark, folder, "stage_b_function_items").where("signature is not null").select("signature").distinct()
+    return rows.select("signature", T.name_in_signature("signature").alias("name"))
+
+
+@R.add("paths_below_root", CURRENT + """select distinct file_path, case when starts_with(file_path, '/srv/scan/quillmere/') then substring(file_path, 21) else split_part(file_path, '/', -1) end as below,
+case when split_part(ltrim(file_path, '/'), '/', 1) = 'srv' then regexp_replace(ltrim(file_path, '/'), '^[^/]*/?', '') else ltrim(file_path, '/') end as bare from cur where file_path is not null""")
+def paths_below_root(spark, folder):
+    """Paths below a root, and without its first segment (FIL13, FIL17)."""
+    rows = current(spark, folder).where("file_path is not null").select("file_path").distinct()
+    return rows.select("file_path", T.relative_to("file_path", "/srv/scan/quillmere").alias("below"), T.without_root("file_path", "srv").alias("bare"))
+
+
+@R.add("cached_and_new", "select item_id, business_summary from (select distinct item_id, business_summary from stage_b_function_items where business_summary is not null union all select distinct item_id, 'new' from stage_b_function_items where business_summary is null)")
+def cached_and_new(spark, folder):
+    """Cached rows and new ones together (SET04)."""
+    rows = table(spark, folder, "stage_b_function_items").select("item_id", "business_summary").distinct()
+    return incremental.with_cached(rows.where("business_summary is not null"), rows.where("business_summary is null").withColumn("business_summary", F.lit("new")))
 
 
 @R.add("inherited_methods", None)
@@ -529,16 +636,28 @@ def inherited_methods(spark, folder):
 TREE = "with f as (select distinct repo_name, relative_path as path from source_files where relative_path <> '')"
 
 
-@R.add("tree_nodes", TREE + """, d as (select distinct repo_name, array_to_string(list_slice(string_split(path, '/'), 1, i), '/') as path from f, range(1, 64) r(i) where i < len(string_split(path, '/')))
-select repo_name, path, case when path like '%/%' then regexp_replace(path, '/[^/]*$', '') else '' end as parent_path, split_part(path, '/', -1) as name, type, case when type = 'file' then coalesce(nullif(regexp_extract(split_part(path, '/', -1), '^.+\\.([^.]+)$', 1), ''), 'none') end as extension,
-cast(len(string_split(path, '/')) as integer) as depth from (select *, 'file' as type from f union all select *, 'directory' from d)
-where not regexp_matches(path, '(^|/)(\\.git|__pycache__|\\.pytest_cache|\\.env|venv|node_modules|\\.DS_Store|[^/]*\\.pyc|[^/]*\\.pyo|[^/]*\\.pyd|\\.Python|[^/]*\\.so)(/|$)')""")
+TREE_NODES = (
+    TREE
+    + """, d as (select distinct repo_name, array_to_string(list_slice(string_split(path, '/'), 1, i), '/') as path from f, range(1, 64) r(i) where i < len(string_split(path, '/'))),
+t as (select repo_name, path, case when path like '%/%' then regexp_replace(path, '/[^/]*$', '') else '' end as parent_path, split_part(path, '/', -1) as name, type, case when type = 'file' then coalesce(nullif(regexp_extract(split_part(path, '/', -1), '^.+\\.([^.]+)$', 1), ''), 'none') end as extension,
+  cast(len(string_split(path, '/')) as integer) as depth from (select *, 'file' as type from f union all select *, 'directory' from d)
+  where not regexp_matches(path, '(^|/)(\\.git|__pycache__|\\.pytest_cache|\\.env|venv|node_modules|\\.DS_Store|[^/]*\\.pyc|[^/]*\\.pyo|[^/]*\\.pyd|\\.Python|[^/]*\\.so)(/|$)'))
+"""
+)
+
+
+@R.add("tree_nodes", TREE_NODES + "select * from t")
 def tree_nodes(spark, folder):
     """The directory tree of every repository (SRC10, STR13, FIL01)."""
     return trees.paths_to_tree(table(spark, folder, "source_files"), ["repo_name"], "relative_path")
 
 
-@R.add("tree_text", None)
+@R.add(
+    "tree_text",
+    TREE_NODES
+    + """, l as (select repo_name, path, repeat('│   ', depth - 1) || case when type = 'directory' then '├── ' || name || '/' when lead(name) over (partition by repo_name, parent_path order by name) is null then '└── ' || name else '├── ' || name end as line from t)
+select repo_name, string_agg(line, chr(10) order by replace(path, '/', chr(1))) as text from l group by 1""",
+)
 def tree_text(spark, folder):
     """The trees as text (RND07)."""
     return trees.tree_text(tree_nodes(spark, folder), ["repo_name"])
@@ -560,7 +679,22 @@ def _wiki_parts(spark, folder):
     return tree_nodes(spark, folder), modules, one_summary(spark, folder), items
 
 
-@R.add("directory_pages", None)
+PAGES = (
+    TREE_NODES
+    + """, link as (select repo_name, path, parent_path, name, type, '](pages/' || case when type = 'file' then 'file/' else 'dir/' end || path || '.md)' as target from t),
+ms as (select repo_name, module, min(module_summary) as module_summary from stage_b_module_summaries group by all),
+fs as (select repo_name, file, min(file_summary) as file_summary from stage_b_file_summaries group by all),
+its as (select repo_name, location as file, string_agg('- `' || signature || '`: ' || coalesce(business_summary, ''), chr(10) order by signature, business_summary nulls first) as body from (select distinct * from stage_b_function_items) group by all),
+dirs as (select repo_name, parent_path as module, string_agg('- [' || name || target, chr(10) order by name, target) as body from link where parent_path <> '' group by 1, 2),
+index_ as (select repo_name, 'INDEX.md' as path, '# Index' || chr(10) || chr(10) || string_agg('- [' || path || target, chr(10) order by path) || chr(10) || chr(10) || '- [Architecture](ARCHITECTURE.md)' || chr(10) || '- [Context](CONTEXT.md)' as content from link where type = 'file' group by 1),
+dir_pages as (select d.repo_name, 'pages/dir/' || module || '.md' as path, '# ' || module || chr(10) || chr(10) || coalesce(nullif(module_summary, ''), '(no module summary)') || chr(10) || chr(10) || body as content from dirs d left join ms using (repo_name, module)),
+file_pages as (select l.repo_name, 'pages/file/' || l.path || '.md' as path, '# ' || l.path || chr(10) || chr(10) || coalesce(nullif(file_summary, ''), '(no file summary)') || coalesce(chr(10) || chr(10) || body, '') as content
+  from link l left join fs on fs.repo_name = l.repo_name and fs.file = l.path left join its on its.repo_name = l.repo_name and its.file = l.path where type = 'file')
+"""
+)
+
+
+@R.add("directory_pages", PAGES + "select * from dir_pages")
 def directory_pages(spark, folder):
     tree, modules, _, _ = _wiki_parts(spark, folder)
     return render.directory_pages(tree, modules)
@@ -574,13 +708,32 @@ def file_pages(spark, folder):
     return render.file_pages(tree, files, items)
 
 
-@R.add("whole_wiki", None)
+@R.add(
+    "whole_wiki",
+    PAGES + """select repo_name, 'WIKI.md' as path, string_agg(content, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by path, content) as content from (select * from index_ union all select * from dir_pages union all select * from file_pages) group by 1""",
+)
 def whole_wiki(spark, folder):
     """One page per repository (RND01, RND05)."""
     return render.wiki(*_wiki_parts(spark, folder), mode="monolithic")
 
 
-@R.add("semantic_levels", None)
+def _summed_up(name: str, source: str, keys: str, signature: str, text: str, into: str) -> str:
+    """Common table expressions that sum ``source`` up as the offline provider does: blocks of 200 lines, and their replies once more."""
+    first = r"regexp_extract({}, '(?s)^[\s\x{{0b}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]*(.*?(?:[.!?。！？]|\z))', 1)"
+    return f"""
+{name}_l as (select {keys}, '- ' || coalesce({signature}, '') || ': ' || coalesce({text}, '') as line, row_number() over (partition by {keys} order by {signature} nulls first, '- ' || coalesce({signature}, '') || ': ' || coalesce({text}, '')) - 1 as pos from {source}),
+{name}_b as (select {keys}, pos // 200 as block, {first.format("string_agg(line, chr(10) order by pos)")} as reply, count(*) as lines from {name}_l group by {keys}, pos // 200),
+{name} as (select {keys}, cast(sum(lines) as bigint) as n, case when sum(lines) <= 200 then min(reply) else {first.format("string_agg(reply, chr(10) order by block)")} end as {into} from {name}_b group by {keys})"""
+
+
+@R.add(
+    "semantic_levels",
+    "with i as (select distinct repo_name, location as file, signature, business_summary, item_id, kind, business_rules, key_terms from stage_b_function_items),"
+    + _summed_up("f", "i", "repo_name, file", "signature", "business_summary", "file_summary")
+    + ", u as (select repo_name, file, file_summary, case when coalesce(file, '') = '' then '(unknown)' when position('/' in file) = 0 then '(root)' else split_part(file, '/', 1) end as module from f),"
+    + _summed_up("m", "u", "repo_name, module", "file", "file_summary", "module_summary")
+    + " select * from m",
+)
 def semantic_levels(spark, folder):
     """Summaries of modules out of those of files out of items, with the offline provider (AGG09-AGG11)."""
     items = table(spark, folder, "stage_b_function_items").distinct().select("repo_name", F.col("location").alias("file"), "signature", "business_summary")
@@ -590,7 +743,6 @@ def semantic_levels(spark, folder):
 @R.add("group_listing", """select repo_name, location as file, count(*) as n, string_agg('- ' || signature || ': ' || coalesce(business_summary, ''), chr(10) order by signature, '- ' || signature || ': ' || coalesce(business_summary, '')) as listing
 from (select distinct * from stage_b_function_items) group by all""")
 def group_listing(spark, folder):
-    """The lines of each file's items in order (AGG09)."""
-    items = table(spark, folder, "stage_b_function_items").distinct()
-    line = F.concat(F.lit("- "), "signature", F.lit(": "), F.coalesce("business_summary", F.lit("")))
-    return items.groupBy("repo_name", F.col("location").alias("file")).agg(F.count(F.lit(1)).alias("n"), render.lines_by(["signature"], line).alias("listing"))
+    """The prompt of each file's items: all of their lines in order (AGG09)."""
+    items = table(spark, folder, "stage_b_function_items").distinct().withColumn("file", F.col("location"))
+    return incremental.summaries_up(items, ["repo_name", "file"], "business_summary", "listing", incremental.echo)

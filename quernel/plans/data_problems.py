@@ -53,7 +53,34 @@ judged as (
   where r.target_id <> '' and r.repo_name is not null)
 """
 
+#: The nodes of all trees: ``n`` has (source_table, record_id, digest, node_path, parent_path, j). Strings that hold JSON are unwrapped.
+_NODES = r"""
+with recursive raw as (
+  select distinct 'repo_tree' as source_table, record_id, tree_json as t from repo_tree where json_valid(tree_json)
+  union select distinct 'stage_a_context', record_id, context_json from stage_a_context where json_valid(context_json)),
+whole as (select source_table, record_id, md5(t) as digest, case when json_type(t :: json) = 'VARCHAR' and json_valid((t :: json) ->> '$') then ((t :: json) ->> '$') :: json else t :: json end as j from raw),
+tree as (select source_table, record_id, digest, case when source_table = 'repo_tree' then j when json_type(j) = 'OBJECT' then j -> 'context_tree' end as j from whole),
+top as (select source_table, record_id, digest, case when json_type(j) = 'VARCHAR' and json_valid(j ->> '$') then (j ->> '$') :: json else j end as j from tree),
+n as (
+  select source_table, record_id, digest, cast(e.i - 1 as varchar) as node_path, '' as parent_path, case when json_type(e.x) = 'VARCHAR' and json_valid(e.x ->> '$') then (e.x ->> '$') :: json else e.x end as j
+  from top, unnest(case json_type(j) when 'ARRAY' then j -> '$[*]' when 'OBJECT' then [j] else [] end) with ordinality as e(x, i)
+  where json_type(case when json_type(e.x) = 'VARCHAR' and json_valid(e.x ->> '$') then (e.x ->> '$') :: json else e.x end) = 'OBJECT'
+  union all
+  select source_table, record_id, digest, node_path || '/' || (e.i - 1), node_path, case when json_type(e.x) = 'VARCHAR' and json_valid(e.x ->> '$') then (e.x ->> '$') :: json else e.x end
+  from (select *, case when json_type(k) = 'VARCHAR' and json_valid(k ->> '$') then (k ->> '$') :: json else k end as c from (select *, case when source_table = 'repo_tree' then j -> 'contents' else j -> 'children' end as k from n)) p,
+    unnest(case json_type(c) when 'ARRAY' then c -> '$[*]' when 'OBJECT' then [c] else [] end) with ordinality as e(x, i)
+  where json_type(case when json_type(e.x) = 'VARCHAR' and json_valid(e.x ->> '$') then (e.x ->> '$') :: json else e.x end) = 'OBJECT')
+"""
+
 SQL = {
+    "p2_found": _NODES + "select distinct source_table, record_id, node_path, parent_path, coalesce(case when source_table = 'repo_tree' then j ->> 'name' else j ->> 'title' end, '') as node_name from n",
+    # pre-order goes by the positions on the path; as many nodes end before a node as begin before it, without those above it, and its own below
+    "p2_directories": _NODES
+    + """, r as (select *, list_transform(string_split(node_path, '/'), lambda x: x :: bigint) as place from n where source_table = 'repo_tree'),
+p as (select *, row_number() over (partition by record_id, digest order by place) - 1 as pre, len(place) - 1 as depth,
+  (select count(*) from r d where d.record_id = r.record_id and d.digest = r.digest and starts_with(d.node_path || '/', r.node_path || '/')) as below from r)
+select record_id, node_path, parent_path, cast(pre as integer) as pre, cast(pre - depth + below - 1 as integer) as post, cast(depth as integer) as depth, coalesce(j ->> 'name', '') as node_name
+from p where lower(trim(j ->> 'type')) = 'directory'""",
     "p3_found": _ORPHANS
     + "select distinct source_table, repo_name, record_id, target_id, reason, strftime(moment, '%Y-%m') as period_month from judged where reason is not null",
     "p3_per_period": _ORPHANS

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quernel.functions import text as T
-from quernel.operators import retrieval, trees, windows
+from quernel.operators import lookups, retrieval, trees, windows
 from quernel.plans.registry import Registry
-from quernel.session import table
-from quernel.sources import readers
+from quernel.session import checkpoint_dir, table
+from quernel.sources import readers, sinks
 from quernel.streaming import jobs
 
 R = Registry()
@@ -30,11 +30,13 @@ def normalize_ws(spark, folder):
     return docs(spark, folder).select("doc_id", T.normalize_ws("text").alias("clean"))
 
 
-@R.add("think_strip", f"select doc_id, regexp_replace(text, '^{WS}+', '') as answer from documents")
+@R.add("think_strip", f"select item_id, repo_name, location, regexp_replace(coalesce(business_summary, ''), '^{WS}+', '') as answer from (select distinct * from stage_b_function_items)")
 def think_strip(spark, folder):
-    """Thinking blocks put before and after each text are gone again (STR01)."""
-    rows = docs(spark, folder).withColumn("reply", F.concat(F.lit("<think>a\nb</think>\n "), "text", F.lit("<THINK>c</THINK>")))
-    return rows.select("doc_id", T.strip_think("reply").alias("answer"))
+    """Replies whose thinking is the item's terms and signature and whose answer is its summary (STR01)."""
+    rows = table(spark, folder, "stage_b_function_items").distinct()
+    thought = F.concat_ws("\n", "signature", "kind", F.array_join("key_terms", "\n"))
+    reply = F.concat(F.lit(" <think>"), thought, F.lit("</think>\n "), F.coalesce("business_summary", F.lit("")), F.lit("<THINK>"), thought, F.lit("</THINK>"))
+    return rows.select("item_id", "repo_name", "location", T.strip_think(reply).alias("answer"))
 
 
 @R.add("token_estimate", f"select doc_id, round(case when coalesce({NORMAL}, '') = '' then 0 else len(string_split({NORMAL}, ' ')) end * 1.3::double, 6) as tokens from documents")
@@ -73,29 +75,56 @@ def chat_roles(spark, folder):
     return table(spark, folder, "agent_log").select("log_id", "agent").distinct().select("log_id", T.chat_role("agent").alias("role"))
 
 
-@R.add("json_replies", "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events")
+LOGS = "(select distinct log_id, content from agent_log where content is not null)"
+
+
+def logs(spark, folder):
+    return table(spark, folder, "agent_log").select("log_id", "content").where("content is not null").distinct()
+
+
+@R.add(
+    "json_replies",
+    rf"""with b as (select log_id, regexp_extract(content, '(?s)\{{.*\}}', 0) as body from {LOGS}),
+r as (select *, regexp_replace(regexp_replace(regexp_replace(replace(body, chr(39), '"'), '\bTrue\b', 'true', 'g'), '\bFalse\b', 'false', 'g'), '\bNone\b', 'null', 'g') as fixed from b)
+select log_id, case when body = '' then null when json_valid(body) then md5(body) when json_valid(fixed) then md5(fixed) end as body_md5 from r""",
+)
 def json_replies(spark, folder):
-    """JSON out of replies in fences and with single quotes (JSN01, JSN02)."""
+    """The JSON objects in the agents' replies (JSN01, JSN02)."""
+    return logs(spark, folder).select("log_id", F.md5(T.json_reply("content")).alias("body_md5"))
+
+
+@R.add("json_repairs", "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events")
+def json_repairs(spark, folder):
+    """JSON out of replies in fences and with single quotes (JSN01)."""
     wrapped = F.concat(F.lit("Here it is:\n```json\n"), F.replace("props", F.lit('"'), F.lit("'")), F.lit("\n```"))
-    body = T.json_reply(wrapped)
-    return table(spark, folder, "events").select("event_id", F.from_json(body, "k bigint")["k"].alias("k"))
+    return table(spark, folder, "events").select("event_id", F.from_json(T.json_reply(wrapped), "k bigint")["k"].alias("k"))
 
 
-@R.add("info_needs", "select doc_id, doc_id % 3 = 0 as needed from documents")
+@R.add("info_needs", f"select log_id, lower(regexp_replace(regexp_extract(content, '(?s)<INFO_NEED>(.*?)</INFO_NEED>', 1), '^{WS}+|{WS}+$', '', 'g')) = 'true' as needed from {LOGS}")
 def info_needs(spark, folder):
-    """XML01."""
-    flag = F.when(F.col("doc_id") % 3 == 0, " True ").otherwise("false")
-    return docs(spark, folder).select("doc_id", T.needs_info(F.concat(F.lit("x <INFO_NEED>"), flag, F.lit("</INFO_NEED><INFO_NEED>true</INFO_NEED>"))).alias("needed"))
+    """The flag in the agents' replies (XML01)."""
+    return logs(spark, folder).select("log_id", T.needs_info("content").alias("needed"))
 
 
-@R.add("reader_requests", "select doc_id, case when doc_id % 4 = 1 then [] else ['A', 'B' || doc_id] end as classes, case when doc_id % 4 = 1 then false else doc_id % 2 = 0 end as call_by, case when doc_id % 4 = 1 then [] else ['q ' || doc_id] end as queries from documents")
+@R.add(
+    "reader_requests",
+    f"""with d as (select distinct log_id, component_id, content from agent_log where content is not null and regexp_matches(component_id, '^[A-Za-z_.0-9]+$'))
+select log_id, component_id, [component_id] as classes, content like '%<CALL_BY>true</CALL_BY>%' as call_by, [split_part(component_id, '.', -1)] as queries from d where content like '%<REQUEST>%'""",
+)
 def reader_requests(spark, folder):
-    """A well-formed request, and one whose closing tags are wrong (XML02)."""
-    n = F.col("doc_id").cast("string")
-    good = F.concat(F.lit("<REQUEST><INTERNAL><CALLS><CLASS>A, B"), n, F.lit("</CLASS></CALLS><CALL_BY>"), F.when(F.col("doc_id") % 2 == 0, "true").otherwise("no"), F.lit("</CALL_BY></INTERNAL><RETRIEVAL><QUERY>q "), n, F.lit("</QUERY></RETRIEVAL></REQUEST>"))
-    bad = F.lit("<REQUEST><INTERNAL><CALLS><CLASS>A<\\CLASS></CALLS></INTERNAL></REQUEST>")
-    asked = T.request(F.when(F.col("doc_id") % 4 == 1, bad).otherwise(good))
-    return docs(spark, folder).select("doc_id", asked["classes"].alias("classes"), asked["call_by"].alias("call_by"), asked["queries"].alias("queries"))
+    """Requests of the agents' replies, with what they ask for put in from their component (XML02)."""
+    rows = table(spark, folder, "agent_log").select("log_id", "component_id", "content").distinct().where(F.contains("content", F.lit("<REQUEST>")) & F.col("component_id").rlike("^[A-Za-z_.0-9]+$"))
+    flag = F.regexp_extract("content", "<CALL_BY>[^<]*</CALL_BY>", 0)
+    inner = F.concat(F.lit("<REQUEST><INTERNAL><CALLS><CLASS> "), "component_id", F.lit(" ,</CLASS></CALLS>"), flag, F.lit("</INTERNAL><RETRIEVAL><QUERY>"), T.last_segment("component_id"), F.lit("</QUERY></RETRIEVAL></REQUEST>"))
+    asked = T.request(inner)
+    return rows.select("log_id", "component_id", asked["classes"].alias("classes"), asked["call_by"].alias("call_by"), asked["queries"].alias("queries"))
+
+
+@R.add("bare_requests", f"select log_id, [] :: varchar[] as classes, false as call_by, [] :: varchar[] as queries from {LOGS} where content like '%<REQUEST>%'")
+def bare_requests(spark, folder):
+    """The requests as the agents wrote them: none has INTERNAL and CALLS, so all of their fields are empty (XML02)."""
+    asked = T.request("content")
+    return logs(spark, folder).where(F.contains("content", F.lit("<REQUEST>"))).select("log_id", asked["classes"].alias("classes"), asked["call_by"].alias("call_by"), asked["queries"].alias("queries"))
 
 
 @R.add("budgets", "select doc_id, cast(greatest(256, floor(greatest(256, n - 628) * 0.6)) as integer) as document, cast(greatest(32, floor(n * 0.12)) as integer) as title, cast(greatest(128, floor(n * 0.44)) as integer) as body, cast(greatest(128, n - greatest(32, floor(n * 0.12)) - greatest(128, floor(n * 0.44))) as integer) as context from (select doc_id, coalesce(n_chars, 0) as n from documents)")
@@ -106,15 +135,25 @@ def budgets(spark, folder):
     return rows.select("doc_id", T.doc_budget("n", F.lit(1000)).alias("document"), *[parts[c].alias(c) for c in ("title", "body", "context")])
 
 
-@R.add("headings", None)
+BREAKS = "'\\r\\n|[\\n\\r\\x{0b}\\x{0c}\\x{85}\\x{2028}\\x{2029}]'"
+#: The nodes of heading trees: ``n`` has (doc_id, ord, level, title, raw), ord 0 being the root.
+HEADINGS = f"""with t as (select doc_id, regexp_split_to_array(regexp_replace(text, '(\\r\\n|[\\n\\r\\x{{0b}}\\x{{0c}}\\x{{85}}\\x{{2028}}\\x{{2029}}])$', ''), {BREAKS}) as a from documents where text is not null),
+l as (select doc_id, unnest(a) as line, generate_subscripts(a, 1) as n from t),
+h as (select *, regexp_matches(line, '^#{{1,6}}{WS}+.*$') as opens from l),
+g as (select *, sum(opens::int) over (partition by doc_id order by n) as ord from h),
+b as (select doc_id, 0 as ord, 0 as level, 'README' as title from t union all
+  select doc_id, ord, length(regexp_extract(line, '^(#{{1,6}})', 1)), regexp_replace(regexp_extract(line, '^#{{1,6}}{WS}+(.*)$', 1), '^{WS}+|{WS}+$', '', 'g') from g where opens),
+r as (select doc_id, ord, string_agg(line, chr(10) order by n) as raw from g where not opens group by all),
+n as (select doc_id, cast(ord as integer) as ord, cast(level as integer) as level, title, regexp_replace(coalesce(raw, ''), '^{WS}+|{WS}+$', '', 'g') as raw from b left join r using (doc_id, ord))
+"""
+
+
+@R.add("headings", HEADINGS + "select n.*, (select max(p.ord) from n p where p.doc_id = n.doc_id and p.ord < n.ord and p.level < n.level) as parent_ord from n")
 def headings(spark, folder):
-    """Heading trees of documents (MD01); tested against a plain loop."""
+    """Heading trees of documents (MD01)."""
     return trees.headings(docs(spark, folder), "doc_id", "text")
 
 
-BREAKS = "'\\r\\n|[\\n\\r\\x{0b}\\x{0c}\\x{85}\\x{2028}\\x{2029}]'"
-
-
 @R.add("heading_titles", f"""with l as (select doc_id, unnest(regexp_split_to_array(text, {BREAKS})) as line, generate_subscripts(regexp_split_to_array(text, {BREAKS}), 1) as n from documents where text is not null),
 h as (select doc_id, n, length(regexp_extract(line, '^(#{{1,6}})', 1)) as level, regexp_replace(regexp_extract(line, '^#{{1,6}}{WS}+(.*)$', 1), '^{WS}+|{WS}+$', '', 'g') as title from l where regexp_matches(line, '^#{{1,6}}{WS}+.*$'))
 select doc_id, cast(row_number() over (partition by doc_id order by n) as integer) as ord, cast(level as integer) as level, title from h""")
@@ -123,7 +162,7 @@ def heading_titles(spark, folder):
     return trees.headings(docs(spark, folder), "doc_id", "text").where("level > 0").select("doc_id", "ord", "level", "title")
 
 
-@R.add("outlines", None)
+@R.add("outlines", HEADINGS + "select doc_id, string_agg(repeat(' ', greatest(0, 2 * (level - 1))) || '- ' || title, chr(10) order by ord) as text from n where level > 0 group by 1")
 def outlines(spark, folder):
     """Headings as nested bullets (MD02, MD03)."""
     return trees.outline(headings(spark, folder), "doc_id")
@@ -148,7 +187,12 @@ def cosine_topk(spark, folder):
     return retrieval.similar(asked, vectors, 4).select("query_id", "vec_id", F.col("place").cast("long").alias("place"))
 
 
-@R.add("relevant_text", None)
+@R.add("relevant_text", """with c as (select distinct * from rag_chunk where text is not null), q(n, q) as (values (0, 'reads'), (1, 'only'), (2, 'failed')),
+s as (select source, idx, text, n, (length(lower(text)) - length(replace(lower(text), q, ''))) / length(q) as hits from c, q),
+r as (select *, row_number() over (partition by source, n order by hits desc, idx) as place from s where hits > 0),
+f as (select *, row_number() over (partition by source, text order by n, place) as first from r where place <= 4),
+b as (select *, coalesce(sum(length(text)) over (partition by source order by n, place rows between unbounded preceding and 1 preceding), 0) as before from f where first = 1)
+select source, string_agg(text, chr(10) || chr(10) order by n, place) as text from b where before < 2048 group by 1""")
 def relevant_text(spark, folder):
     """What of each long source is relevant to three queries, within a budget (RET08, SET03)."""
     asked = [("purpose", "reads"), ("rules", "only"), ("risk", "failed")]
@@ -240,9 +284,20 @@ def budget_suffix(spark, folder):
     return windows.newest_within(rows, "repo_name", "log_id", "cost", 4000).select("repo_name", "log_id")
 
 
-@R.add("fitted_conversations", None)
+@R.add("fitted_conversations", rf"""with recursive t as (select repo_name, log_id, case when agent = 'writer' then 'user' else 'assistant' end as role, coalesce(content, '') as content,
+  row_number() over (partition by repo_name order by log_id desc) as k from {TURNS}),
+c as (select *, cast(trunc(len(regexp_extract_all(content, '[^' || substr('{WS}', 2) || '+')) * 1.3::double) as bigint) + 6 as need from t),
+w as (select repo_name, cast(0 as bigint) as k, cast(798 as bigint) as left_, cast(null as bigint) as log_id, cast(null as varchar) as role, cast(null as varchar) as content, cast(null as boolean) as cut, false as done from (select distinct repo_name from t)
+  union all
+  select repo_name, k, left_ - case when need <= left_ then need when short_need <= left_ then short_need else 0 end, case when need <= left_ or short_need <= left_ then log_id end, role,
+    case when need <= left_ then content else short end, need > left_, left_ - case when need <= left_ then need when short_need <= left_ then short_need else 0 end <= 20
+  from (select *, cast(trunc(len(regexp_extract_all(short, '[^' || substr('{WS}', 2) || '+')) * 1.3::double) as bigint) + 6 as short_need from (
+    select w.repo_name, c.k, w.left_, c.log_id, c.role, c.content, c.need, case when c.role = 'user' and w.left_ > 20 and c.need > w.left_ then
+      case when w.left_ / c.need < 0.5 then '[...truncated...] ' else '' end || regexp_replace(substring(c.content, cast(trunc(length(c.content) * (1 - w.left_::double / c.need + case when w.left_::double / c.need < 0.5 then 0.1::double else 0 end)) as bigint) + 1), '^{WS}+|{WS}+$', '', 'g') end as short
+    from w join c on c.repo_name = w.repo_name and c.k = w.k + 1 where not w.done)))
+select repo_name, log_id, role, content, cut from w where log_id is not null""")
 def fitted_conversations(spark, folder):
-    """The exact greedy walk with cut turns (WIN10); tested against a plain loop."""
+    """The exact greedy walk with cut turns (WIN10)."""
     rows = turns(spark, folder).select("repo_name", "log_id", F.when(F.col("agent") == "writer", "user").otherwise("assistant").alias("role"), F.coalesce("content", F.lit("")).alias("content"))
     return windows.fit_conversation(rows, "repo_name", "log_id", "role", "content", 800)
 
@@ -306,13 +361,35 @@ def links(spark, folder):
     return table(spark, folder, "stage_b_file_summaries").select("repo_name", "file").distinct().select("repo_name", "file", T.md_link("file", F.concat(F.lit("pages/"), "file", F.lit(".md"))).alias("link"))
 
 
-@R.add("repository_search", """select c_custkey, full_name from (select c_custkey, lower(c_mktsegment) || '/' || c_name as full_name, c_acctbal as stars, c_nationkey as forks from customer)
-where split_part(full_name, '/', 1) in ('building', 'machinery') and stars > 1000 and stars < 9000 and forks > 3 order by stars desc, full_name limit 50""")
+REPOS = """(select repo_name as full_name, count(*) as stars, count(distinct relative_path) as forks, min(scan_time) as created_at, bool_or(deleted_at is not null and scan_time > timestamp '2025-06-01') as archived,
+  100.0 * count(*) filter (where component_type ilike '%method%') / count(*) as python_share, case when count(*) % 2 = 0 then 'Python' else 'Text' end as language from dependency_graph where repo_name is not null group by 1)"""
+
+
+def repositories(spark, folder):
+    """Metadata of repositories out of their components: scans as stars, files as forks, the share of methods as that of Python."""
+    rows = table(spark, folder, "dependency_graph").where("repo_name is not null").groupBy("repo_name").agg(
+        F.count(F.lit(1)).alias("stars"),
+        F.count_distinct("relative_path").alias("forks"),
+        F.min("scan_time").alias("created_at"),
+        F.bool_or(F.col("deleted_at").isNotNull() & (F.col("scan_time") > F.lit("2025-06-01").cast("timestamp_ntz"))).alias("archived"),
+        (F.count_if(F.contains(F.lower("component_type"), F.lit("method"))) * 100.0 / F.count(F.lit(1))).alias("python_share"),
+        F.when(F.count(F.lit(1)) % 2 == 0, "Python").otherwise("Text").alias("language"),
+    )
+    return rows.withColumnRenamed("repo_name", "full_name")
+
+
+@R.add("repository_search", f"select full_name, stars from {REPOS} where stars > 20 and forks > 3 and created_at > timestamp '2020-01-01' and created_at < timestamp '2030-01-01' and not coalesce(archived, false) and python_share >= 10 order by stars desc, full_name limit 50")
 def repository_search(spark, folder):
-    """Search conditions, sort and limit (SRC14, FIL06, FIL07, WIN15); customers stand for repositories."""
-    rows = table(spark, folder, "customer").select("c_custkey", F.concat_ws("/", F.lower("c_mktsegment"), "c_name").alias("full_name"), F.col("c_acctbal").alias("stars"), F.col("c_nationkey").alias("forks"))
-    asked = {"owners": ["building", "machinery"], "stars": {"min": 1000, "max": 9000}, "forks": {"min": 3}, "sort": "stars", "limit": 50}
-    return readers.search(rows, asked).select("c_custkey", "full_name")
+    """Search conditions, sort and limit (SRC14, FIL06, FIL07, WIN15)."""
+    asked = {"stars": {"min": 20}, "forks": {"min": 3}, "created_after": "2020-01-01", "created_before": "2030-01-01", "archived": False, "min_python": 10, "sort": "stars", "limit": 50}
+    return readers.search(repositories(spark, folder), asked).select("full_name", "stars")
+
+
+@R.add("owner_search", f"select full_name, forks from {REPOS} where split_part(full_name, '/', 1) in ('quillmere', 'lumen-yard', 'sedgeway') and lower(language) = 'python' order by forks, full_name limit 20")
+def owner_search(spark, folder):
+    """By owner and language, ascending (SRC14, FIL06, FIL07, WIN15)."""
+    asked = {"owners": ["quillmere", "lumen-yard", "sedgeway"], "language": ["Python"], "sort": "forks", "order": "asc", "limit": 20}
+    return readers.search(repositories(spark, folder), asked).select("full_name", "forks")
 
 
 @R.add("base64_texts", "select doc_id, coalesce(text, '') as text from documents")
@@ -321,21 +398,49 @@ def base64_texts(spark, folder):
     return docs(spark, folder).select("doc_id", readers.decoded(F.base64(F.encode("text", "UTF-8"))).alias("text"))
 
 
-@R.add("python_shares", "select p_partkey, round(100.0 * p_size / (p_size + 10), 6) as share from part")
+@R.add("python_shares", """with f as (select distinct repo_name, relative_path, content from source_files where content is not null and relative_path is not null),
+s as (select repo_name, sum(strlen(content)) as total, sum(strlen(content)) filter (where md5(relative_path) < '8') as own from f group by 1)
+select repo_name, round(100.0 * coalesce(own, 0) / total, 6) as share from s where total > 0""")
 def python_shares(spark, folder):
-    """AGG16."""
-    sizes = F.create_map(F.lit("Python"), F.col("p_size").cast("long"), F.lit("C"), F.lit(10).cast("long"))
-    return table(spark, folder, "part").select("p_partkey", F.round(readers.python_share(sizes), 6).alias("share"))
+    """Shares of bytes by language, where half of the files by their paths' digest stand for another language (AGG16)."""
+    files = table(spark, folder, "source_files").select("repo_name", "relative_path", "content").where("content is not null and relative_path is not null").distinct()
+    by = files.groupBy("repo_name", F.when(F.md5("relative_path") < "8", "Python").otherwise("C").alias("language")).agg(F.sum(F.octet_length("content")).alias("n"))
+    maps = by.groupBy("repo_name").agg(F.map_from_entries(F.collect_list(F.struct("language", "n"))).alias("sizes"))
+    return maps.select("repo_name", F.round(readers.python_share("sizes"), 6).alias("share")).where("share is not null")
 
 
-@R.add("done_keys", "select distinct component_id from agent_log where component_id is not null")
+@R.add("done_keys", "select distinct component_id from agent_log where agent = 'writer' and component_id is not null")
 def done_keys(spark, folder):
-    """SRC05."""
-    return table(spark, folder, "agent_log").where("component_id is not null").select("component_id").distinct()
+    """The keys in an output of JSON lines, read tolerantly (SRC05, SNK03)."""
+    import uuid
+
+    out = f"{checkpoint_dir(spark)}/done-{uuid.uuid4().hex}"
+    sinks.append_rows(table(spark, folder, "agent_log").where("agent = 'writer'").select("component_id", "content"), out)
+    return readers.done_keys(spark, out)
 
 
-@R.add("usage_in_windows", """select time_bucket(interval 60 seconds, ts) as start, event_type, count(*) as events from events group by all""")
+@R.add("usage_in_windows", """select time_bucket(interval 10 seconds, ts) - interval (10 * i) second as start, event_type, count(*) as events, round(sum(value), 6) as value from events, range(0, 6) r(i) group by all""")
 def usage_in_windows(spark, folder):
-    """The windows of the streaming form, over a table (STM04)."""
-    used = jobs.usage_stream(table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], [], 60, 60)
-    return used.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events")
+    """The sliding windows of the streaming form, over a table (STM04)."""
+    used = jobs.usage_stream(table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], ["value"], 60, 10)
+    return used.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events", F.round("value", 6).alias("value"))
+
+
+@R.add("message_tokens_by_provider", f"""with m as (select repo_name, floor(round(case when c = '' then 0 else len(string_split(c, ' ')) end * 1.3, 6)) as n
+  from (select repo_name, regexp_replace(regexp_replace(coalesce(content, ''), '{WS}+', ' ', 'g'), '^ | $', '', 'g') as c from {TURNS}))
+select repo_name, provider, cast(sum(n + e) + f as bigint) as tokens from m, (values ('claude', 10, 0), ('gemini', 4, 0), ('local', 4, 2), ('openai', 4, 3)) v(provider, e, f) group by repo_name, provider, f""")
+def message_tokens_by_provider(spark, folder):
+    """The overheads of four providers (TOK03)."""
+    rows = turns(spark, folder)
+    parts = [windows.message_tokens(rows, "repo_name", "content", *o).withColumn("provider", F.lit(p)) for p, o in windows.OVERHEADS.items()]
+    return retrieval.gather(parts)
+
+
+@R.add("similar_texts", """with p as (select n_chars, doc_kind, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^[\\s\\x{0b}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+|[\\s\\x{0b}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+$', '', 'g')), lambda x: x <> ''), chr(10)) as tidy, min(doc_id) as id
+  from documents where text is not null group by 1, 2, 3),
+m as (select a.id as a, b.id as b, a.tidy as x, b.tidy as y, greatest(length(a.tidy), length(b.tidy)) as n from p a join p b on a.n_chars = b.n_chars and a.doc_kind = b.doc_kind and a.id < b.id where least(length(a.tidy), length(b.tidy)) >= 0.9 * greatest(length(a.tidy), length(b.tidy))),
+s as (select a, b, round(len(list_filter(range(1, n + 1), lambda i: substring(x, i, 1) = substring(y, i, 1) and i <= length(x) and i <= length(y))) / n, 6) as similarity from m where n > 0)
+select a, b, similarity from s where similarity >= 0.9""")
+def similar_texts(spark, folder):
+    """Texts of one kind and length that agree sign for sign in nine of ten places (JN18)."""
+    return lookups.similar_pairs(table(spark, folder, "documents").where("text is not null"), "doc_id", "text", ["n_chars", "doc_kind"])

@@ -40,6 +40,7 @@ def test_json_replies(spark):
     assert reply('```json\n{"a": 1}\n```') == '{"a": 1}'
     assert reply("It is {'a': True, 'b': None}.") == '{"a": true, "b": null}'
     assert reply("garbage") is None and reply("{broken") is None and reply("{a b}") is None
+    assert reply("{} and {}") is None and reply('{"a": 1}, {"b": 2}') is None
 
 
 def test_requests(spark):
