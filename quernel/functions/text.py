@@ -168,6 +168,25 @@ def snippet(text: Column | str, words: int) -> Column:
     return F.array_join(F.slice(F.split(normalize_ws(text), " "), 1, words), " ")
 
 
+def code_signature(code: Column | str, is_class: Column | bool = False) -> Column:
+    """The signature in the first line of a piece of code: up to the first colon behind the bracket that closes the first
+    one; the whole line, stripped, for classes and where no bracket closes or no colon follows."""
+    line = strip(F.split_part(col(code), F.lit("\n"), F.lit(1)))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("end"))
+
+    def step(state: Column, i: Column) -> Column:
+        c = F.substring(line, i, F.lit(1))
+        depth = state["depth"] + F.when(c == "(", 1).when(c == ")", -1).otherwise(0)
+        return F.struct(depth.alias("depth"), F.when((state["end"] == 0) & (c == ")") & (depth == 0), i).otherwise(state["end"]).alias("end"))
+
+    places = F.when(F.length(line) > 0, F.sequence(F.lit(1), F.length(line))).otherwise(F.array().cast("array<int>"))
+    end = F.aggregate(places, start, step)["end"]
+    colon = F.locate(":", line, 1)
+    after = F.instr(F.substring(line, end, F.length(line)), ":")
+    whole = (end == 0) | (after == 0) | (colon == 0)
+    return F.when(F.lit(is_class) if isinstance(is_class, bool) else is_class, line).when(whole, line).otherwise(F.substring(line, F.lit(1), end + after - 1))
+
+
 def line_slice(text: Column | str, start: Column | str, end: Column | str) -> Column:
     """Lines ``start`` to ``end`` (from 1); null unless both are positive."""
     ok = (col(start) > 0) & (col(end) >= col(start))

@@ -117,7 +117,11 @@ def read_source(source: str) -> tuple:
     def component(name: str, kind: str, node) -> None:
         doc = _docstring(node)
         bases = [b.id for b in node.bases if isinstance(b, ast.Name)] if kind == "class" else []
-        found.append((name, kind, node.lineno, node.end_lineno, doc is not None, doc or "", "\n".join(text_lines[node.lineno - 1 : node.end_lineno]), bases, len(found)))
+        # the exact segment; columns count bytes
+        own = text_lines[node.lineno - 1 : node.end_lineno]
+        own[-1] = own[-1].encode()[: node.end_col_offset].decode()
+        own[0] = own[0].encode()[node.col_offset :].decode()
+        found.append((name, kind, node.lineno, node.end_lineno, doc is not None, doc or "", "\n".join(own), bases, len(found)))
 
     for node in ast.walk(tree):
         if isinstance(node, ast.ClassDef):

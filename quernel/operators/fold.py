@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernel.functions.text import package_of
+from quernel.operators.graph import degrees
 
 
 def attributed(edges: DataFrame, components: DataFrame) -> DataFrame:
@@ -77,6 +78,14 @@ def hub_lines(hubs_: DataFrame) -> DataFrame:
     return hubs_.select(F.format_string("- %s: in %d (%d edges), out %d (%d edges)", "id", "in_weight", "in_edges", "out_weight", "out_edges").alias("line"))
 
 
+def plain_hubs(nodes: DataFrame, edges: DataFrame, k: int = 50) -> DataFrame:
+    """(place, line) of the ``k`` nodes with most edges in, then out, then by id from the last: for graphs of plain ids."""
+    both = degrees(nodes, edges)
+    top = both.orderBy(F.desc("in_degree"), F.desc("out_degree"), F.desc("id")).limit(k)
+    place = F.row_number().over(Window.orderBy(F.desc("in_degree"), F.desc("out_degree"), F.desc("id")))  # k rows
+    return top.select(place.alias("place"), F.format_string("- %s (in=%d out=%d)", "id", "in_degree", "out_degree").alias("line"))
+
+
 def more(names: str, shown: int) -> F.Column:
     """The first ``shown`` of an array as text, with ``+n more`` for the rest."""
     size = F.size(names)

@@ -413,11 +413,11 @@ def sample_sources(nodes: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return nodes.select("id").distinct().orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(n)
 
 
-def influence(nodes: DataFrame, edges: DataFrame, alpha: float = 1.0, beta: float = 1.0, gamma: float = 1.0, samples: int | None = 200, damping: float = 0.85, rounds: int = 50, tolerance: float = 1e-8) -> DataFrame:
+def influence(nodes: DataFrame, edges: DataFrame, alpha: float = 1.0, beta: float = 1.0, gamma: float = 1.0, samples: int | None = 200, damping: float = 0.85, rounds: int = 50, tolerance: float = 1e-8, seed: int = 42) -> DataFrame:
     """(id, in_degree, out_degree, betweenness, pagerank, score): score is the weighted sum of the scaled degrees and
     betweenness, plus scaled rank. ``samples``: None for all sources, a negative number for no betweenness."""
     own = degrees(nodes, edges)
-    between = nodes.select("id", F.lit(0.0).alias("betweenness")) if samples is not None and samples < 0 else betweenness(nodes, edges, sample_sources(nodes, samples) if samples else None)
+    between = nodes.select("id", F.lit(0.0).alias("betweenness")) if samples is not None and samples < 0 else betweenness(nodes, edges, sample_sources(nodes, samples, seed) if samples else None)
     ranked = pagerank(nodes, edges, damping, rounds, tolerance).withColumnRenamed("rank", "pagerank")
     scaled = min_max(cut(own.join(between, "id").join(ranked, "id")), ["in_degree", "out_degree", "betweenness", "pagerank"])
     score = alpha * F.col("in_degree_n") + beta * F.col("out_degree_n") + gamma * F.col("betweenness_n") + F.col("pagerank_n")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quernel.functions.text import package_of
+from quernel.functions.text import json_reply, package_of
 from quernel.operators.lookups import remaining
 from quernel.session import cut
 
@@ -117,6 +117,26 @@ def counts_up(items: DataFrame) -> DataFrame:
     return items.withColumn("module", package_of("file")).rollup("module", "file").agg(F.count(F.lit(1)).alias("items"))
 
 
+def first_items(items: DataFrame, n: int | None, order: list[str]) -> DataFrame:
+    """The first ``n`` items in ``order``, all if ``n`` is None: a run's limit, asked for by its user."""
+    return items if n is None else items.orderBy(*order).limit(n)
+
+
+#: What stands in for a summary that couldn't be read or is empty, and the lists of each level.
+LEVELS = {"file": ("(file summary unavailable)", "(no file summary)", ["key_terms", "workflows"]), "module": ("(module summary unavailable)", "(no module summary)", ["responsibilities", "key_terms"])}
+
+
+def summary_fields(rows: DataFrame, reply: str, level: str) -> DataFrame:
+    """``rows`` with the fields of a level's reply in place of ``reply``: ``<level>_summary`` and its lists. A reply that isn't a JSON
+    object gives the stand-in and empty lists, an empty or missing summary the other stand-in; entries of lists are texts."""
+    unread, none, lists = LEVELS[level]
+    fields = F.from_json(json_reply(reply), f"{level}_summary string, " + ", ".join(f"{c} array<string>" for c in lists))
+    there = json_reply(reply).isNotNull()
+    summary = F.when(~there, unread).otherwise(F.coalesce(F.nullif(fields[f"{level}_summary"], F.lit("")), F.lit(none)))
+    empty = F.array().cast("array<string>")
+    return rows.withColumns({f"{level}_summary": summary} | {c: F.coalesce(F.filter(fields[c], lambda x: x.isNotNull()), empty) for c in lists}).drop(*([reply] if reply != f"{level}_summary" else []))
+
+
 class Stages:
     """Named tables in a folder: a stage is computed once and read afterwards, until it is forced."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 import numpy as np
@@ -9,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernel.functions.text import chunks, col, occurrences
+from quernel.functions.text import chunks, col, occurrences, strip, strip_think, token_estimate, truncate_words
+from quernel.operators.incremental import Provider, enrich
 from quernel.operators.windows import ordered_dedup, top_per_group
 
 
@@ -80,6 +82,86 @@ def relevant_text(texts: DataFrame, queries: list[tuple[str, str]], source: str,
     return kept.groupBy(source).agg(F.array_join(F.transform(ordered, lambda x: x[text]), "\n\n").alias("text"))
 
 
+def relevant_or_whole(texts: DataFrame, queries: list[tuple[str, str]], source: str, text: str, k: int, max_tokens: int, size: int = 1200, overlap: int = 150) -> DataFrame:
+    """(source, text): texts of up to ``max_tokens`` (1.3 a word) as they are; of longer ones what is relevant to ``queries``, or
+    their beginning where nothing is. One row per source."""
+    fits = token_estimate(text) <= max_tokens
+    short = texts.where(fits).select(source, text)
+    long = texts.where(~fits)
+    found = relevant_text(chunk_table(long, source, text, size, overlap).withColumn("_t", strip(F.col(text))).drop(text).withColumnRenamed("_t", text), queries, source, "idx", text, k, max(512, max_tokens * 4))
+    rest = long.join(found, source, "left_anti").select(source, truncate_words(text, int(max_tokens / 1.3)).alias(text))
+    return short.unionByName(found).unionByName(rest)
+
+
+def answer_each(asked: DataFrame, query: str, provider: Provider) -> DataFrame:
+    """``asked`` with ``answer``, a struct (value, error) for each query: a failing one has its error as a text, ``Error: ...``, in
+    ``value`` too, and the others go on. The provider is asked query by query."""
+
+    def each(prompts: pd.Series) -> pd.Series:
+        out = []
+        for p in prompts:
+            try:
+                out.append(json.dumps([provider(pd.Series([p])).iloc[0], None]))
+            except Exception as e:  # noqa: BLE001 - one failing query must not end the others
+                out.append(json.dumps([f"Error: {e}", str(e)[:500]]))
+        return pd.Series(out, index=prompts.index)
+
+    replied = enrich(asked, query, "_answer", each)
+    pair = F.from_json("_answer", "array<string>")
+    return replied.withColumn("answer", F.struct(strip_think(pair[0]).alias("value"), pair[1].alias("error"))).drop("_answer", "_answer_error")
+
+
+# Fixed value: where markdown is split, from the strongest boundary down; the last is between any two signs.
+SEPARATORS = ("\n### ", "\n## ", "\n# ", "\n\n", "\n", " ", "")
+
+
+def recursive_pieces(text: str | None, size: int = 600, overlap: int = 60, separators: tuple[str, ...] = SEPARATORS) -> list[str]:
+    """``text`` in pieces of at most ``size`` characters, cut at the strongest separator that occurs; parts that are still too
+    long are cut at weaker ones. Neighbouring parts are joined while they fit, and a piece begins with as many whole parts
+    of the one before as fit ``overlap``. Pieces are stripped, empty ones left out; separators stay at the head of their part."""
+    if not text:
+        return []
+    at = next((i for i, s in enumerate(separators) if s == "" or s in text), len(separators) - 1)
+    mark, weaker = separators[at], separators[at + 1 :]
+    if mark:
+        head, *rest = text.split(mark)
+        parts = [p for p in [head, *(mark + r for r in rest)] if p]
+    else:
+        parts = list(text)
+    out: list[str] = []
+    held: list[str] = []
+    length = 0
+
+    def close() -> None:
+        if piece := "".join(held).strip():
+            out.append(piece)
+
+    for part in parts:
+        if len(part) > size and weaker:
+            close()
+            held, length = [], 0
+            out += recursive_pieces(part, size, overlap, weaker)
+            continue
+        if length + len(part) > size:
+            close()
+            while held and (length > overlap or length + len(part) > size):
+                length -= len(held.pop(0))
+        held.append(part)
+        length += len(part)
+    close()
+    return out
+
+
+def recursive_chunks(texts: DataFrame, source: str, text: str, size: int = 600, overlap: int = 60) -> DataFrame:
+    """(source, idx, text): pieces of each text as by ``recursive_pieces``, numbered from 0. Null and empty texts give none."""
+
+    @F.pandas_udf("array<string>")
+    def pieces(series: pd.Series) -> pd.Series:
+        return series.map(lambda t: recursive_pieces(t, size, overlap))
+
+    return texts.select(source, F.posexplode(pieces(text)).alias("idx", text))
+
+
 def gather(parts: list[DataFrame]) -> DataFrame:
     """Results of several searches as one table."""
     return reduce(DataFrame.unionByName, parts)

@@ -13,8 +13,8 @@ from quernel.functions.text import base_name, extension, ignored, lines, strip
 TREE = "path string, parent_path string, name string, type string, extension string, depth int, truncated boolean, error string"
 
 
-def scan_directory(spark: SparkSession, root: str, max_depth: int | None = None) -> DataFrame:
-    """Nodes of a directory on the driver's disk: ignored names are left out, directories deeper than ``max_depth`` are
+def scan_directory(spark: SparkSession, root: str, max_depth: int | None = None, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """Nodes of a directory on the driver's disk: ignored names, and those of ``ignore``, are left out, directories deeper than ``max_depth`` are
     dropped, ones that can't be read have an ``error``. For folders on shared storage use ``paths_to_tree`` over a listing."""
     from fnmatch import fnmatch
 
@@ -28,7 +28,7 @@ def scan_directory(spark: SparkSession, root: str, max_depth: int | None = None)
             return
         yield path, path.rpartition("/")[0], os.path.basename(folder), "directory", None, depth, False, None
         for name in names:
-            if any(fnmatch(name, p) for p in IGNORED):
+            if any(fnmatch(name, p) for p in (*IGNORED, *ignore)):
                 continue
             full, below = os.path.join(folder, name), f"{path}/{name}" if path else name
             if os.path.isfile(full):
@@ -81,7 +81,7 @@ def tree_text(tree: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def headings(texts: DataFrame, key: str, text: str, fence_aware: bool = False) -> DataFrame:
-    """(key, ord, parent_ord, level, title, raw): the heading tree of each text; the root has ord 0 and level 0.
+    """(key, ord, parent_ord, depth, level, title, raw): the heading tree of each text; the root has ord 0, level and depth 0.
 
     A heading is a line of one to six ``#``, white space and a title; with ``fence_aware`` not inside a code fence.
     Its parent is the last earlier heading of a lower level. ``raw`` is the text up to the next heading, stripped. All in
@@ -111,7 +111,8 @@ def headings(texts: DataFrame, key: str, text: str, fence_aware: bool = False) -
     # levels as a string of digits: the parent is the last earlier digit below the own
     levels = F.transform(F.slice("nodes", F.lit(1), F.col("ord")), lambda x: x["level"])
     parent = F.array_max(F.filter(F.transform(levels, lambda lv, i: F.when(lv < F.col("n.level"), i)), lambda i: i.isNotNull()))
-    return rows.select(key, "ord", parent.alias("parent_ord"), F.col("n.level").alias("level"), F.col("n.title").alias("title"), strip(F.array_join("n.raw", "\n")).alias("raw"))
+    chain = F.aggregate(F.reverse(levels), F.struct(F.col("n.level").alias("level"), F.lit(0).alias("depth")), lambda s, lv: F.when(lv < s["level"], F.struct(lv.alias("level"), (s["depth"] + 1).alias("depth"))).otherwise(s))
+    return rows.select(key, "ord", parent.alias("parent_ord"), chain["depth"].alias("depth"), F.col("n.level").alias("level"), F.col("n.title").alias("title"), strip(F.array_join("n.raw", "\n")).alias("raw"))
 
 
 def outline(headings_: DataFrame, key: str) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernel.session import cut
 
 MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{}`)"
 #: A key's events are cut into stretches of so many windows each, so that one key with much of the rows fills no task.
@@ -65,10 +66,22 @@ def running_cost(events: DataFrame, keys: list[str], time: str, order: list[str]
     return out.withColumn("running_tokens", total).withColumn("running_cost", F.round(total * per_million / 1e6, 9)).select(*events.columns, "running_tokens", "running_cost")
 
 
+def running_sums(rows: DataFrame, keys: list[str], order: list[Column], value: Column, into: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` up to each row, per ``keys`` in a total ``order``. Rows are range-partitioned by keys and
+    order, summed within partitions, and what a key has in earlier partitions is added, so no task gets a whole key."""
+    ranged = cut(rows.withColumn("_value", value).repartitionByRange(*[F.col(k).asc() for k in keys], *order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy(*keys, "_part").agg(F.sum("_value").alias("_sum")).withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    parts = parts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_k_part"), "_before")
+    inside = F.sum("_value").over(Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_part") == F.col("_k_part")]
+    return ranged.withColumn("_inside", inside).join(parts, on).select(*rows.columns, (F.col("_before") + F.col("_inside")).alias(into))
+
+
 def batch_numbers(rows: DataFrame, keys: list[str], order: list[str], size: int = 50) -> DataFrame:
     """``rows`` with ``batch``, from 1, of ``size`` rows each per ``keys``."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("batch", (F.floor((place - 1) / size) + 1).cast("int"))
+    placed = running_sums(rows, keys, [F.col(c).asc() for c in order], F.lit(1), "_place")
+    return placed.withColumn("batch", (F.floor((F.col("_place") - 1) / size) + 1).cast("int")).drop("_place")
 
 
 def batch_count(n: int, size: int = 50) -> int:
@@ -88,8 +101,7 @@ def ends_with_user(turns: DataFrame, conversation: str, turn: str, role: str) ->
 
 def newest_within(turns: DataFrame, conversation: str, turn: str, cost: str, budget: int) -> DataFrame:
     """The newest turns of each conversation whose costs together stay within ``budget``: a running sum from the end."""
-    span = Window.partitionBy(conversation).orderBy(F.desc(turn)).rowsBetween(Window.unboundedPreceding, 0)
-    return turns.withColumn("_sum", F.sum(cost).over(span)).where(F.col("_sum") <= budget).drop("_sum")
+    return running_sums(turns, [conversation], [F.col(turn).desc()], F.col(cost), "_sum").where(F.col("_sum") <= budget).drop("_sum")
 
 
 def fit_conversation(turns: DataFrame, conversation: str, turn: str, role: str, text: str, max_tokens: int) -> DataFrame:

@@ -1,24 +1,30 @@
 """The three lifecycles end to end: metadata out of sources, the knowledge base, generation of pairs.
 
-Every model call is a ``Provider`` (``operators.incremental``); without one an offline stub answers. Stages are
-materialised under a folder, so a run that broke off continues where it was.
+Every model call is a ``Provider`` (``operators.incremental``, ``operators.providers``); without one an offline stub
+answers. Stages are materialised under a folder, so a run that broke off continues where it was.
 
     python -m quernel.pipelines metadata SOURCE OUT [--name N] [--percent P]
-    python -m quernel.pipelines tree SOURCE OUT [--max-depth D]
-    python -m quernel.pipelines wiki TABLES OUT [--mode distributed|monolithic|both] [--force]
-    python -m quernel.pipelines generate TABLES OUT [--task qa|design]
+    python -m quernel.pipelines tree SOURCE OUT [--max-depth D] [--ignore PATTERN ...] [--output text|json]
+    python -m quernel.pipelines score COMPONENTS.json OUT [--top-percent P] [--alpha A] [--beta B] [--gamma G]
+        [--betweenness-samples N] [--betweenness-seed S] [--pagerank-damping D] [--pagerank-iters I] [--print-top-percent P] [--print-top K]
+    python -m quernel.pipelines wiki TABLES OUT [--mode distributed|monolithic|both] [--force] [--no-cache] [--limit N]
+        [--max-level 1|2|3] [--preview-lines N] [--manifest] [--config FILE] [--check]
+    python -m quernel.pipelines generate TABLES OUT [--task qa|design] [--mode reader_searcher|context_print] [--attempts N] [--config FILE]
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quernel.functions import text as T
-from quernel.operators import extraction, fold, graph, incremental, lookups, references, render, retrieval, trees
+from quernel.functions import vocabulary
+from quernel.operators import extraction, fold, graph, incremental, lookups, providers, references, render, retrieval, trees
 from quernel.operators.incremental import Provider, Stages, offline
 from quernel.session import build_session, cut, table
 from quernel.sources import readers, sinks
@@ -27,12 +33,15 @@ TASKS = ("qa", "design")
 # Own wording of the prompts, one per agent.
 PROMPTS = {
     "context": "Sum up this section of a readme in one sentence, knowing its parent.\n\nParent: {parent}\n\n{title}\n\n{raw}",
+    "identity": "Describe the project as JSON with domain, goals, business_terms and module_intents.\n\n{text}",
     "item": "Say in one sentence what this component is for.\n\nSignature: {signature}\nPlace: {location}\n\n{content}",
     "architecture": "Name what stands out in this dependency graph.\n\n{lines}",
     "reader": "Decide what else must be known to explain this component. Answer with INFO_NEED and REQUEST.\n\n{code}",
     "qa": "Write questions and answers about this component.\n\n{code}\n\nContext:\n{context}",
     "design": "Write requirements and solutions this component could come from.\n\n{code}\n\nContext:\n{context}",
 }
+# What a context says where nothing calls a component, and where there is no knowledge base.
+NO_KNOWLEDGE = "Information not found (RAG not initialized)"
 NEVER_CALLED = "This component is never called by any other component."
 
 
@@ -111,13 +120,52 @@ def architecture(components: DataFrame, edges: DataFrame, provider: Provider = o
     return incremental.enrich(prompt, "prompt", "insights", provider)
 
 
-def knowledge(stages: Stages, components: DataFrame, files: DataFrame, provider: Provider = offline, mode: str = "both") -> DataFrame:
-    """The pages of the knowledge base: items, summaries of files and modules, then assembly; each stage is kept."""
-    items = stages.get("items", lambda: items_of(components, provider))
-    summaries = stages.get("files", lambda: incremental.aggregate_levels(items, provider, 2)["files"])
-    modules = stages.get("modules", lambda: incremental.modules_up(summaries, provider))
+def project_context(readmes: DataFrame, provider: Provider = offline) -> DataFrame:
+    """(repo_name, text, card) of each readme (repo_name, text): its headings summed up from the top down, as nested bullets, and
+    the identity card that a model reads out of them."""
+    heads = cut(trees.headings(readmes, "repo_name", "text"))
+    summed = readme_summaries(heads, "repo_name", provider)
+    nodes = heads.select("repo_name", "ord", "depth").join(summed, ["repo_name", "ord"])
+    told = render.context_tree(nodes, ["repo_name"])
+    asked = readmes.select("repo_name").distinct().join(told, "repo_name", "left").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("prompt", fill(PROMPTS["identity"]))
+    replied = incremental.enrich(asked, "prompt", "reply", provider)
+    return replied.select("repo_name", "text", identity_card("reply").alias("card"))
+
+
+def knowledge(stages: Stages, components: DataFrame, files: DataFrame, provider: Provider = offline, mode: str = "both", readmes: DataFrame | None = None, limit: int | None = None, max_level: int = 3) -> DataFrame:
+    """The pages of the knowledge base, in four stages that are kept each: context out of readmes (repo_name, text); items, summaries
+    of files and modules as far as ``max_level``; insights into the graph; assembly.
+
+    Replies of models hold their fields as JSON (``incremental.summary_fields``); those of the offline stub are plain summaries.
+    """
+    if not 1 <= max_level <= 3:
+        raise ValueError("max_level must be 1, 2 or 3")
+    none = components.sparkSession.createDataFrame([], "repo_name string, text string")
+    context = stages.get("context", lambda: project_context(readmes if readmes is not None else none, provider))
+    chosen = incremental.first_items(components, limit, ["repo_name", "id"])
+    items = stages.get("items", lambda: items_of(chosen, provider))
+    plain = provider is offline
+
+    def read(rows: DataFrame, level: str) -> DataFrame:
+        return rows if plain else incremental.summary_fields(rows, f"{level}_summary", level)
+
+    def summaries() -> DataFrame:
+        rows = items if max_level >= 2 else items.limit(0)
+        return read(incremental.summaries_up(rows, ["repo_name", "file"], "business_summary", "file_summary", provider), "file")
+
+    held = stages.get("files", summaries)
+    modules = stages.get("modules", lambda: read(incremental.modules_up(held if max_level >= 3 else held.limit(0), provider), "module"))
+
+    def insights() -> DataFrame:
+        key = F.concat_ws(":", "repo_name", "id")
+        rows = components.select("repo_name", key.alias("id"), "relative_path", F.transform("depends_on", lambda d: F.concat_ws(":", F.col("repo_name"), F.trim(d))).alias("depends_on"))
+        found = architecture(cut(rows), graph.internal_edges(rows), provider)
+        lines = F.filter(F.split(T.strip_think(F.coalesce("insights", F.lit(""))), "\n"), lambda x: F.trim(x) != "")
+        return components.select("repo_name").distinct().crossJoin(F.broadcast(found.select(lines.alias("lines"))))  # one row
+
+    found = stages.get("insights", insights)
     tree = trees.paths_to_tree(files, ["repo_name"], "relative_path")
-    return stages.get(f"pages_{mode}", lambda: render.wiki(tree, modules, summaries, items, mode))
+    return stages.get(f"pages_{mode}", lambda: render.wiki(tree, modules, held, items, mode, context.select("repo_name", "text"), found))
 
 
 def internal_context(components: DataFrame, edges: DataFrame, requests: DataFrame) -> DataFrame:
@@ -135,31 +183,95 @@ def external_context(texts: DataFrame, queries: list[tuple[str, str]], k: int =
     return retrieval.substring_search(chunks, queries, "chunk", "text", k)
 
 
-def constrain(sections: DataFrame, keys: list[str], max_words: int) -> DataFrame:
-    """(keys, section, content): the longest section of each key is cut at its end as far as the words of all exceed
-    ``max_words``."""
-    sized = sections.withColumn("n", T.word_count("content"))
-    total = sized.groupBy(*keys).agg(F.sum("n").alias("total"), F.max_by("section", F.struct("n", "section")).alias("longest"))
-    joined = sized.join(total, keys)
-    over = F.greatest(F.lit(0), F.col("total") - max_words)
-    short = T.truncate_words("content", F.greatest(F.lit(0), F.col("n") - over).cast("int"))
-    return joined.withColumn("content", F.when((F.col("section") == F.col("longest")) & (over > 0), short).otherwise(F.col("content"))).select(*keys, "section", "content")
-
-
-def generate(components: DataFrame, log: DataFrame, task: str = "qa", provider: Provider = offline, max_code_words: int = 10_000) -> DataFrame:
-    """(component_id, task, file_path, dataset_content) of components without a result: constructors are skipped, the
-    reader's request is answered from the components' own dependencies, and the writer is asked once."""
-    if task not in TASKS:
-        raise ValueError(task)
-    work = components.where(T.last_segment("id") != "__init__").select(F.col("id").alias("component_id"), "repo_name", "relative_path", "code", "depends_on")
+def constrain(sections: DataFrame, keys: list[str], max_words: int, whole: list[str] | None = None) -> DataFrame:
+    """``sections`` (keys, section, content and others): the longest section of each key is cut at its end as far as the words of all
+    exceed ``max_words``; sections named in ``whole`` count but aren't cut. Rows of one section are cut from the last ``round``."""
+    more = ["round"] if "round" in sections.columns else []
+    sized = sections.withColumn("_n", T.word_count("content"))
+    per = sized.groupBy(*keys, "section").agg(F.sum("_n").alias("_m"))
+    free = ~F.col("section").isin(whole or [])
+    total = per.groupBy(*keys).agg(F.sum("_m").alias("_total"), F.max_by(F.when(free, F.col("section")), F.when(free, F.struct("_m", "section"))).alias("_longest"))
+    later = Window.partitionBy(*keys, "section").orderBy(*[F.desc(c) for c in more], F.desc("_n")).rowsBetween(Window.unboundedPreceding, -1)
+    joined = sized.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0))).join(total, keys)
+    over = F.greatest(F.lit(0), F.col("_total") - max_words - F.col("_later"))
+    short = T.truncate_words("content", F.greatest(F.lit(0), F.col("_n") - over).cast("int"))
+    return joined.withColumn("content", F.when((F.col("section") == F.col("_longest")) & (over > 0), short).otherwise(F.col("content"))).select(*sections.columns)
+
+
+MODES = (None, "reader_searcher", "context_print")
+
+
+def searched(asked: DataFrame, components: DataFrame, knowledge_base: Provider | None = None) -> DataFrame:
+    """(component_id, section, content) for the requests in ``reading`` of ``asked``: code of the requested dependencies, code of the callers
+    where they are asked for (or that there are none), and an answer to each query, errors as text."""
+    wanted = T.request("reading")
+    code = components.select(F.col("id").alias("dst"), F.col("code").alias("dst_code"))
+    names = F.array(*[F.struct(F.lit(k).alias("kind"), wanted[f].alias("names")) for k, f in (("class", "classes"), ("function", "functions"), ("method", "methods"))])
+    requests = asked.select(F.col("component_id").alias("id"), F.explode(names).alias("n")).select("id", "n.kind", F.posexplode("n.names").alias("pos", "req"))
+    deps = asked.select(F.col("component_id").alias("id"), F.posexplode("depends_on").alias("ord", "dst")).select("id", "ord", "dst", T.request_route("dst").alias("kind"))
+    got = lookups.requested(requests, deps).join(code, "dst", "left").select(F.col("id").alias("component_id"), "req", "dst", F.coalesce("dst_code", F.lit("")).alias("dst_code"))
+    inside = got.groupBy("component_id").agg(render.lines_by(["req", "dst"], F.concat(F.lit("# "), "dst", F.lit("\n"), "dst_code"), "\n\n").alias("content")).select("component_id", F.lit("INTERNAL_INFO").alias("section"), "content")
+    edges = components.select(F.col("id").alias("src"), F.explode("depends_on").alias("dst"))
+    users = graph.callers(edges, asked.where(wanted["call_by"]).select(F.col("component_id").alias("id")))
+    users = users.join(components.select(F.col("id").alias("caller"), "code"), "caller").groupBy("id").agg(render.lines_by(["caller"], F.concat(F.lit("# "), "caller", F.lit("\n"), F.coalesce("code", F.lit(""))), "\n\n").alias("content"))
+    called = asked.where(wanted["call_by"]).select("component_id").join(users.withColumnRenamed("id", "component_id"), "component_id", "left")
+    called = called.select("component_id", F.lit("CALLED_BY").alias("section"), F.coalesce("content", F.lit(NEVER_CALLED)).alias("content"))
+    queries = asked.select("component_id", F.posexplode(wanted["queries"]).alias("n", "query"))
+    if knowledge_base is None:
+        answers = queries.withColumn("value", F.lit(NO_KNOWLEDGE))
+    else:
+        answers = retrieval.answer_each(queries, "query", knowledge_base).withColumn("value", F.col("answer.value"))
+    outside = answers.groupBy("component_id").agg(render.lines_by(["n"], F.concat("query", F.lit("\n"), F.coalesce("value", F.lit(""))), "\n\n").alias("content"))
+    return retrieval.gather([inside, called, outside.select("component_id", F.lit("EXTERNAL_INFO").alias("section"), "content")])
+
+
+def generate(
+    components: DataFrame, log: DataFrame, task: str = "qa", provider: Provider = offline, max_code_tokens: int = 10_000, attempts: int = 1, mode: str | None = None,
+    knowledge_base: Provider | None = None, max_input_words: int = 10_000, log_to: str | None = None,
+) -> DataFrame:
+    """(component_id, task, file_path, dataset_content, error) of components without a result; constructors are skipped.
+
+    The reader is asked what else it must know; what it asks for is searched and appended to the context, up to ``attempts``
+    times for components that still need something, and then the writer is asked once. A context with the code is held to ``max_input_words`` by
+    cutting its longest section. A call that fails leaves its component a row with ``error`` and no content. ``mode``
+    ``reader_searcher`` gives the reader's last reply instead, ``context_print`` the context. With ``log_to`` every reply is appended there.
+    """
+    if task not in TASKS or mode not in MODES:
+        raise ValueError((task, mode))
+    encoder = vocabulary.Encoder(components.sparkSession) if os.path.exists(vocabulary.vocabulary_path()) else None
+    work = components.where(T.last_segment("id") != "__init__").select(F.col("id").alias("component_id"), "repo_name", "relative_path", "code", T.as_list("depends_on").alias("depends_on"))
     work = incremental.resume(work, log.where(F.col("task") == task).select("component_id"), "component_id")
-    work = work.withColumn("code", T.truncate_words("code", max_code_words)).withColumn("reader_prompt", fill(PROMPTS["reader"]))
-    read = incremental.enrich(work, "reader_prompt", "reading", provider)
-    asked = T.request("reading")
-    wanted = F.filter("depends_on", lambda d: F.exists(F.concat(asked["classes"], asked["functions"], asked["methods"]), lambda r: F.contains(d, r)))
-    context = F.when(T.needs_info("reading"), F.array_join(T.as_list(wanted), "\n")).otherwise("")
-    written = incremental.enrich(read.withColumn("context", context).withColumn("writer_prompt", fill(PROMPTS[task])), "writer_prompt", "dataset_content", provider)
-    return written.select("component_id", F.lit(task).alias("task"), F.col("relative_path").alias("file_path"), T.strip_think("dataset_content").alias("dataset_content"))
+    short = vocabulary.truncate_tokens(encoder, "code", max_code_tokens) if encoder else T.truncate_words("code", int(max_code_tokens / 1.3))
+    state = cut(work.withColumn("code", short).withColumn("context", F.lit("")).withColumn("reading", F.lit(None).cast("string")).withColumn("failed", F.lit(None).cast("string")).withColumn("open", F.lit(True)))
+    sections = None
+
+    def logged(rows: DataFrame, agent: str, content: str) -> None:
+        if log_to:
+            sinks.log_replies(rows.select("component_id", F.col(content).alias("content")), log_to, agent)
+
+    for attempt in range(attempts + 1):
+        asked = state.where("open").withColumn("reader_prompt", F.concat(fill(PROMPTS["reader"]), F.when(F.col("context") != "", F.concat(F.lit("\n\nContext:\n"), "context")).otherwise("")))
+        read = incremental.enrich(asked.drop("reading"), "reader_prompt", "reading", provider)
+        read = cut(read.withColumn("failed", F.col("reading_error")).withColumn("open", F.coalesce(T.needs_info("reading"), F.lit(False))).select(*state.columns))
+        logged(read, "reader", "reading")
+        if attempt == attempts or read.where("open").isEmpty():
+            state = state.where("not open").unionByName(read)
+            break
+        found = cut(searched(read.where("open"), components, knowledge_base).withColumn("round", F.lit(attempt)))
+        logged(found, "searcher", "content")
+        sections = found if sections is None else sections.unionByName(found)
+        sized = read.where("open").select("component_id", F.lit("CODE").alias("section"), F.col("code").alias("content"), F.lit(-1).alias("round"))
+        held = constrain(sections.unionByName(sized), ["component_id"], max_input_words, ["CODE"]).where("section <> 'CODE'")
+        told = render.context_sections(held, ["component_id"]).withColumnRenamed("text", "_told")
+        newer = read.join(told, "component_id", "left").withColumn("context", F.coalesce("_told", "context")).select(*state.columns)
+        state = cut(state.where("not open").unionByName(newer))
+    result = ["component_id", F.lit(task).alias("task"), F.col("relative_path").alias("file_path")]
+    if mode:
+        return state.select(*result, F.col("reading" if mode == "reader_searcher" else "context").alias("dataset_content"), F.col("failed").alias("error"))
+    written = incremental.enrich(state.where("failed is null").withColumn("writer_prompt", fill(PROMPTS[task])), "writer_prompt", "dataset_content", provider)
+    written = cut(written.select(*result, T.strip_think("dataset_content").alias("dataset_content"), F.col("dataset_content_error").alias("error")))
+    logged(written, "writer", "dataset_content")
+    return written.unionByName(state.where("failed is not null").select(*result, F.lit(None).cast("string").alias("dataset_content"), F.col("failed").alias("error")))
 
 
 def keep_flagged(texts: DataFrame, text: str, flag: str, provider: Provider = offline, head: int = 1000) -> DataFrame:
@@ -169,33 +281,86 @@ def keep_flagged(texts: DataFrame, text: str, flag: str, provider: Provider = of
     return replied.where(F.contains(F.lower("_reply"), F.lit(f'"{flag}": true'))).select(*texts.columns)
 
 
-def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
+def score(components: DataFrame, percent: float = 100, **weights) -> DataFrame:
+    """The best ``percent`` of components (id, depends_on, ...) with ``score`` and ``place``; ``weights`` as in ``graph.influence``."""
+    nodes, edges = graph_of(components)
+    scored = cut(graph.influence(cut(nodes), cut(edges), **weights))
+    return graph.selected(components, graph.top_percent(scored, percent)).join(scored.select("id", "score"), "id")
+
+
+def _options() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="quernel")
     commands = parser.add_subparsers(dest="command", required=True)
-    for name, options in {"metadata": ("name", "percent"), "tree": ("max-depth",), "wiki": ("mode", "force"), "generate": ("task",)}.items():
-        one = commands.add_parser(name)
-        one.add_argument("source")
-        one.add_argument("out")
-        for o in options:
-            if o == "force":
-                one.add_argument("--force", action="store_true")
-            else:
-                one.add_argument(f"--{o}", **{"name": {"default": "repository"}, "percent": {"type": float, "default": 100.0}, "max-depth": {"type": int}, "mode": {"choices": render.MODES, "default": "both"}, "task": {"choices": TASKS, "default": "qa"}}[o])
-    a = parser.parse_args(args)
+    made = {}
+    for name in ("metadata", "tree", "score", "wiki", "generate"):
+        made[name] = commands.add_parser(name)
+        made[name].add_argument("source")
+        made[name].add_argument("out")
+    made["metadata"].add_argument("--name", default="repository")
+    made["metadata"].add_argument("--percent", type=float, default=100.0)
+    made["tree"].add_argument("--max-depth", type=int)
+    made["tree"].add_argument("--ignore", nargs="+", default=[], help="further patterns to leave out")
+    made["tree"].add_argument("--output", choices=("text", "json", "table"), default="table")
+    for option, default in (("top-percent", 100.0), ("alpha", 1.0), ("beta", 1.0), ("gamma", 1.0), ("pagerank-damping", 0.85), ("print-top-percent", 0.0)):
+        made["score"].add_argument(f"--{option}", type=float, default=default)
+    for option, default in (("betweenness-samples", 200), ("betweenness-seed", 0), ("pagerank-iters", 50), ("print-top", None)):
+        made["score"].add_argument(f"--{option}", type=int, default=default)
+    made["wiki"].add_argument("--mode", choices=render.MODES, default="both")
+    made["wiki"].add_argument("--limit", type=int, help="only so many items, in the order of repository and id")
+    made["wiki"].add_argument("--max-level", type=int, default=3, choices=(1, 2, 3))
+    made["wiki"].add_argument("--preview-lines", type=int, default=0)
+    for option in ("force", "no-cache", "manifest", "check"):
+        made["wiki"].add_argument(f"--{option}", action="store_true")
+    made["generate"].add_argument("--task", choices=TASKS, default="qa")
+    made["generate"].add_argument("--mode", choices=MODES[1:])
+    made["generate"].add_argument("--attempts", type=int, default=1)
+    for name in ("wiki", "generate"):
+        made[name].add_argument("--config", help="settings of the model; without one the offline stub answers")
+    return parser
+
+
+def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    a = _options().parse_args(args)
     spark = spark or build_session()
     if a.command == "metadata":
         for name, df in metadata(readers.repository(spark, a.source, a.name), a.percent).items():
             sinks.replace_rows(df, f"{a.out}/{name}")
-    elif a.command == "tree":
-        sinks.replace_rows(trees.scan_directory(spark, a.source, a.max_depth), a.out)
+        return 0
+    if a.command == "tree":
+        found = trees.scan_directory(spark, a.source, a.max_depth, tuple(a.ignore))
+        if a.output == "text":
+            found = trees.tree_text(found.where("depth > 0").withColumn("repo_name", F.lit("")), ["repo_name"]).select(F.col("text").alias("value"))
+        sinks.replace_rows(found, a.out, {"table": "parquet"}.get(a.output, a.output))
+        return 0
+    if a.command == "score":
+        weights = {"alpha": a.alpha, "beta": a.beta, "gamma": a.gamma, "samples": a.betweenness_samples or None, "seed": a.betweenness_seed, "damping": a.pagerank_damping, "rounds": a.pagerank_iters}
+        rows = readers.component_map(spark, a.source)
+        best = cut(score(rows, a.top_percent, **weights))
+        sinks.write_component_object(best.select(*rows.columns), a.out)
+        n = rows.count()
+        shown = a.print_top if a.print_top is not None else -(-int(n * min(a.print_top_percent, a.top_percent) * 1000) // 100_000)
+        for r in best.orderBy("place").limit(shown).collect():  # as many as the user asked to see
+            print(f"{r.place}\t{r.id}\t{r.score:.6f}")
+        return 0
+    settings = readers.config(a.config) if a.config else {}
+    provider = providers.create(settings.get("llm") or {})
+    if a.command == "wiki" and a.check:
+        provider(pd.Series(["ping"]))  # raises where no model answers
+    rows = references.newest(table(spark, a.source, "dependency_graph"), ["repo_name", "id"], ["component_type", "file_path", "relative_path", "depends_on", "start_line", "end_line", "has_docstring", "docstring"], "scan_time", "ingested_at")
+    files = table(spark, a.source, "source_files").select("repo_name", "relative_path", "content").distinct()
+    if a.command == "wiki":
+        readme = files.where(F.lower(T.base_name("relative_path")).startswith("readme")).groupBy("repo_name").agg(F.min_by("content", F.struct(F.length("relative_path"), "relative_path")).alias("text"))
+        pages = knowledge(Stages(spark, f"{a.out}/_stages", a.force or a.no_cache), rows, files, provider, a.mode, readme, a.limit, a.max_level)
+        sinks.replace_pages(pages, f"{a.out}/pages", a.mode)
+        if a.manifest:
+            sinks.replace_rows(sinks.manifest(pages), f"{a.out}/manifest", "json")
+        if a.preview_lines:
+            pages.where("path = 'INDEX.md'").select("repo_name", sinks.preview("content", a.preview_lines).alias("head")).orderBy("repo_name").show(40, False)
     else:
-        rows = references.newest(table(spark, a.source, "dependency_graph"), ["repo_name", "id"], ["component_type", "file_path", "relative_path", "depends_on", "start_line", "end_line", "has_docstring", "docstring"], "scan_time", "ingested_at")
-        files = table(spark, a.source, "source_files").select("repo_name", "relative_path", "content").distinct()
-        if a.command == "wiki":
-            sinks.replace_rows(knowledge(Stages(spark, f"{a.out}/_stages", a.force), rows, files, mode=a.mode), f"{a.out}/pages")
-        else:
-            code = lookups.source_of(rows, files, ["repo_name", "relative_path"]).withColumn("code", T.line_slice("content", "start_line", "end_line"))
-            sinks.append_rows(generate(code, table(spark, a.source, "agent_log").where("agent = 'writer'"), a.task), f"{a.out}/{a.task}")
+        code = lookups.source_of(rows, files, ["repo_name", "relative_path"]).withColumn("code", T.line_slice("content", "start_line", "end_line"))
+        made = generate(code, table(spark, a.source, "agent_log").where("agent = 'writer'"), a.task, provider, attempts=a.attempts, mode=a.mode, log_to=f"{a.out}/log")
+        sinks.append_rows(made.where("dataset_content is not null and error is null").drop("error"), f"{a.out}/{a.task}")
+        sinks.append_rows(made.where("error is not null"), f"{a.out}/errors")
     return 0
 
 

@@ -41,6 +41,9 @@ attr as (
 """
 
 
+SLICED = CURRENT + ", f as (select distinct repo_name, relative_path, content from source_files)"
+
+
 def all_deps(rows: DataFrame) -> DataFrame:
     """(repo_name, src, dst, target) of every entry that isn't blank."""
     entries = rows.select("repo_name", F.col("key").alias("src"), F.explode("depends_on").alias("target")).withColumn("target", F.trim("target")).where("target <> ''")
@@ -334,6 +337,34 @@ def callers_of(spark, folder):
     return graph.callers(edges, current(spark, folder).where("component_type = 'class'").select(F.col("key").alias("id")))
 
 
+@R.add("callers_with_code", SLICED + ", code as (select c.key, md5(case when start_line > 0 and end_line >= start_line then array_to_string(list_slice(string_split(replace(content, chr(13) || chr(10), chr(10)), chr(10)), start_line, end_line), chr(10)) end) as code_md5 from cur c left join f on f.repo_name = c.repo_name and f.relative_path = c.relative_path) select dst as id, src as caller, code_md5 from edges join code on code.key = src where dst in (select key from cur where component_type = 'class')")
+def callers_with_code(spark, folder):
+    """Who uses each class, with code (GR14)."""
+    return callers_of(spark, folder).join(source_slices(spark, folder).withColumnRenamed("id", "caller"), "caller")
+
+
+@R.add("plain_hub_lines", DEGREES + "select cast(row_number() over (order by in_degree desc, out_degree desc, id desc) as integer) as place, '- ' || id || ' (in=' || in_degree || ' out=' || out_degree || ')' as line from deg order by 1 limit 50")
+def plain_hub_lines(spark, folder):
+    """Hubs of a graph of plain ids (FIL15)."""
+    return fold.plain_hubs(*nodes_edges(spark, folder))
+
+
+@R.add(
+    "code_signatures",
+    SLICED
+    + """, s as (select c.key as id, component_type = 'class' as is_class, regexp_replace(split_part(array_to_string(list_slice(string_split(replace(content, chr(13) || chr(10), chr(10)), chr(10)), start_line, end_line), chr(10)), chr(10), 1), '^\\s+|\\s+$', '', 'g') as line
+  from cur c join f on f.repo_name = c.repo_name and f.relative_path = c.relative_path where start_line > 0 and end_line >= start_line and content is not null),
+e as (select *, coalesce(list_filter(range(1, length(line) + 1), lambda i: substring(line, i, 1) = ')' and len(string_split(left(line, i), '(')) = len(string_split(left(line, i), ')')))[1], 0) as closing from s),
+p as (select *, case when closing = 0 then 0 else position(':' in substring(line, closing)) end as colon from e)
+select id, case when is_class or colon = 0 then line else left(line, closing + colon - 1) end as signature from p""",
+)
+def code_signatures(spark, folder):
+    """The signature in the first line of each component's code (STR07)."""
+    files = table(spark, folder, "source_files").select("repo_name", "relative_path", "content").where("content is not null").distinct()
+    rows = current(spark, folder).join(files, ["repo_name", "relative_path"]).withColumn("code", T.line_slice("content", "start_line", "end_line")).where("code is not null")
+    return rows.select(F.col("key").alias("id"), T.code_signature("code", F.coalesce(F.col("component_type") == "class", F.lit(False))).alias("signature"))
+
+
 @R.add("type_counts", CURRENT + "select t.component_type, coalesce(n, 0) as n from (values ('class'), ('function'), ('method')) t(component_type) left join (select component_type, count(*) as n from cur group by 1) c using (component_type)")
 def type_counts(spark, folder):
     """Three fixed kinds, also those without rows (AGG13)."""
@@ -388,9 +419,6 @@ def worked_components(spark, folder):
     return current(spark, folder).where(T.last_segment("id") != "__init__").select(F.col("key").alias("id"))
 
 
-SLICED = CURRENT + ", f as (select distinct repo_name, relative_path, content from source_files)"
-
-
 @R.add("source_slices", SLICED + """select c.key as id, md5(case when start_line > 0 and end_line >= start_line then array_to_string(list_slice(string_split(replace(content, chr(13) || chr(10), chr(10)), chr(10)), start_line, end_line), chr(10)) end) as code_md5
 from cur c left join f on f.repo_name = c.repo_name and f.relative_path = c.relative_path""")
 def source_slices(spark, folder):
@@ -668,7 +696,10 @@ def file_counts(spark, folder):
     return trees.count_files(tree_nodes(spark, folder), ["repo_name"])
 
 
-@R.add("index_pages", TREE + " select repo_name, 'INDEX.md' as path, '# Index' || chr(10) || chr(10) || string_agg('- [' || path || '](pages/file/' || path || '.md)', chr(10) order by path) || chr(10) || chr(10) || '- [Architecture](ARCHITECTURE.md)' || chr(10) || '- [Context](CONTEXT.md)' as content from f group by 1")
+INDEX = "select repo_name, 'INDEX.md' as path, '# Repo Wiki' || chr(10) || chr(10) || '## Pages' || chr(10) || chr(10) || string_agg('- [' || path || '](pages/file/' || path || '.md)', chr(10) order by replace(path, '/', chr(1))) || chr(10) || chr(10) || '- [Architecture](ARCHITECTURE.md)' || chr(10) || '- [Context](CONTEXT.md)' || chr(10) as content"
+
+
+@R.add("index_pages", TREE + INDEX + " from f group by 1")
 def index_pages(spark, folder):
     return render.index_page(tree_nodes(spark, folder))
 
@@ -686,7 +717,6 @@ ms as (select repo_name, module, min(module_summary) as module_summary from stag
 fs as (select repo_name, file, min(file_summary) as file_summary from stage_b_file_summaries group by all),
 its as (select repo_name, location as file, string_agg('- `' || signature || '`: ' || coalesce(business_summary, ''), chr(10) order by signature, business_summary nulls first) as body from (select distinct * from stage_b_function_items) group by all),
 dirs as (select repo_name, parent_path as module, string_agg('- [' || name || target, chr(10) order by name, target) as body from link where parent_path <> '' group by 1, 2),
-index_ as (select repo_name, 'INDEX.md' as path, '# Index' || chr(10) || chr(10) || string_agg('- [' || path || target, chr(10) order by path) || chr(10) || chr(10) || '- [Architecture](ARCHITECTURE.md)' || chr(10) || '- [Context](CONTEXT.md)' as content from link where type = 'file' group by 1),
 dir_pages as (select d.repo_name, 'pages/dir/' || module || '.md' as path, '# ' || module || chr(10) || chr(10) || coalesce(nullif(module_summary, ''), '(no module summary)') || chr(10) || chr(10) || body as content from dirs d left join ms using (repo_name, module)),
 file_pages as (select l.repo_name, 'pages/file/' || l.path || '.md' as path, '# ' || l.path || chr(10) || chr(10) || coalesce(nullif(file_summary, ''), '(no file summary)') || coalesce(chr(10) || chr(10) || body, '') as content
   from link l left join fs on fs.repo_name = l.repo_name and fs.file = l.path left join its on its.repo_name = l.repo_name and its.file = l.path where type = 'file')
@@ -710,11 +740,27 @@ def file_pages(spark, folder):
 
 @R.add(
     "whole_wiki",
-    PAGES + """select repo_name, 'WIKI.md' as path, string_agg(content, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by path, content) as content from (select * from index_ union all select * from dir_pages union all select * from file_pages) group by 1""",
+    PAGES
+    + """, ds as (select repo_name, path, split_part(path, '/', 1) as module from t where type = 'directory' union all select distinct repo_name, '', '(root)' from t),
+fsum as (select repo_name, file, min(struct_pack(a := file_summary, b := workflows)) as s from stage_b_file_summaries group by all),
+one as (select repo_name, location as path, signature, business_summary, '#### ' || coalesce(signature, '(unknown)') || chr(10) || chr(10) || trim(coalesce(business_summary, ''), chr(32) || chr(9) || chr(10) || chr(13))
+  || case when len(business_rules) > 0 then chr(10) || chr(10) || 'Business Rules' || chr(10) || '- ' || array_to_string(business_rules, chr(10) || '- ') else '' end
+  || case when len(key_terms) > 0 then chr(10) || chr(10) || 'Key Terms' || chr(10) || '- ' || array_to_string(key_terms, chr(10) || '- ') else '' end as line from (select distinct * from stage_b_function_items)),
+pf as (select repo_name, path, string_agg(line, chr(10) order by signature, business_summary nulls first, line) as body from one group by all),
+blocks as (
+  select repo_name, path, '## Directory: ' || case when path = '' then '(root)' else path end || case when coalesce(module_summary, '') <> '' then chr(10) || chr(10) || trim(module_summary, chr(32) || chr(9) || chr(10) || chr(13)) else '' end || chr(10) as block from ds left join ms using (repo_name, module)
+  union all
+  select t.repo_name, t.path, '## File: ' || t.path || chr(10) || chr(10) || coalesce(nullif(fsum.s.a, ''), '(no file summary)') || case when len(fsum.s.b) > 0 then chr(10) || chr(10) || '### Workflows' || chr(10) || '- ' || array_to_string(fsum.s.b, chr(10) || '- ') else '' end
+    || coalesce(chr(10) || chr(10) || '### Functions / Methods' || chr(10) || body, '') || chr(10) from t left join fsum on fsum.repo_name = t.repo_name and fsum.file = t.path left join pf on pf.repo_name = t.repo_name and pf.path = t.path where type = 'file')
+select repo_name, 'WIKI.md' as path, rtrim('# Repo Wiki' || chr(10) || chr(10) || '## Project Context' || chr(10) || chr(10) || chr(10) || chr(10) || '## Architecture Insights' || chr(10) || chr(10) || '- (architecture_insights unavailable)' || chr(10) || chr(10) || '## Reference' || chr(10) || chr(10)
+  || string_agg(block, chr(10) order by replace(path, '/', chr(1)), block), chr(10)) || chr(10) as content from blocks group by 1""",
 )
 def whole_wiki(spark, folder):
     """One page per repository (RND01, RND05)."""
-    return render.wiki(*_wiki_parts(spark, folder), mode="monolithic")
+    tree, modules, _, _ = _wiki_parts(spark, folder)
+    files = table(spark, folder, "stage_b_file_summaries").groupBy("repo_name", "file").agg(F.min(F.struct("file_summary", "workflows")).alias("s")).select("repo_name", "file", "s.*")
+    items = table(spark, folder, "stage_b_function_items").distinct().withColumn("file", F.col("location"))
+    return render.wiki(tree, modules, files, items, mode="monolithic")
 
 
 def _summed_up(name: str, source: str, keys: str, signature: str, text: str, into: str) -> str:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quernel.functions import text as T
-from quernel.operators import lookups, retrieval, trees, windows
+from quernel.functions import vocabulary
+from quernel.operators import incremental, lookups, providers, render, retrieval, trees, windows
 from quernel.plans.registry import Registry
 from quernel.session import checkpoint_dir, table
 from quernel.sources import readers, sinks
@@ -24,6 +25,13 @@ def docs(spark, folder):
     return table(spark, folder, "documents").select("doc_id", "text")
 
 
+TURNS = "(select distinct repo_name, log_id, agent, content from agent_log)"
+
+
+def turns(spark, folder):
+    return table(spark, folder, "agent_log").select("repo_name", "log_id", "agent", "content").distinct()
+
+
 @R.add("normalize_ws", f"select doc_id, {NORMAL} as clean from documents")
 def normalize_ws(spark, folder):
     """STR02."""
@@ -148,7 +156,11 @@ n as (select doc_id, cast(ord as integer) as ord, cast(level as integer) as leve
 """
 
 
-@R.add("headings", HEADINGS + "select n.*, (select max(p.ord) from n p where p.doc_id = n.doc_id and p.ord < n.ord and p.level < n.level) as parent_ord from n")
+#: How many headings stand above each: those of a lower level than all between.
+DEPTHS = "(select count(*) from n p where p.doc_id = n.doc_id and p.ord < n.ord and p.level < (select min(m.level) from n m where m.doc_id = n.doc_id and m.ord > p.ord and m.ord <= n.ord))"
+
+
+@R.add("headings", HEADINGS + f"select n.*, (select max(p.ord) from n p where p.doc_id = n.doc_id and p.ord < n.ord and p.level < n.level) as parent_ord, cast({DEPTHS} as integer) as depth from n")
 def headings(spark, folder):
     """Heading trees of documents (MD01)."""
     return trees.headings(docs(spark, folder), "doc_id", "text")
@@ -168,6 +180,79 @@ def outlines(spark, folder):
     return trees.outline(headings(spark, folder), "doc_id")
 
 
+@R.add(
+    "context_outlines",
+    HEADINGS
+    + f""", d as (select *, {DEPTHS} as depth, list_filter(list_transform(string_split(raw, chr(10)), lambda x: regexp_replace(x, '{WS}+$', '')), lambda x: regexp_matches(x, '[^' || substr('{WS}', 2))) as own from n),
+shown as (select doc_id, ord, repeat('  ', cast(depth - 1 as integer)) || '- **' || title || '**' || case len(own) when 0 then '' when 1 then ': ' || own[1] else ':' || array_to_string(list_transform(own, lambda x: chr(10) || repeat('  ', cast(depth as integer)) || x), '') end as line from d where depth > 0 and title <> '')
+select doc_id, string_agg(line, chr(10) order by ord) as text from shown group by 1""",
+)
+def context_outlines(spark, folder):
+    """Heading trees with their texts as nested bullets (MD03)."""
+    return render.context_tree(headings(spark, folder).withColumnRenamed("raw", "summary"), ["doc_id"])
+
+
+@R.add("recursive_chunks", None)
+def recursive_chunks(spark, folder):
+    """Documents split at the strongest separators (CHK02); tested on fixtures."""
+    return retrieval.recursive_chunks(docs(spark, folder), "doc_id", "text")
+
+
+@R.add("vocabulary_tokens", None)
+def vocabulary_tokens(spark, folder):
+    """Tokens of a public vocabulary and the text of the first hundred (TOK01, TOK02, TOK06); tested against the tokenizer."""
+    encoder = vocabulary.Encoder(spark)
+    return docs(spark, folder).select("doc_id", vocabulary.token_count(encoder, "text").alias("tokens"), vocabulary.truncate_tokens(encoder, "text", 100).alias("head"))
+
+
+@R.add(
+    "relevant_or_whole",
+    f"""with w as (select doc_id, text, {NORMAL} as c from documents where text is not null), s as (select *, case when c = '' then 0 else len(string_split(c, ' ')) end * 1.3::double <= 60 as fits from w),
+k as (select doc_id, i, substring(text, i * 180 + 1, 200) as piece from (select doc_id, text, unnest(range(0, 1 + greatest(0, ceil((length(text) - 200) / 180.0))::bigint)) as i from s where not fits and length(text) > 0)),
+p as (select doc_id, i, regexp_replace(piece, '^{WS}+|{WS}+$', '', 'g') as piece from k), q(n, q) as (values (0, 'rows'), (1, 'checks')),
+h as (select doc_id, i, piece, n, (length(lower(piece)) - length(replace(lower(piece), q, ''))) / length(q) as hits from p, q),
+r as (select *, row_number() over (partition by doc_id, n order by hits desc, i) as place from h where hits > 0),
+f as (select *, row_number() over (partition by doc_id, piece order by n, place) as first from r where place <= 2),
+b as (select *, coalesce(sum(length(piece)) over (partition by doc_id order by n, place rows between unbounded preceding and 1 preceding), 0) as before from f where first = 1),
+found as (select doc_id, string_agg(piece, chr(10) || chr(10) order by n, place) as text from b where before < 512 group by 1)
+select doc_id, text from s where fits union all select * from found
+union all select doc_id, case when len(string_split(c, ' ')) <= 46 then text else array_to_string(list_slice(string_split(c, ' '), 1, 46), ' ') end from s where not fits and doc_id not in (select doc_id from found)""",
+)
+def relevant_or_whole(spark, folder):
+    """Short texts whole, of long ones what two queries find, else their beginning (RET08)."""
+    return retrieval.relevant_or_whole(docs(spark, folder).where("text is not null"), [("rows", "rows"), ("checks", "checks")], "doc_id", "text", 2, 60, 200, 20)
+
+
+@R.add(
+    "role_prompts",
+    f"""select repo_name, string_agg(case when agent = 'writer' then 'Assistant: ' when agent = 'reader' then 'System: ' else 'Human: ' end || coalesce(content, ''), chr(10) order by log_id) filter (where agent <> 'verifier') || chr(10) || 'Assistant: ' as prompt from {TURNS} group by 1""",
+)
+def role_prompts(spark, folder):
+    """Conversations as prompts of models without roles (STR15)."""
+    role = F.when(F.col("agent") == "writer", "ai").when(F.col("agent") == "reader", "system").when(F.col("agent") == "verifier", "tool").otherwise("human")
+    return providers.prompts_of(turns(spark, folder).withColumn("role", role), "repo_name", "log_id")
+
+
+@R.add(
+    "summary_fields",
+    """with s as (select distinct * from stage_b_file_summaries)
+select repo_name, file, case when md5(file) < '2' then '(file summary unavailable)' else coalesce(nullif(file_summary, ''), '(no file summary)') end as file_summary,
+  case when md5(file) < '2' then [] else coalesce(key_terms, []) end as key_terms, case when md5(file) < '2' then [] else coalesce(workflows, []) end as workflows from s""",
+)
+def summary_fields(spark, folder):
+    """Summaries out of replies that hold their fields as JSON, some of them broken (AGG10, UDF07)."""
+    rows = table(spark, folder, "stage_b_file_summaries").distinct()
+    body = F.to_json(F.struct("file_summary", "key_terms", "workflows"), {"ignoreNullFields": "false"})
+    reply = F.concat(F.lit("Here it is:\n```json\n"), F.when(F.md5("file") < "2", F.lit("{broken")).otherwise(body), F.lit("\n```"))
+    return incremental.summary_fields(rows.select("repo_name", "file", reply.alias("reply")), "reply", "file")
+
+
+@R.add("limited_items", "select distinct item_id from stage_b_function_items order by item_id limit 50")
+def limited_items(spark, folder):
+    """The first items of a run, as many as its user asks for (FIL11)."""
+    return incremental.first_items(table(spark, folder, "stage_b_function_items").select("item_id").distinct(), 50, ["item_id"])
+
+
 @R.add("substring_topk", """with q(query_id, q) as (values ('a', 'tide'), ('b', 'the voucher pool'), ('c', 'lagerfach')),
 s as (select query_id, doc_id, cast((length(lower(text)) - length(replace(lower(text), q, ''))) / length(q) as integer) as hits from documents, q where text is not null),
 r as (select *, row_number() over (partition by query_id order by hits desc, doc_id) as place from s where hits > 0) select query_id, doc_id, hits, place from r where place <= 4""")
@@ -258,13 +343,6 @@ def batch_numbers(spark, folder):
     return windows.batch_numbers(rows, ["repo_name"], ["item_id"])
 
 
-TURNS = "(select distinct repo_name, log_id, agent, content from agent_log)"
-
-
-def turns(spark, folder):
-    return table(spark, folder, "agent_log").select("repo_name", "log_id", "agent", "content").distinct()
-
-
 @R.add("role_collapse", f"select repo_name, log_id, agent from (select *, lag(agent) over (partition by repo_name order by log_id) as b from {TURNS}) where b is null or b <> agent")
 def role_collapse(spark, folder):
     """WIN11."""

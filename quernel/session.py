@@ -43,9 +43,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint, so lost executors cost no recomputation."""
+    """``df`` with its lineage cut by a reliable checkpoint, so lost executors cost no recomputation.
+
+    A checkpoint keeps the planner's estimate of its size. Where joins follow each other in a loop, estimates multiply until
+    planning takes longer than the work; one beyond any real size is dropped."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    if int(str(done._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())).bit_length() > 50:
+        bare = df.sparkSession._jsparkSession.internalCreateDataFrame(done._jdf.queryExecution().toRdd(), done._jdf.schema(), False)
+        done = DataFrame(bare, df.sparkSession)
+    return done
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -144,6 +144,12 @@ def test_breaking_by_halving():
     assert len(graph._strong(left)) == len(set(graph._strong(left).values()))
 
 
+def test_large_cycles_are_broken_in_rounds(spark):
+    edges = random_edges(2, 6, 12)
+    nodes, e = tables(spark, edges)
+    assert {tuple(r) for r in graph.break_cycles(nodes, e, one_task_edges=3).collect()} == plain_breaking(edges)
+
+
 def test_levels(spark):
     got = {r.id: r.level for r in graph.levels(*tables(spark, [("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x"), ("z", "x")], ["lone"])).collect()}
     assert got == {"c": 0, "b": 1, "a": 2, "lone": 0, "x": None, "y": None, "z": None}

@@ -133,3 +133,17 @@ def test_directory_scan(spark, tmp_path):
     got = {(r.path, r.type, r.extension) for r in trees.scan_directory(spark, str(tmp_path)).collect()}
     assert got == {("", "directory", None), ("a", "directory", None), ("a/b", "directory", None), ("a/b/x.py", "file", "py")}
     assert trees.scan_directory(spark, str(tmp_path), max_depth=1).where("path = 'a/b'").count() == 0
+
+
+def test_running_sums_split_a_key(spark):
+    from quernel.operators import windows
+
+    rows = [("hot", i % 997, i) for i in range(3000)] + [("cold", 1, 1), (None, 5, 5)]
+    df = spark.createDataFrame(rows, "k string, v long, o long").repartition(7)
+    got = {(r.k, r.o): r.s for r in windows.running_sums(df, ["k"], [F.col("o").asc()], F.col("v"), "s").collect()}
+    total, want = 0, {("cold", 1): 1, (None, 5): 5}
+    for k, v, o in rows[:3000]:
+        total += v
+        want[k, o] = total
+    assert got == want
+    assert {r.batch for r in windows.batch_numbers(df.where("k = 'hot'"), ["k"], ["o"], 1000).collect()} == {1, 2, 3}

@@ -90,8 +90,15 @@ def plain_headings(text):
 def test_headings(spark):
     text = "intro\n# A\ntext\n\n### C\nmore\n## B\n```\n# code\n```\n# D\n#not\n####### no"
     df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, text string")
-    got = [tuple(r)[1:] for r in trees.headings(df.where("id = 1"), "id", "text").orderBy("ord").collect()]
+    heads = trees.headings(df.where("id = 1"), "id", "text").orderBy("ord")
+    got = [tuple(r)[1:] for r in heads.drop("depth").collect()]
     assert got == plain_headings(text)
+    parents = {r.ord: r.parent_ord for r in heads.collect()}
+
+    def above(n):
+        return 0 if parents[n] is None else 1 + above(parents[n])
+
+    assert [r.depth for r in heads.collect()] == [above(n) for n in sorted(parents)]
     assert [r.title for r in trees.headings(df.where("id = 1"), "id", "text", fence_aware=True).orderBy("ord").collect()] == ["README", "A", "C", "B", "D"]
     assert trees.headings(df, "id", "text").where("id > 1").count() == 1
     assert trees.outline(trees.headings(df, "id", "text"), "id").first().text.startswith("- A\n    - C\n  - B\n- code")
@@ -155,3 +162,26 @@ def test_windows_over_stretches_equal_a_plain_loop(spark):
     cost = {r.id: r.running_tokens for r in windows.running_cost(df, ["k"], "ts", ["id"], "n", 1.0, seconds=60).collect()}
     for i, k, s, n in rows:
         assert cost[i] == sum(m for j, k2, s2, m in rows if k2 == k and (s2, j) <= (s, i))
+
+
+def test_containing_anywhere(spark):
+    from quernel.operators import lookups
+
+    long = "pkg/" + "deep/" * 5 + "module_name.py"
+    items = spark.createDataFrame([(1, f"/srv/x/{long}"), (2, "a/b.py"), (3, "none"), (4, None), (1, f"/srv/x/{long}"), (5, "xa/b.pyz")], "item int, place string")
+    keys = spark.createDataFrame([(long, 3), ("module_name.py", 2), ("b.py", 1), ("a/b.py", 9), ("", 0), (None, 0), ("x" + long, 0)], "file string, ord int")
+    got = sorted((r.item, r.file) for r in lookups.containing(items, keys, "place", "file", "ord", anywhere=True).collect())
+    assert got == [(1, "module_name.py"), (2, "b.py"), (5, "b.py")]
+    assert lookups.containing(items, keys.limit(0), "place", "file", "ord", anywhere=True).count() == 0
+
+
+def test_code_signatures(spark):
+    sig = lambda code, is_class=False: one(spark, T.code_signature("t", is_class), t=code)
+    assert sig("def f(a: int, b=(1, 2)) -> int: return 1\n  x") == "def f(a: int, b=(1, 2)) -> int:"
+    assert sig("  def f(a,\n b): pass") == "def f(a," and sig("x = 1") == "x = 1" and sig("def f() -> x") == "def f() -> x" and sig("") == ""
+    assert sig("class A(B): pass", True) == "class A(B): pass"
+
+
+def test_request_routes(spark):
+    for path, want in (("Pool", "class"), ("Pool.sort", "method"), ("m.sort", "function"), ("sort", None), ("m._Pool", "function"), ("m._Pool.sort", "function")):
+        assert one(spark, T.request_route("t"), t=path) == want, path
