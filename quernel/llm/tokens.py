@@ -2,57 +2,17 @@
 
 from __future__ import annotations
 
-import base64
-import os
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from quernel.functions.vocabulary import PATTERN, Encoder, ranks, vocabulary_path
 from quernel.session import cut
 
-#: Where the public vocabularies lie; a parameter of each operator.
-TOKENIZERS = os.environ.get("QUERNEL_TOKENIZERS", "/opt/tokenizers")
-BYTE_BPE_50K = "byte_bpe_50k.tiktoken"
-
-# Fixed value: the pre-token pattern of byte-level BPE, as it is published.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-def ranks(path: str) -> dict[bytes, int]:
-    """Bytes of each token and its id; as many entries as the vocabulary has, whatever the corpus."""
-    with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-
-
-def vocabulary_path(name: str = BYTE_BPE_50K, folder: str | None = None) -> str:
-    return os.path.join(folder or TOKENIZERS, name)
-
-
-class Encoder:
-    """Encodes on executors. It carries the vocabulary as a broadcast, so no executor needs the file."""
-
-    _made: dict = {}
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.path, self.ranks = path, spark.sparkContext.broadcast(ranks(path))
-
-    def __getstate__(self) -> dict:
-        return {"path": self.path, "ranks": self.ranks}
-
-    @property
-    def encoding(self):
-        if self.path not in Encoder._made:
-            import tiktoken
-
-            Encoder._made[self.path] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=self.ranks.value, special_tokens={})
-        return Encoder._made[self.path]
-
-    def ids(self, text: str) -> list[int]:
-        return self.encoding.encode_ordinary(text)
-
-
 #: Distinct pre-tokens that every task knows without a shuffle: a fixed number, each of at most so many characters.
 KNOWN_WORDS, KNOWN_LENGTH = 50_000, 64
 #: Distinct pre-tokens a task counts at once; beyond it they are passed on.
