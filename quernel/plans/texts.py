@@ -316,7 +316,19 @@ def waits(spark, folder):
     return windows.waits(used, "ts", {"events_in_window": 2}, ["event_type"], 3600).select("event_id", "wait_s")
 
 
-@R.add("admissions", None)
+@R.add(
+    "admissions",
+    """with recursive e as (select event_type || '-' || user_id as key, event_id, cast(epoch_us(ts) // 1000 as bigint) as at_ms, cast(length(props) as bigint) as n from events),
+o as (select *, row_number() over (partition by key order by at_ms, event_id) as k from e),
+w as (select distinct key, cast(0 as bigint) as k, cast([] as struct(s bigint, n bigint)[]) as starts, cast(null as bigint) as event_id, cast(null as bigint) as wait_ms from e
+  union all
+  select key, k, list_append(list_filter(live, lambda x: x.s > start_at - 3600000), struct_pack(s := start_at, n := n)), event_id, start_at - at_ms
+  from (select *, case when j = 0 then base else live[j].s + 3600000 end as start_at
+    from (select *, list_filter(range(0, len(live) + 1), lambda i: len(live) - i < 4 and (len(live) = i or list_sum(list_transform(live[i + 1:], lambda x: x.n)) + n <= 900))[1] as j
+      from (select *, list_filter(starts, lambda x: x.s > base - 3600000) as live
+        from (select o.key, o.k, o.event_id, o.at_ms, o.n, w.starts, greatest(o.at_ms, coalesce(w.starts[-1].s, o.at_ms)) as base from w join o on o.key = w.key and o.k = w.k + 1)))))
+select key, event_id, wait_ms from w where event_id is not null""",
+)
 def admissions(spark, folder):
     """Admission one after another under limits per type, with back-pressure (WIN07, STM04)."""
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
