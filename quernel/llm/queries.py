@@ -32,6 +32,11 @@ def p4_kept(spark: SparkSession, folder: str) -> DataFrame:
     return residue.kept(*(table(spark, folder, t) for t in STAGE_B))
 
 
+def p4_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The keys of all records that are kept or found: none is lost between the two."""
+    return p4_kept(spark, folder).select(*residue.KEYS).unionByName(p4_found(spark, folder)).distinct()
+
+
 def limits(spark: SparkSession, folder: str) -> dict[str, int]:
     """The table ``size_limits``: three fixed rows."""
     return {r.limit_name: r.limit_value for r in table(spark, folder, "size_limits").collect()}
@@ -103,12 +108,18 @@ def p9_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalikes.consistent(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "form")
 
 
-QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p4_found": p4_found, "p4_kept": p4_kept}
+QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p4_found": p4_found, "p4_kept": p4_kept, "p4_all": p4_all}
 QUERIES |= {"p5_found": p5_found, "p5_pieces": p5_pieces, "p5_rejoined": p5_rejoined, "p6_found": p6_found}
 QUERIES |= {"p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_placed": p8_placed}
 QUERIES |= {"p9_found": p9_found, "p9_forms": p9_forms}
 
 SQL: dict[str, str] = {
+    "p4_all": r"""
+select distinct source_table, repo_name, record_key from (
+  select 'stage_b_function_items' as source_table, repo_name, cast(item_id as varchar) as record_key, business_summary as s from stage_b_function_items
+  union all select 'stage_b_file_summaries', repo_name, file, file_summary from stage_b_file_summaries
+  union all select 'stage_b_module_summaries', repo_name, module, module_summary from stage_b_module_summaries)
+where regexp_matches(s, '[^\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]')""",
     "p5_rejoined": "select distinct source, idx, md5(text) as text_md5, true as fits from rag_chunk where length(text) > 1200",
     "p8_placed": "select doc_id, cast(0 as bigint) as first_token, true as whole, true as fits from documents",
     "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",

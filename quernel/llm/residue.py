@@ -32,6 +32,34 @@ MESSAGES = """
 ^ internal_server_error/bad_gateway/gateway_timeout/gateway_time_out/service_unavailable/service_temporarily_unavailable/not_found/page_not_found/forbidden/unauthorized/unauthorised/access_denied/access_is_denied/access_forbidden/access_is_forbidden/permission_denied/too_many_requests/request_timed_out/request_timeout/connection_refused/connection_reset/connection_reset_by_peer/connection_timed_out/server_error/network_error/site_not_found/server_not_found/bad_request ;
 ^ oops
 ^ %err ;
+^ %h .. failed/failure/error/found/unavailable/refused/denied/forbidden/timeout/required/exceeded/gateway/request/allowed ;
+^ http? error/status/code? :? %h ;
+^ http? error/status/code? :? %h :? not_found/forbidden/unauthorized/unauthorised/bad_gateway/bad_request/internal_server_error/internal_error/service_unavailable/service_temporarily_unavailable/gateway_timeout/gateway_time_out/too_many_requests/request_timeout/method_not_allowed/payment_required/page_not_found/error ;
+^ could_not/unable_to/failed_to connect/reach/resolve/open/load/fetch/access/read/find/authenticate/complete/process
+^ the? .. server/proxy/gateway/host/backend/model/service did_not_respond/does_not_respond/is_not_responding/not_responding/refused_the/closed_the/reset_the
+^ sorry? you have been/been_temporarily? blocked/banned/logged_out/signed_out/rate_limited/redirected
+^ you are being/now? redirected/blocked/rate_limited/offline
+^ you are not? signed_in/logged_in/online/connected
+^ sign_up/subscribe/register/upgrade to see/view/continue/read/access/unlock
+^ to continue/proceed/view/see/read .. enable/activate/turn_on/switch_on/allow/sign_in/log_in
+^ this video/image/post/article/page/document/file is/was private/deleted/removed/unavailable/no_longer_available/not_available ;
+^ fatal : !if/when/raised
+^ warning : ... deprecated/failed/error ;
+^ max/maximum retries/attempts exceeded
+^ output/response/reply/answer/text was? truncated/cut_off/too_long/empty/blocked/filtered
+^ token/context/output/rate/usage limit reached/exceeded/hit ;
+^ command/process/job/task/build failed/exited/aborted/timed_out/was_killed with/after/:
+^ no route to host
+^ certificate has_expired/is_not_trusted/error
+^ your connection is not_private/not_secure
+^ der/die/das server/dienst/modell antwortet nicht
+^ le/la serveur/service/modèle ne répond
+^ el/la servidor/servicio/modelo no responde
+^ il server/servizio non risponde
+^ сервер/сервис/модель не отвечает
+^ 连接超时/请求超时/网络超时/连接失败/请求失败 ;
+服务器无响应/服务器未响应/服务器没有响应
+^ ο διακομιστής δεν αποκρίνεται/ανταποκρίνεται
 ^ error : !if/when/raised/unless/where/for
 ^ connection timed out after 0
 ^ quota exceeded for
@@ -200,7 +228,7 @@ javascript είναι/πρέπει .. απαραίτητη/απενεργοπο
 ^ dienst nicht verfügbar ;
 ^ ihre? sitzung ist? abgelaufen
 ^ melden sie sich .. an
-^ fehler 0
+^ fehler 0 ;
 ^ bitte warten ;
 ^ page introuvable/non_trouvée ;
 ^ cette/la page .. existe/introuvable
@@ -253,6 +281,13 @@ STAND_INS = """
 lorem ipsum dolor
 dolor sit amet
 ^ xxx/yyy/zzz/foo/bar/asdf/qwerty/blah/bla/test xxx/yyy/zzz/foo/bar/baz/qux/asdf/qwerty/blah/bla/test? xxx/yyy/zzz/foo/bar/baz/qux/asdf/qwerty/blah/bla/test? xxx/yyy/zzz/foo/bar/baz/qux/asdf/qwerty/blah/bla/test? $
+^ summary/description/text/purpose/title/name/module/file/function : tbd/tba/tbc/todo/fixme/none/null/n_a/xxx/pending/missing/empty ;
+^ nothing has_been/was/is written/added/recorded/provided/available/known here/yet? yet? ;
+^ there is nothing here/yet/to_show
+^ the? model/service/assistant returned/gave/produced/sent no/an_empty/nothing text/output/answer/summary/response/reply? ;
+^ noch keine/kein beschreibung/zusammenfassung/text/inhalt vorhanden/verfügbar/hinterlegt? ;
+^ description/résumé/texte/documentation manquante/manquant/absente/absent ;
+^ falta/faltan la/el/una/un? descripción/resumen/texto ;
 ^ tbd/tba/tbc/todo/fixme/none/null/undefined/nan/wip ;
 ^ n a $
 ^ coming soon ;
@@ -427,7 +462,7 @@ def _expression(line: str) -> str:
             continue
         choices = []
         for q in p.lstrip("!").removesuffix("?").split("/"):
-            words = [re.escape(a[:-1]) + "\\S* " if len(a) > 1 and a.endswith("*") else re.escape(a) + " " for a in q.split("_")]
+            words = [re.escape(a[:-1]) + "\\S* " if len(a) > 1 and a.endswith("*") else "(?:0|%h) " if a == "0" else re.escape(a) + " " for a in q.split("_")]
             choices.append("(?:, )*".join(words))
         any_ = "(?:" + "|".join(choices) + ")"
         out += f"(?!{any_})" if p[0] == "!" else (f"(?:(?:, )*{any_})?" if p.endswith("?") else f"(?:, )*{any_}")
@@ -458,6 +493,10 @@ def slotted(text: str) -> bool:
     return bool(_GATE.search(text)) and bool(_SLOT.search(CODE.sub(" ", text)))
 
 
+#: Codes of failed requests.
+_HTTP = re.compile("[45][0-9]{2}")
+
+
 class Masks:
     """The mask of each token: a word that can decide a verdict, its class, or a wildcard. Remembers what it has seen."""
 
@@ -478,7 +517,7 @@ class Masks:
         if "_" in w:
             return "%err" if w.startswith("err_") else "*"
         if re.search(r"\d", w):
-            return "0"
+            return "%h" if _HTTP.fullmatch(w) else "0"
         if w in LEXICON or w.startswith(_STEMS):
             return w
         if len(w) > 6 and w.endswith(("error", "exception")):
