@@ -20,6 +20,7 @@ for _code, _words in WORDS.items():
 _SCRIPTS = [("ja", re.compile(r"[぀-ヿ]")), ("ko", re.compile(r"[가-힣]")), ("zh", re.compile(r"[㐀-鿿]")), ("ru", re.compile(r"[Ѐ-ӿ]")), ("el", re.compile(r"[Ͱ-Ͽ]")), ("ar", re.compile(r"[؀-ۿ]")), ("he", re.compile(r"[֐-׿]")), ("hi", re.compile(r"[ऀ-ॿ]"))]
 _LATIN = re.compile(r"[a-zA-ZÀ-ɏ]")
 _HINTS = [("de", re.compile(r"[ßäöü]")), ("es", re.compile(r"[ñ¿¡]|ción")), ("fr", re.compile(r"[çœêèàù]|l'|d'|qu'"))]
+_WORDS = re.compile(r"[^\W\d_]+(?:'(?=[a-zà-ÿ]))?")
 #: Code, quotations and names, whose language doesn't count.
 ASIDES = re.compile(r"```.*?```|`[^`]*`|“[^”]*”|„[^“”]*[“”]|«[^»]*»|「[^」]*」|\"[^\"\n]*\"|\b\w*_\w+\b|\b\w+\.\w+\b|\b\w+\(\)", re.S)
 
@@ -27,16 +28,17 @@ ASIDES = re.compile(r"```.*?```|`[^`]*`|“[^”]*”|„[^“”]*[“”]|«[^
 def language(text: str) -> str | None:
     """The code of the language of ``text`` as a whole, None where it can't be told."""
     text = ASIDES.sub(" ", text)
-    letters = len(_LATIN.findall(text))
-    for code, pattern in _SCRIPTS:
-        # a sign of Han holds about as much as two letters
-        n = len(pattern.findall(text)) * (3 if code in ("ja", "zh", "ko") else 1)
-        if n >= 2 and n > letters:
-            return code
-    words = re.findall(r"[^\W\d_]+(?:'(?=[a-zà-ÿ]))?", text.lower())
+    if not text.isascii():
+        letters = len(_LATIN.findall(text))
+        for code, pattern in _SCRIPTS:
+            # a sign of Han holds about as much as two letters
+            n = len(pattern.findall(text)) * (3 if code in ("ja", "zh", "ko") else 1)
+            if n >= 2 and n > letters:
+                return code
+    words = _WORDS.findall(text.lower())
     scores = dict.fromkeys(WORDS, 0)
     for w in words:
-        for k in _LANGUAGES.get(w.rstrip("'"), ()):
+        for k in _LANGUAGES.get(w if w[-1] != "'" else w[:-1], ()):
             scores[k] += 1
     best = sorted(scores, key=lambda k: (-scores[k], k))
     if scores[best[0]] and scores[best[0]] > scores[best[1]]:

@@ -250,12 +250,12 @@ def copies(prompt: str, response: str) -> bool:
     must be labels. Labels may stand anywhere, and those of the prompt needn't be repeated.
     """
     a, b = (_COPIED.findall(_LABELS_HAN.sub(" ", t).lower()) for t in (prompt, response))
-    if not a or not b:
+    bare = [x for x in a if x not in LABELS] or a
+    if not a or not b or not set(b).issuperset(bare):
         return False
     own = shingles(a)
     if 5 * len(own & shingles(b)) < 3 * len(own):
         return False
-    bare = [x for x in a if x not in LABELS] or a
     of_a, of_b = Counter(bare), Counter(b)
     times = min(of_b[x] // n for x, n in of_a.items())
     if not times or any(n > times * of_a[x] and x not in LABELS for x, n in of_b.items()):
@@ -299,11 +299,14 @@ def last_token(text: str) -> str:
     return re.sub(r"\d+", "0", re.findall(r"\S+", text)[-1].lower().strip(_CLOSERS + "“«"))
 
 
+_UNSEEN = dict.fromkeys([0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD])
+
+
 def judge(prompt: str, response: str, broken_off: bool) -> tuple[str | None, str | None]:
     """(defect, token): the defect of a pair, None if it has none, or ``open`` with the token that decides whether the
     response is truncated. Labels belong to neither text."""
     prompt, response = _PREFIX.sub("", prompt).strip(), _PREFIX.sub("", response)
-    bare = response.translate(dict.fromkeys([0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD])).strip()
+    bare = (response if response.isascii() else response.translate(_UNSEEN)).strip()
     word = bare.strip(" \t\r\n.!?。…<>()[]{}\"'`*_-–—:;,").lower()
     if not re.search(r"\w", bare) or word.replace(" ", "") in NO_VALUE and len(word) < 20 or NO_VALUES.fullmatch(word):
         return "empty", None
