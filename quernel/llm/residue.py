@@ -469,7 +469,32 @@ def _expression(line: str) -> str:
     return out
 
 
-_ANCHORED = re.compile("|".join(f"(?:{_expression(x)[1:]})" for x in _LINES if x[0] == "^"))
+def _begins(line: str) -> set[str]:
+    """The tokens that a message at a sentence's begin may begin with; ``*`` if any may."""
+    found: set[str] = set()
+    for p in line.split()[1:]:
+        words = [q.split("_")[0] for q in p.removesuffix("?").split("/")]
+        if p in ("$", ";", "..", "...") or p[0] == "!" or any(w[-1:] in ("*", "~") for w in words):
+            return {"*"}
+        found |= {m for w in words for m in (("0", "%h") if w == "0" else (w,))}
+        if not p.endswith("?"):
+            return found
+    return {"*"}
+
+
+def _by_begin() -> dict[str, re.Pattern]:
+    groups: dict[str, list[str]] = {}
+    for x in _LINES:
+        if x[0] == "^":
+            for begin in _begins(x):
+                groups.setdefault(begin, []).append(f"(?:{_expression(x)[1:]})")
+    return {begin: re.compile("|".join(group)) for begin, group in groups.items()}
+
+
+#: A message that may stand anywhere needs one of these tokens.
+_SOMEWHERE = frozenset(b for x in _LINES if x[0] != "^" for b in _begins("^ " + x.removeprefix(".. ")))
+#: Messages at a sentence's begin, by its first token; those under ``*`` may begin with any.
+_ANCHORED = _by_begin()
 _ANYWHERE = re.compile("(?:^|(?<= ))(?:" + "|".join(f"(?:{_expression(x)})" for x in _LINES if x[0] != "^") + ")")
 _TOKEN = re.compile(
     r"(?P<markup></?(?:!doctype|html|head|body|title|noscript|center|meta|script|hr|h\d)\b[^>]*>?)|(?P<json>\{\s*[\"'](?:errors?|message|detail|fault)[\"']\s*:)|(?P<code>\{\s*[\"'](?:code|status|title)[\"']\s*:)"
@@ -546,7 +571,8 @@ def is_residue(masks: list[str]) -> bool:
     """True if the template whose tokens have these masks is a message, a stand-in or filler. As a word that isn't in the
     masks can't decide, all sentences of a template have its verdict."""
     line = "".join(m + " " for m in masks)
-    if _ANCHORED.match(line) or _ANYWHERE.search(line):
+    own = _ANCHORED.get(masks[0]) if masks[0] != "*" else None
+    if own and own.match(line) or _ANCHORED["*"].match(line) or not _SOMEWHERE.isdisjoint(masks) and _ANYWHERE.search(line):
         return True
     if not SPEECH.isdisjoint(masks) and not TOPICS.isdisjoint(masks):
         return True
