@@ -56,3 +56,17 @@ def test_few_pairs_are_compared_whole(monkeypatch):
     monkeypatch.setattr(places, "_equal", lambda own, right, js: (compared.append(len(js)), whole(own, right, js))[1])
     some = places.Texts(["".join(draw.choices("abcdefgh", k=200)) for _ in range(300)], places.run_size(0.9))
     assert not list(places.close_pairs(some, some, 0.9, True)) and sum(compared) < 300
+
+
+def test_share_equal(spark):
+    df = spark.createDataFrame([("ab😀d", "ab😀x"), ("ab", "abcd"), ("", ""), ("", "a"), (None, "a"), ("a\0", "a")], "x string, y string")
+    assert [r[0] for r in df.select(places.share_equal("x", "y")).collect()] == [0.75, 0.5, None, 0.0, None, 0.5]
+
+
+def test_sources_without_links():
+    from quernel.operators.extraction import read_source
+
+    source = "import os\nfrom m import g\nclass A:\n    def f(self):\n        return g(os.sep)\ndef h():\n    return A()\n"
+    error, found, imports, refs, calls = read_source(source)
+    assert imports and refs and calls
+    assert read_source(source, links=False) == (error, found, [], [], [])
