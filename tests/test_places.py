@@ -70,3 +70,18 @@ def test_sources_without_links():
     error, found, imports, refs, calls = read_source(source)
     assert imports and refs and calls
     assert read_source(source, links=False) == (error, found, [], [], [])
+
+
+def test_statements_are_walked_in_order():
+    import ast
+
+    from quernel.operators.extraction import _statements
+
+    source = "\n".join([
+        "if a:", "    class A: x = [i for i in b if (lambda: i)()]", "elif c:", "    class B: pass", "else:", "    class A: pass",
+        "try:", "    def f():", "        class C:", "            class D: pass", "except E:", "    class F: pass", "else:", "    class G: pass", "finally:", "    class H: pass",
+        "match m:", "    case 1:", "        class I: pass", "for i in j:", "    class K: pass", "else:", "    class A: pass", "while n:", "    with o as p:", "        class A: pass",
+        "async def q():", "    async with r:", "        class S: pass", "try:", "    pass", "except* T:", "    class U: pass", "w = x if y else z",
+    ])
+    tree = ast.parse(source)
+    assert [n for n in ast.walk(tree) if isinstance(n, ast.stmt)] == [n for n in _statements(tree) if isinstance(n, ast.stmt)]
